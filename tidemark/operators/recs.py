@@ -90,3 +90,138 @@ def itemcf_recommend(sim: DataFrame, plays: DataFrame, k: int = 10) -> DataFrame
     history = log_weight(plays)
     cands = exclude_seen(expand_history(history, sim), plays)
     return rank_top(cands, k)
+
+
+# ---------------------------------------------------------------- features
+
+def user_stats(plays: DataFrame) -> DataFrame:
+    """A1: per user total, distinct items, mean and max of play counts."""
+    return plays.groupBy("user_id").agg(
+        F.sum("play_count").cast("bigint").alias("total_plays"),
+        F.countDistinct("item_id").alias("unique_items"),
+        F.avg("play_count").alias("avg_play"),
+        F.max("play_count").alias("max_play"),
+    )
+
+
+def join_tags(plays: DataFrame, tagged_items: DataFrame) -> DataFrame:
+    """Left join plays to item tags and explode; a missing or empty tag
+    list yields one row with a null tag."""
+    return plays.join(tagged_items.select("item_id", "tags"), "item_id", "left").select(
+        "user_id", "item_id", "play_count", F.explode_outer("tags").alias("tag")
+    )
+
+
+def user_tag_affinity(plays: DataFrame, tagged_items: DataFrame, n: int = 5) -> DataFrame:
+    """A2 + W1: affinity(u, tag) = sum ln(1+count); top n tags per user."""
+    aff = (
+        join_tags(plays, tagged_items)
+        .groupBy("user_id", "tag")
+        .agg(F.sum(F.log1p("play_count")).alias("affinity"))
+    )
+    return topn_per(aff, "user_id", [F.round("affinity", RANK_DIGITS).desc(), F.col("tag")], n)
+
+
+def item_popularity(plays: DataFrame) -> DataFrame:
+    return plays.groupBy("item_id").agg(
+        F.sum("play_count").cast("bigint").alias("plays"),
+        F.count(F.lit(1)).alias("listeners"),
+    )
+
+
+def hot_items(plays: DataFrame, items_df: DataFrame, k: int = 50, by: str | None = None) -> DataFrame:
+    """A3: global (by=None) or per-`by` hot list ranked by plays desc, id asc."""
+    pop = item_popularity(plays)
+    if by is None:
+        w = Window.orderBy(F.col("plays").desc(), F.col("item_id"))
+        # global top-k: Spark plans TakeOrdered-style per-partition limits
+        top = pop.orderBy(F.col("plays").desc(), F.col("item_id")).limit(k)
+        return top.withColumn("rank", F.row_number().over(w).cast("bigint"))
+    pop = pop.join(items_df.select("item_id", by), "item_id")
+    return topn_per(pop, by, [F.col("plays").desc(), F.col("item_id")], k)
+
+
+def genre_quota(selected: DataFrame, hot_by_genre: DataFrame, k: int) -> DataFrame:
+    """Per user, take max(1, k // g) hot items from each selected genre in
+    the user's genre order, then cut to k (remainder not filled).
+
+    selected: (user_id, genre, genre_pos); hot_by_genre: (genre, item_id, rank).
+    """
+    g = selected.groupBy("user_id").agg(F.count(F.lit(1)).alias("_g"))
+    sel = selected.join(g, "user_id").withColumn(
+        "_quota", F.greatest(F.lit(1), F.floor(F.lit(k) / F.col("_g")))
+    )
+    picks = sel.join(hot_by_genre, "genre").filter(F.col("rank") <= F.col("_quota"))
+    return topn_per(
+        picks.select("user_id", "item_id", "genre", "genre_pos", F.col("rank").alias("genre_rank")),
+        "user_id",
+        [F.col("genre_pos"), F.col("genre_rank")],
+        k,
+        rank_col="pos",
+    )
+
+
+def blend(cf: DataFrame, content: DataFrame, hot: DataFrame, users: DataFrame,
+          w_cf: float = 0.5, w_content: float = 0.3, w_hot: float = 0.1) -> DataFrame:
+    """score = w_cf*cf + w_content*content; hot items absent from both
+    sources get w_hot.  cf/content: (user_id, item_id, score); hot: (item_id);
+    users: (user_id) that receive the hot fallback."""
+    weighted = cf.select("user_id", "item_id", (F.col("score") * w_cf).alias("score")).unionByName(
+        content.select("user_id", "item_id", (F.col("score") * w_content).alias("score"))
+    )
+    summed = weighted.groupBy("user_id", "item_id").agg(F.sum("score").alias("score"))
+    # hot list is bounded by its k; explode it per user instead of a join
+    hot_ids = [r["item_id"] for r in hot.select("item_id").collect()]
+    fallback = users.select(
+        "user_id", F.explode(F.array(*[F.lit(i) for i in hot_ids])).alias("item_id")
+    ) if hot_ids else users.select("user_id", F.lit(None).cast("bigint").alias("item_id")).limit(0)
+    fallback = fallback.join(summed.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+    return summed.unionByName(fallback.withColumn("score", F.lit(w_hot)))
+
+
+def coverage(recs: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Distinct recommended items / distinct catalogue items."""
+    both = recs.select("item_id", F.lit(True).alias("_rec")).unionByName(
+        catalogue.select("item_id", F.lit(False).alias("_rec"))
+    )
+    counts = both.agg(
+        F.countDistinct(F.when(F.col("_rec"), F.col("item_id"))).alias("n_recommended"),
+        F.countDistinct(F.when(~F.col("_rec"), F.col("item_id"))).alias("n_catalogue"),
+    )
+    return counts.select(
+        "n_recommended", "n_catalogue", (F.col("n_recommended") / F.col("n_catalogue")).alias("coverage")
+    )
+
+
+def drop_blacklisted(ranked: DataFrame, blacklist: DataFrame) -> DataFrame:
+    """Remove blacklisted items (anti-join; AQE broadcasts a small list)."""
+    return ranked.join(blacklist.select("item_id"), "item_id", "left_anti")
+
+
+def inject_promos(ranked: DataFrame, promos: DataFrame, every: int = 10) -> DataFrame:
+    """One promoted item after every `every` organic results.
+
+    ranked: (user_id, item_id, rank); promos: (item_id, promo_rank).
+    Organic rank r moves to r + (r-1) // every; the j-th promo not already in
+    the user's list goes to position (every+1)*j for j <= n_organic // every.
+    """
+    n = ranked.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+    organic = ranked.select(
+        "user_id", "item_id", F.lit("organic").alias("kind"),
+        (F.col("rank") + F.floor((F.col("rank") - 1) / every)).cast("bigint").alias("pos"),
+    )
+    slots = n.select("user_id", F.floor(F.col("_n") / every).cast("int").alias("_slots"))
+    # promo candidates: promo list per user minus the user's own items; the
+    # promo list is bounded by its parameter size, so explode it per user.
+    pids = [r["item_id"] for r in promos.orderBy("promo_rank").collect()]
+    per_user = slots.filter(F.col("_slots") > 0).select(
+        "user_id", "_slots",
+        F.posexplode(F.array(*[F.lit(i) for i in pids])).alias("_p", "item_id"),
+    )
+    per_user = per_user.join(ranked.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+    promo_ranked = topn_per(per_user, "user_id", [F.col("_p")], len(pids) or 1, rank_col="_j")
+    promo = promo_ranked.filter(F.col("_j") <= F.col("_slots")).select(
+        "user_id", "item_id", F.lit("promo").alias("kind"),
+        (F.col("_j") * (every + 1)).cast("bigint").alias("pos"),
+    )
+    return organic.unionByName(promo)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import evaluation, recs
@@ -49,3 +50,177 @@ def itemcf_recommend(spark, d):
     p = views.plays(spark, d)
     top = recs.itemcf_recommend(recs.itemcf_fit(p, n=20), p, k=10)
     return top.select("user_id", "item_id", F.round("score", 6).alias("score"), "rank")
+
+
+TAGS_SQL = """tagged AS (
+  SELECT p_partkey AS item_id, p_type AS genre,
+         list_concat([p_type, p_brand], string_split(p_name, ' ')) AS tags FROM part)"""
+
+POP_SQL = """pop AS (
+  SELECT item_id, CAST(SUM(play_count) AS BIGINT) AS plays, COUNT(*) AS listeners
+  FROM plays GROUP BY 1)"""
+
+
+@query("user_stats", f"""WITH {V.PLAYS}
+SELECT user_id, CAST(SUM(play_count) AS BIGINT) AS total_plays,
+       COUNT(DISTINCT item_id) AS unique_items, round(avg(play_count), 6) AS avg_play,
+       max(play_count) AS max_play
+FROM plays GROUP BY 1""")
+def user_stats(spark, d):
+    s = recs.user_stats(views.plays(spark, d))
+    return s.withColumn("avg_play", F.round("avg_play", 6))
+
+
+@query("join_tags", f"""WITH {V.PLAYS}, {TAGS_SQL}
+SELECT p.user_id, p.item_id, p.play_count,
+       unnest(CASE WHEN t.tags IS NULL OR len(t.tags) = 0 THEN [NULL] ELSE t.tags END) AS tag
+FROM plays p LEFT JOIN tagged t ON t.item_id = p.item_id""")
+def join_tags(spark, d):
+    return recs.join_tags(views.plays(spark, d), views.item_tags(views.items(spark, d)))
+
+
+@query("user_tag_top5", f"""WITH {V.PLAYS}, {TAGS_SQL},
+jt AS (SELECT p.user_id, p.play_count, unnest(t.tags) AS tag
+       FROM plays p LEFT JOIN tagged t ON t.item_id = p.item_id),
+aff AS (SELECT user_id, tag, SUM(ln(1 + play_count)) AS affinity FROM jt GROUP BY 1, 2)
+SELECT user_id, tag, round(affinity, 6) AS affinity, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(affinity, 9) DESC, tag) AS rank
+  FROM aff) WHERE rank <= 5""")
+def user_tag_top5(spark, d):
+    a = recs.user_tag_affinity(views.plays(spark, d), views.item_tags(views.items(spark, d)), 5)
+    return a.withColumn("affinity", F.round("affinity", 6))
+
+
+@query("hot_items_global", f"""WITH {V.PLAYS}, {POP_SQL}
+SELECT item_id, plays, listeners, rank FROM (
+  SELECT *, row_number() OVER (ORDER BY plays DESC, item_id) AS rank FROM pop) WHERE rank <= 50""")
+def hot_items_global(spark, d):
+    return recs.hot_items(views.plays(spark, d), views.items(spark, d), k=50)
+
+
+@query("hot_items_by_genre", f"""WITH {V.PLAYS}, {POP_SQL}, {V.ITEMS}
+SELECT genre, item_id, plays, listeners, rank FROM (
+  SELECT pop.*, i.genre, row_number() OVER (PARTITION BY i.genre ORDER BY plays DESC, pop.item_id) AS rank
+  FROM pop JOIN items i ON i.item_id = pop.item_id) WHERE rank <= 10""")
+def hot_items_by_genre(spark, d):
+    return recs.hot_items(views.plays(spark, d), views.items(spark, d), k=10, by="genre")
+
+
+def _user_genres(spark, d, n):
+    p = views.plays(spark, d)
+    it = views.items(spark, d).select("item_id", F.array("genre").alias("tags"))
+    return recs.user_tag_affinity(p, it, n).select(
+        "user_id", F.col("tag").alias("genre"), F.col("rank").alias("genre_pos")
+    )
+
+
+USER_GENRES_SQL = """ug AS (
+  SELECT user_id, genre, genre_pos FROM (
+    SELECT user_id, genre, row_number() OVER (PARTITION BY user_id
+           ORDER BY round(affinity, 9) DESC, genre) AS genre_pos
+    FROM (SELECT p.user_id, i.genre, SUM(ln(1 + p.play_count)) AS affinity
+          FROM plays p JOIN items i ON i.item_id = p.item_id GROUP BY 1, 2))
+  WHERE genre_pos <= {n})"""
+
+HOT_GENRE_SQL = """hg AS (
+  SELECT i.genre, pop.item_id, pop.plays,
+         row_number() OVER (PARTITION BY i.genre ORDER BY pop.plays DESC, pop.item_id) AS rank
+  FROM pop JOIN items i ON i.item_id = pop.item_id)"""
+
+
+@query("genre_quota", f"""WITH {V.PLAYS}, {V.ITEMS}, {POP_SQL}, {USER_GENRES_SQL.format(n=3)}, {HOT_GENRE_SQL},
+q AS (SELECT ug.*, greatest(1, floor(10 / COUNT(*) OVER (PARTITION BY user_id))) AS quota FROM ug),
+picks AS (SELECT q.user_id, hg.item_id, q.genre, q.genre_pos, hg.rank AS genre_rank
+          FROM q JOIN hg ON hg.genre = q.genre WHERE hg.rank <= q.quota)
+SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY genre_pos, genre_rank) AS pos FROM picks)
+WHERE pos <= 10""")
+def genre_quota(spark, d):
+    hot = recs.hot_items(views.plays(spark, d), views.items(spark, d), k=10**9, by="genre")
+    return recs.genre_quota(_user_genres(spark, d, 3), hot, 10)
+
+
+def _blended(spark, d):
+    p = views.plays(spark, d)
+    it = views.items(spark, d)
+    cf = recs.itemcf_recommend(recs.itemcf_fit(p, n=20), p, k=200)
+    hot_genre = recs.hot_items(p, it, k=100, by="genre")
+    gmax = hot_genre.groupBy("genre").agg(F.max("plays").alias("_m"))
+    content = (
+        _user_genres(spark, d, 1)
+        .join(hot_genre.join(gmax, "genre"), "genre")
+        .select("user_id", "item_id", (F.col("plays") / F.col("_m")).alias("score"))
+    )
+    hot = recs.hot_items(p, it, k=50)
+    users = p.select("user_id").distinct()
+    return recs.blend(cf, content, hot, users)
+
+
+@query("blend", f"""WITH {V.PLAYS}, {V.ITEMS}, {POP_SQL}, {V.itemcf_sim("plays", 20)}, {V.itemcf_recs("plays", 200)},
+{USER_GENRES_SQL.format(n=1)}, {HOT_GENRE_SQL},
+content AS (
+  SELECT ug.user_id, hg.item_id, hg.plays / max(hg.plays) OVER (PARTITION BY hg.genre) AS score
+  FROM hg JOIN ug ON ug.genre = hg.genre WHERE hg.rank <= 100),
+hot AS (SELECT item_id FROM pop ORDER BY plays DESC, item_id LIMIT 50),
+summed AS (
+  SELECT user_id, item_id, SUM(s) AS score FROM (
+    SELECT user_id, item_id, score * 0.5 AS s FROM recs
+    UNION ALL SELECT user_id, item_id, score * 0.3 FROM content) GROUP BY 1, 2),
+fallback AS (
+  SELECT u.user_id, h.item_id, 0.1 AS score
+  FROM (SELECT DISTINCT user_id FROM plays) u CROSS JOIN hot h
+  WHERE NOT EXISTS (SELECT 1 FROM summed s WHERE s.user_id = u.user_id AND s.item_id = h.item_id))
+SELECT user_id, item_id, round(score, 6) AS score FROM (SELECT * FROM summed UNION ALL SELECT * FROM fallback)""")
+def blend(spark, d):
+    return _blended(spark, d).withColumn("score", F.round("score", 6))
+
+
+@query("coverage", f"""WITH {V.PLAYS}, {V.itemcf_sim("plays", 20)}, {V.itemcf_recs("plays", 10)}
+SELECT (SELECT COUNT(DISTINCT item_id) FROM recs) AS n_recommended,
+       (SELECT COUNT(DISTINCT p_partkey) FROM part) AS n_catalogue,
+       round((SELECT COUNT(DISTINCT item_id) FROM recs) / (SELECT COUNT(DISTINCT p_partkey) FROM part), 6) AS coverage""")
+def coverage(spark, d):
+    p = views.plays(spark, d)
+    top = recs.itemcf_recommend(recs.itemcf_fit(p, n=20), p, k=10)
+    c = recs.coverage(top, views.items(spark, d))
+    return c.withColumn("coverage", F.round("coverage", 6))
+
+
+BLACKLIST_BRAND = "Brand#13"
+
+
+@query("drop_blacklisted", f"""WITH {V.PLAYS}, {V.itemcf_sim("plays", 20)}, {V.itemcf_recs("plays", 30)}
+SELECT user_id, item_id, rank FROM recs r
+WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = r.item_id AND p_brand = '{BLACKLIST_BRAND}')""")
+def drop_blacklisted(spark, d):
+    p = views.plays(spark, d)
+    top = recs.itemcf_recommend(recs.itemcf_fit(p, n=20), p, k=30)
+    bl = views.items(spark, d).filter(F.col("brand") == BLACKLIST_BRAND)
+    return recs.drop_blacklisted(top, bl).select("user_id", "item_id", "rank")
+
+
+@query("inject_promos", f"""WITH {V.PLAYS}, {V.itemcf_sim("plays", 20)}, {V.itemcf_recs("plays", 30)},
+promos AS (SELECT p_partkey AS item_id, row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) AS promo_rank
+           FROM part QUALIFY promo_rank <= 5),
+n AS (SELECT user_id, CAST(floor(COUNT(*) / 10) AS INTEGER) AS slots FROM recs GROUP BY 1),
+pc AS (
+  SELECT n.user_id, n.slots, pr.item_id,
+         row_number() OVER (PARTITION BY n.user_id ORDER BY pr.promo_rank) AS j
+  FROM n CROSS JOIN promos pr
+  WHERE n.slots > 0 AND NOT EXISTS (SELECT 1 FROM recs r WHERE r.user_id = n.user_id AND r.item_id = pr.item_id))
+SELECT user_id, item_id, 'organic' AS kind, CAST(rank + floor((rank - 1) / 10) AS BIGINT) AS pos FROM recs
+UNION ALL
+SELECT user_id, item_id, 'promo' AS kind, CAST(j * 11 AS BIGINT) AS pos FROM pc WHERE j <= slots""")
+def inject_promos(spark, d):
+    p = views.plays(spark, d)
+    top = recs.itemcf_recommend(recs.itemcf_fit(p, n=20), p, k=30)
+    promos = _promo_list(spark, d, 5)
+    return recs.inject_promos(top, promos, every=10)
+
+
+def _promo_list(spark, d, n):
+    it = views.items(spark, d)
+    top = it.orderBy(F.col("price").desc(), F.col("item_id")).limit(n)
+    # n rows after the limit: a single-partition window over them is bounded
+    w = Window.orderBy(F.col("price").desc(), F.col("item_id"))
+    return top.select("item_id", F.row_number().over(w).cast("bigint").alias("promo_rank"))
