@@ -119,12 +119,15 @@ def supervised_windows(spark, d):
     )
 
 
-@query("discounted_return", f"""WITH {SEQ}
-SELECT a.user_id, a.pos, round(SUM(pow(0.9, b.pos - a.pos) * b.reward), 4) AS ret
-FROM seq a JOIN seq b ON b.user_id = a.user_id AND b.pos >= a.pos GROUP BY 1, 2""")
+@query("discounted_return", f"""WITH RECURSIVE {SEQ},
+r(user_id, pos, ret) AS (
+  SELECT user_id, pos, reward FROM seq WHERE pos = n
+  UNION ALL
+  SELECT s.user_id, s.pos, s.reward + 0.9 * r.ret FROM seq s JOIN r ON s.user_id = r.user_id AND s.pos = r.pos - 1)
+SELECT user_id, pos, round(ret, 6) AS ret FROM r""")
 def discounted_return(spark, d):
     r = Q.discounted_return(_seq(spark, d, keep_block=True), 0.9)
-    return r.select("user_id", "pos", F.round("ret", 4).alias("ret"))
+    return r.select("user_id", "pos", F.round("ret", 6).alias("ret"))
 
 
 def _steps(seq):
