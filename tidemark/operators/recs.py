@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.numeric import fround
+
 from tidemark.plans.scale import DEFAULT_BLOCK, tiled_pairs, topn_per
 
 RANK_DIGITS = 9
@@ -62,7 +64,7 @@ def itemcf_fit(
         )
     )
     return topn_per(
-        sim, "item_id", [F.round("sim", RANK_DIGITS).desc(), F.col("similar_id")], n
+        sim, "item_id", [fround("sim", RANK_DIGITS).desc(), F.col("similar_id")], n
     )
 
 
@@ -82,7 +84,7 @@ def exclude_seen(cands: DataFrame, plays: DataFrame) -> DataFrame:
 
 def rank_top(cands: DataFrame, k: int, key: str = "user_id", item: str = "item_id", score: str = "score") -> DataFrame:
     """Top-k per key by score desc, id asc, with an explicit rank."""
-    return topn_per(cands, key, [F.round(score, RANK_DIGITS).desc(), F.col(item)], k)
+    return topn_per(cands, key, [fround(score, RANK_DIGITS).desc(), F.col(item)], k)
 
 
 def itemcf_recommend(sim: DataFrame, plays: DataFrame, k: int = 10) -> DataFrame:
@@ -119,7 +121,7 @@ def user_tag_affinity(plays: DataFrame, tagged_items: DataFrame, n: int = 5) ->
         .groupBy("user_id", "tag")
         .agg(F.sum(F.log1p("play_count")).alias("affinity"))
     )
-    return topn_per(aff, "user_id", [F.round("affinity", RANK_DIGITS).desc(), F.col("tag")], n)
+    return topn_per(aff, "user_id", [fround("affinity", RANK_DIGITS).desc(), F.col("tag")], n)
 
 
 def item_popularity(plays: DataFrame) -> DataFrame:

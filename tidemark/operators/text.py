@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.numeric import fround
+
 from tidemark.functions import text as T
 from tidemark.plans.scale import topn_per
 
@@ -112,7 +114,7 @@ def tfidf(tf: DataFrame, n_docs: int, key: str = "doc_id") -> DataFrame:
 
 def keywords(tfidf_df: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
     """Top-n TF-IDF terms per document (score desc, token asc)."""
-    return topn_per(tfidf_df, key, [F.round("tfidf", 9).desc(), F.col("token")], n)
+    return topn_per(tfidf_df, key, [fround("tfidf", 9).desc(), F.col("token")], n)
 
 
 def _pairs_at(t: F.Column, d: int) -> F.Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.numeric import fround
+
 from tidemark.operators import evaluation, recs
 from tidemark.plans import views
 from tidemark.registry import query
@@ -20,9 +22,9 @@ def itemcf_eval(spark, d):
     m = evaluation.ranking_metrics(top, truth, ks=(10, 20, 50))
     return m.select(
         "k", "n_users",
-        F.round("precision", 6).alias("precision"),
-        F.round("recall", 6).alias("recall"),
-        F.round("ndcg", 6).alias("ndcg"),
+        fround("precision", 6).alias("precision"),
+        fround("recall", 6).alias("recall"),
+        fround("ndcg", 6).alias("ndcg"),
     )
 
 
@@ -41,7 +43,7 @@ query("itemcf_eval", ITEMCF_EVAL_SQL)(itemcf_eval)
 SELECT item_id, similar_id, round(sim, 6) AS sim, rank FROM simtop""")
 def itemcf_similarity(spark, d):
     sim = recs.itemcf_fit(views.plays(spark, d), n=20)
-    return sim.select("item_id", "similar_id", F.round("sim", 6).alias("sim"), "rank")
+    return sim.select("item_id", "similar_id", fround("sim", 6).alias("sim"), "rank")
 
 
 @query("itemcf_recommend", f"""WITH {V.PLAYS}, {V.itemcf_sim("plays", 20)}, {V.itemcf_recs("plays", 10)}
@@ -49,7 +51,7 @@ SELECT user_id, item_id, round(score, 6) AS score, rank FROM recs""")
 def itemcf_recommend(spark, d):
     p = views.plays(spark, d)
     top = recs.itemcf_recommend(recs.itemcf_fit(p, n=20), p, k=10)
-    return top.select("user_id", "item_id", F.round("score", 6).alias("score"), "rank")
+    return top.select("user_id", "item_id", fround("score", 6).alias("score"), "rank")
 
 
 TAGS_SQL = """tagged AS (
@@ -68,7 +70,7 @@ SELECT user_id, CAST(SUM(play_count) AS BIGINT) AS total_plays,
 FROM plays GROUP BY 1""")
 def user_stats(spark, d):
     s = recs.user_stats(views.plays(spark, d))
-    return s.withColumn("avg_play", F.round("avg_play", 6))
+    return s.withColumn("avg_play", fround("avg_play", 6))
 
 
 @query("join_tags", f"""WITH {V.PLAYS}, {TAGS_SQL}
@@ -88,7 +90,7 @@ SELECT user_id, tag, round(affinity, 6) AS affinity, rank FROM (
   FROM aff) WHERE rank <= 5""")
 def user_tag_top5(spark, d):
     a = recs.user_tag_affinity(views.plays(spark, d), views.item_tags(views.items(spark, d)), 5)
-    return a.withColumn("affinity", F.round("affinity", 6))
+    return a.withColumn("affinity", fround("affinity", 6))
 
 
 @query("hot_items_global", f"""WITH {V.PLAYS}, {POP_SQL}
@@ -172,7 +174,7 @@ fallback AS (
   WHERE NOT EXISTS (SELECT 1 FROM summed s WHERE s.user_id = u.user_id AND s.item_id = h.item_id))
 SELECT user_id, item_id, round(score, 6) AS score FROM (SELECT * FROM summed UNION ALL SELECT * FROM fallback)""")
 def blend(spark, d):
-    return _blended(spark, d).withColumn("score", F.round("score", 6))
+    return _blended(spark, d).withColumn("score", fround("score", 6))
 
 
 @query("coverage", f"""WITH {V.PLAYS}, {V.itemcf_sim("plays", 20)}, {V.itemcf_recs("plays", 10)}
@@ -183,7 +185,7 @@ def coverage(spark, d):
     p = views.plays(spark, d)
     top = recs.itemcf_recommend(recs.itemcf_fit(p, n=20), p, k=10)
     c = recs.coverage(top, views.items(spark, d))
-    return c.withColumn("coverage", F.round("coverage", 6))
+    return c.withColumn("coverage", fround("coverage", 6))
 
 
 BLACKLIST_BRAND = "Brand#13"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.numeric import fround
+
 from tidemark.operators import sequence as Q
 from tidemark.plans import views
 from tidemark.plans.ordered import lag_join
@@ -39,19 +41,19 @@ def event_positions(spark, d):
 @query("transitions", f"""WITH {SEQ}, {BIGRAMS}, {TRANS}
 SELECT from_state, to_state, count, round(prob, 6) AS prob FROM trans""")
 def transitions(spark, d):
-    return Q.transitions(_seq(spark, d)).withColumn("prob", F.round("prob", 6))
+    return Q.transitions(_seq(spark, d)).withColumn("prob", fround("prob", 6))
 
 
 @query("emissions", f"""WITH {SEQ}, {EMIT} SELECT state, obs, count, round(prob, 6) AS prob FROM emit""")
 def emissions(spark, d):
-    return Q.emissions(_seq(spark, d)).withColumn("prob", F.round("prob", 6))
+    return Q.emissions(_seq(spark, d)).withColumn("prob", fround("prob", 6))
 
 
 @query("hmm_fit", f"""WITH {SEQ}, {BIGRAMS}, {TRANS}, {EMIT}
 SELECT 'trans' AS kind, from_state AS a, to_state AS b, count, round(prob, 6) AS prob FROM trans
 UNION ALL SELECT 'emit', state, obs, count, round(prob, 6) FROM emit""")
 def hmm_fit(spark, d):
-    return Q.hmm_fit(_seq(spark, d)).withColumn("prob", F.round("prob", 6))
+    return Q.hmm_fit(_seq(spark, d)).withColumn("prob", fround("prob", 6))
 
 
 @query("seq_logprob", f"""WITH {SEQ}, {BIGRAMS}, {TRANS}, {EMIT},
@@ -64,7 +66,7 @@ SELECT user_id, COUNT(*) AS n_terms,
 def seq_logprob(spark, d):
     s = _seq(spark, d)
     r = Q.seq_logprob(s, Q.transitions(s), Q.emissions(s))
-    return r.withColumn("logprob", F.round("logprob", 6))
+    return r.withColumn("logprob", fround("logprob", 6))
 
 
 @query("moving_avg", f"""WITH {SEQ}
@@ -73,7 +75,7 @@ SELECT user_id, event_id, pos, round(CASE WHEN pos <= 5 THEN reward ELSE
 FROM seq""")
 def moving_avg(spark, d):
     m = Q.moving_avg(_seq(spark, d), "reward", 5)
-    return m.select("user_id", "event_id", "pos", F.round("ma", 6).alias("ma"))
+    return m.select("user_id", "event_id", "pos", fround("ma", 6).alias("ma"))
 
 
 @query("lag_rate", f"""WITH {SEQ},
@@ -92,7 +94,7 @@ def lag_rate(spark, d):
     return (
         l.filter(F.col("lag3_x").isNotNull() & F.col("lag8_x").isNotNull())
         .groupBy(F.col("lag3_x").alias("x_lag3"), F.col("lag8_x").alias("x_lag8"))
-        .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("y"), 6).alias("rate"))
+        .agg(F.count(F.lit(1)).alias("n"), fround(F.avg("y"), 6).alias("rate"))
     )
 
 
@@ -127,7 +129,7 @@ r(user_id, pos, ret) AS (
 SELECT user_id, pos, round(ret, 6) AS ret FROM r""")
 def discounted_return(spark, d):
     r = Q.discounted_return(_seq(spark, d, keep_block=True), 0.9)
-    return r.select("user_id", "pos", F.round("ret", 6).alias("ret"))
+    return r.select("user_id", "pos", fround("ret", 6).alias("ret"))
 
 
 def _steps(seq):
@@ -154,7 +156,7 @@ q0 AS (SELECT s, a, 0.0 AS q FROM nsa)"""]
 @query("q_iteration", _q_sql(0.9, 10))
 def q_iteration(spark, d):
     q = Q.q_iteration(_steps(_seq(spark, d)), 0.9, 10)
-    return q.select("s", "a", F.round("q", 6).alias("q"))
+    return q.select("s", "a", fround("q", 6).alias("q"))
 
 
 def _tables(spark, d):

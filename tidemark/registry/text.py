@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.numeric import fround
+
 from tidemark.functions import text as T
 from tidemark.operators import text as X
 from tidemark.plans import views
@@ -216,7 +218,7 @@ tfidf AS (SELECT doc_id, token, tf, df, tfidf_note,
 SELECT doc_id, token, tf, df, round(tfidf_note, 6) AS tfidf_note, round(tfidf, 6) AS tfidf FROM tfidf""")
 def tfidf(spark, d):
     t = X.tfidf(X.term_freq(_docs(spark, d)), _n_docs(spark, d))
-    return t.withColumn("tfidf_note", F.round("tfidf_note", 6)).withColumn("tfidf", F.round("tfidf", 6))
+    return t.withColumn("tfidf_note", fround("tfidf_note", 6)).withColumn("tfidf", fround("tfidf", 6))
 
 
 @query("keywords", f"""WITH {DOCS}, {TOK}, {TFIDF}
@@ -226,7 +228,7 @@ WHERE rank <= 5""")
 def keywords(spark, d):
     t = X.tfidf(X.term_freq(_docs(spark, d)), _n_docs(spark, d))
     k = X.keywords(t, 5)
-    return k.select("doc_id", "token", F.round("tfidf", 6).alias("tfidf"), "rank")
+    return k.select("doc_id", "token", fround("tfidf", 6).alias("tfidf"), "rank")
 
 
 @query("bigram_counts", f"""WITH {DOCS},
@@ -264,7 +266,7 @@ def _sql_window_pairs(w: int) -> str:
 SELECT w1, w2, COUNT(*) AS count, round(SUM(1.0 / d), 6) AS weight FROM pairs GROUP BY 1, 2""")
 def cooccurrence(spark, d):
     c = X.cooccurrence(_docs(spark, d), window=2)
-    return c.withColumn("weight", F.round("weight", 6))
+    return c.withColumn("weight", fround("weight", 6))
 
 
 @query("ngram_context", f"""WITH {DOCS},
@@ -281,7 +283,7 @@ c AS (SELECT *, SUM(w) OVER () AS tot, SUM(w) OVER (ORDER BY id ROWS BETWEEN UNB
 SELECT token, id, count, round(w / tot, 9) AS share, round((cum - w) / tot, 9) AS lo, round(cum / tot, 9) AS hi FROM c""")
 def negative_table(spark, d):
     t = X.negative_table(X.build_vocab(_docs(spark, d), V))
-    return t.select("token", "id", "count", *[F.round(c, 9).alias(c) for c in ("share", "lo", "hi")])
+    return t.select("token", "id", "count", *[fround(c, 9).alias(c) for c in ("share", "lo", "hi")])
 
 
 BOW = f"""bow AS (SELECT p.doc_id, v.id, COUNT(*) AS count FROM ptok p JOIN vocab v ON v.token = p.token
@@ -327,7 +329,7 @@ def smooth_rate(spark, d):
 
     lab = views.table(spark, d, "labels").join(views.corpus(spark, d), "doc_id")
     r = stats.beta_binomial_rate(lab, "source", "quality", 1.0, 1.0)
-    return r.withColumn("rate", F.round("rate", 6))
+    return r.withColumn("rate", fround("rate", 6))
 
 
 @query("lang_shares", """WITH c AS (SELECT source, lang, COUNT(*) AS c FROM documents GROUP BY 1, 2),
@@ -340,7 +342,7 @@ def lang_shares(spark, d):
     docs = views.corpus(spark, d)
     k = docs.select("lang").distinct().count()
     s = stats.dirichlet_shares(docs, "source", "lang", 1.0, k)
-    return s.withColumn("share", F.round("share", 6))
+    return s.withColumn("share", fround("share", 6))
 
 
 @query("unigram_ll", f"""WITH {DOCS}, {TOK}, {COUNTS},
@@ -353,7 +355,7 @@ def unigram_ll(spark, d):
     from tidemark.operators import stats
 
     docs = _docs(spark, d)
-    return stats.unigram_loglik(docs, "tokens").withColumn("loglik", F.round("loglik", 6))
+    return stats.unigram_loglik(docs, "tokens").withColumn("loglik", fround("loglik", 6))
 
 
 @query("mask_tokens", f"""WITH {DOCS}, {TOK}, {COUNTS}, {sql_vocab(V)}, {POSTOK},
