@@ -227,3 +227,147 @@ def inject_promos(ranked: DataFrame, promos: DataFrame, every: int = 10) -> Data
         (F.col("_j") * (every + 1)).cast("bigint").alias("pos"),
     )
     return organic.unionByName(promo)
+
+
+# ---------------------------------------------------------------- user CF
+
+def usercf_fit(plays: DataFrame, n: int = 20, alpha: float = 0.5, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """M3: user similarity through the item inverted index (pairs of users
+    per item, tiled), normalised like item CF; top n neighbours per user.
+    Output (user_id, neighbor_id, sim, rank)."""
+    w = log_weight(plays)
+    pairs = tiled_pairs(w, "item_id", "user_id", carry=["w"], block=block)
+    half = pairs.groupBy(F.col("a_user_id").alias("u"), F.col("b_user_id").alias("v")).agg(
+        F.sum(F.col("a_w") * F.col("b_w")).alias("co"))
+    co = half.unionByName(half.select(F.col("v").alias("u"), F.col("u").alias("v"), "co"))
+    n_items = w.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    sim = (
+        co.join(n_items.select(F.col("user_id").alias("u"), F.col("n").alias("nu")), "u")
+        .join(n_items.select(F.col("user_id").alias("v"), F.col("n").alias("nv")), "v")
+        .select(F.col("u").alias("user_id"), F.col("v").alias("neighbor_id"),
+                (F.col("co") / (F.pow("nu", F.lit(alpha)) * F.pow("nv", F.lit(1 - alpha)) + F.lit(1e-9))).alias("sim"))
+    )
+    return topn_per(sim, "user_id", [fround("sim", RANK_DIGITS).desc(), F.col("neighbor_id")], n)
+
+
+def usercf_recommend(neigh: DataFrame, plays: DataFrame, k: int = 10) -> DataFrame:
+    """score(u, j) = sum over neighbours v of sim(u, v) * w_vj, j unseen by u."""
+    w = log_weight(plays)
+    cands = (
+        neigh.join(w.select(F.col("user_id").alias("neighbor_id"), "item_id", "w"), "neighbor_id")
+        .groupBy("user_id", "item_id").agg(F.sum(F.col("sim") * F.col("w")).alias("score"))
+    )
+    return rank_top(exclude_seen(cands, plays), k)
+
+
+def target_users(sim: DataFrame, plays: DataFrame, items_df: DataFrame, k: int) -> DataFrame:
+    """Audience of every item - listeners of its similar items scored by
+    sum sim * w (source 'similar'), plus the top users of its genre by
+    genre affinity (source 'genre').  Output (item_id, user_id, score, rank, source)."""
+    w = log_weight(plays)
+    via = (
+        sim.select("item_id", F.col("similar_id").alias("_s"), "sim")
+        .join(w.select(F.col("item_id").alias("_s"), "user_id", "w"), "_s")
+        .groupBy("item_id", "user_id").agg(F.sum(F.col("sim") * F.col("w")).alias("score"))
+    )
+    via = topn_per(via, "item_id", [fround("score", RANK_DIGITS).desc(), F.col("user_id")], k).withColumn(
+        "source", F.lit("similar"))
+    g = w.join(items_df.select("item_id", "genre"), "item_id").groupBy("genre", "user_id").agg(
+        F.sum("w").alias("score"))
+    gtop = topn_per(g, "genre", [fround("score", RANK_DIGITS).desc(), F.col("user_id")], k)
+    by_genre = items_df.select("item_id", "genre").join(gtop, "genre").select(
+        "item_id", "user_id", "score", "rank", F.lit("genre").alias("source"))
+    return via.select("item_id", "user_id", "score", "rank", "source").unionByName(by_genre)
+
+
+# ---------------------------------------------------------------- samples
+
+def _u32(s: F.Column) -> F.Column:
+    return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint")
+
+
+def build_samples(plays: DataFrame, catalogue: DataFrame, ratio: int = 1, seed: int = 42) -> DataFrame:
+    """Positives (label 1) plus n_neg = min(n_pos*ratio, |catalogue| - n_pos)
+    unplayed items (label 0) per user, without replacement.
+
+    Negative order for user u: catalogue items by (g(i) - o(u)) mod 2^32,
+    then id, where g and o are md5 numbers of seed:item and seed:user - a
+    per-user rotation of one global hash order.  The catalogue is numbered
+    once in g order (skew-safe positions); each user then reads the
+    n_pos + n_neg consecutive positions after its start point - enough to
+    skip its own plays - so work is linear in plays, with no user x item
+    product.  Output (user_id, item_id, label)."""
+    from tidemark.plans.ordered import with_positions
+
+    pos = plays.select("user_id", "item_id").distinct()
+    cat = catalogue.select("item_id").distinct().withColumn("g", _u32(F.concat(F.lit(f"{seed}:"), F.col("item_id").cast("string"))))
+    n_cat = cat.count()
+    ranked = with_positions(cat.withColumn("_k", F.lit(0)), "_k", ["g", "item_id"], numeric_order=True)
+    ranked = ranked.select("item_id", "g", (F.col("pos") - 1).alias("p"))
+    # start point: number of items with g < o(u), via 2^16 hash buckets (a
+    # dense bucket table, so every user bucket finds its prefix count)
+    spark = plays.sparkSession
+    counts = ranked.groupBy((F.col("g") / 65536).cast("bigint").alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    dense = spark.range(65536).withColumnRenamed("id", "b").join(counts, "b", "left").fillna(0, ["c"])
+    run = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)  # 65536 rows
+    before = dense.select("b", F.coalesce(F.sum("c").over(run), F.lit(0)).alias("cb"))
+    users = pos.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_pos")).withColumn(
+        "o", _u32(F.concat(F.lit(f"{seed}:"), F.col("user_id").cast("string")))).withColumn(
+        "b", (F.col("o") / 65536).cast("bigint"))
+    inb = users.join(ranked.withColumn("b", (F.col("g") / 65536).cast("bigint")), "b").filter(
+        F.col("g") < F.col("o")).groupBy("user_id").agg(F.count(F.lit(1)).alias("inb"))
+    start = users.join(before, "b").join(inb, "user_id", "left").select(
+        "user_id", "n_pos", (F.col("cb") + F.coalesce(F.col("inb"), F.lit(0))).alias("s"))
+    start = start.withColumn("n_neg", F.least(F.col("n_pos") * ratio, F.lit(n_cat) - F.col("n_pos")))
+    m = F.least(F.col("n_pos") + F.col("n_neg"), F.lit(n_cat))
+    walk = start.filter(F.col("n_neg") > 0).select(
+        "user_id", "n_neg", F.explode(F.sequence(F.lit(0), m - 1)).alias("off"), "s")
+    walk = walk.withColumn("p", F.pmod(F.col("s") + F.col("off"), F.lit(n_cat)))
+    cand = walk.join(ranked.select("p", "item_id"), "p").join(pos, ["user_id", "item_id"], "left_anti")
+    # rank among the user's unplayed candidates with skew-safe positions
+    neg = with_positions(cand, "user_id", ["off"], pos="_r", numeric_order=True).filter(F.col("_r") <= F.col("n_neg"))
+    return pos.withColumn("label", F.lit(1)).unionByName(neg.select("user_id", "item_id", F.lit(0).alias("label")))
+
+
+# ---------------------------------------------------------------- re-ranking
+
+def list_diversity(recs: DataFrame, items_df: DataFrame, key: str = "user_id") -> DataFrame:
+    """Share of item pairs in a list whose genres differ, from per-genre
+    counts (no pairs are formed): 1 - sum_g C(c_g, 2) / C(n, 2)."""
+    g = recs.join(items_df.select("item_id", "genre"), "item_id").groupBy(key, "genre").agg(
+        F.count(F.lit(1)).alias("c"))
+    per = g.groupBy(key).agg(F.sum("c").alias("n"), F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("same"))
+    return per.select(key, "n", F.when(F.col("n") > 1, 1 - F.col("same") / (F.col("n") * (F.col("n") - 1) / 2)).alias("diversity"))
+
+
+def _diversify_fn(max_run: int):
+    import pandas as pd
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rank")
+        remaining = list(zip(pdf["item_id"], pdf["genre"]))
+        out, last, run = [], None, 0
+        while remaining:
+            pick = None
+            for idx, (_, g) in enumerate(remaining):
+                if not (g == last and run >= max_run):
+                    pick = idx
+                    break
+            if pick is None:
+                pick = 0
+            item, g = remaining.pop(pick)
+            run = run + 1 if g == last else 1
+            last = g
+            out.append(item)
+        return pd.DataFrame({"user_id": pdf["user_id"].iloc[0], "item_id": out,
+                             "rank": range(1, len(out) + 1)})
+    return fn
+
+
+def diversify(ranked: DataFrame, items_df: DataFrame, max_run: int = 3) -> DataFrame:
+    """Re-order each list so no more than `max_run` consecutive items share
+    a genre: repeatedly take the best-ranked item that keeps the run short
+    (if none does, the best-ranked one).  Sequential per list, so it runs in
+    applyInPandas; lists are already cut to a bounded length."""
+    j = ranked.select("user_id", "item_id", "rank").join(items_df.select("item_id", "genre"), "item_id")
+    return j.groupBy("user_id").applyInPandas(_diversify_fn(max_run), "user_id long, item_id long, rank long")

@@ -226,3 +226,93 @@ def _promo_list(spark, d, n):
     # n rows after the limit: a single-partition window over them is bounded
     w = Window.orderBy(F.col("price").desc(), F.col("item_id"))
     return top.select("item_id", F.row_number().over(w).cast("bigint").alias("promo_rank"))
+
+
+@query("usercf_recommend", f"""WITH {V.PLAYS},
+w AS (SELECT user_id, item_id, ln(1 + play_count) AS w FROM plays),
+co AS (SELECT a.user_id AS u, b.user_id AS v, SUM(a.w * b.w) AS co
+       FROM w a JOIN w b ON a.item_id = b.item_id AND a.user_id <> b.user_id GROUP BY 1, 2),
+nu AS (SELECT user_id, COUNT(*) AS n FROM w GROUP BY 1),
+sim AS (SELECT u AS user_id, v AS neighbor_id, co / (pow(x.n, 0.5) * pow(y.n, 0.5) + 1e-9) AS sim
+        FROM co JOIN nu x ON x.user_id = u JOIN nu y ON y.user_id = v),
+nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(sim, 9) DESC, neighbor_id) AS rank
+       FROM sim) WHERE rank <= 20),
+cand AS (SELECT nb.user_id, w.item_id, SUM(nb.sim * w.w) AS score FROM nb JOIN w ON w.user_id = nb.neighbor_id GROUP BY 1, 2),
+unseen AS (SELECT * FROM cand c WHERE NOT EXISTS (SELECT 1 FROM plays p WHERE p.user_id = c.user_id AND p.item_id = c.item_id))
+SELECT user_id, item_id, round(score, 6) AS score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rank FROM unseen)
+WHERE rank <= 10""")
+def usercf_recommend(spark, d):
+    p = views.plays(spark, d)
+    top = recs.usercf_recommend(recs.usercf_fit(p, n=20), p, k=10)
+    return top.select("user_id", "item_id", fround("score", 6).alias("score"), "rank")
+
+
+@query("target_users", f"""WITH {V.PLAYS}, {V.ITEMS}, {V.itemcf_sim("plays", 20)},
+via AS (SELECT s.item_id, w.user_id, SUM(s.sim * w.w) AS score FROM simtop s JOIN w ON w.item_id = s.similar_id GROUP BY 1, 2),
+vt AS (SELECT item_id, user_id, score, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9) DESC, user_id) AS rank
+       FROM via QUALIFY rank <= 20),
+g AS (SELECT i.genre, w.user_id, SUM(w.w) AS score FROM w JOIN items i ON i.item_id = w.item_id GROUP BY 1, 2),
+gt AS (SELECT genre, user_id, score, row_number() OVER (PARTITION BY genre ORDER BY round(score, 9) DESC, user_id) AS rank
+       FROM g QUALIFY rank <= 20)
+SELECT item_id, user_id, round(score, 6) AS score, rank, 'similar' AS source FROM vt
+UNION ALL
+SELECT i.item_id, gt.user_id, round(gt.score, 6), gt.rank, 'genre' FROM items i JOIN gt ON gt.genre = i.genre""")
+def target_users(spark, d):
+    p = views.plays(spark, d)
+    it = views.items(spark, d)
+    t = recs.target_users(recs.itemcf_fit(p, n=20), p, it, 20)
+    return t.withColumn("score", fround("score", 6))
+
+
+SAMPLES_SQL = f"""{V.PLAYS},
+pos AS (SELECT DISTINCT user_id, item_id FROM plays),
+np AS (SELECT user_id, COUNT(*) AS n_pos FROM pos GROUP BY 1),
+cat AS (SELECT DISTINCT p_partkey AS item_id FROM part),
+nc AS (SELECT COUNT(*) AS n FROM cat),
+g AS (SELECT item_id, ('0x' || substr(md5('42:' || item_id), 1, 8))::BIGINT AS g FROM cat),
+o AS (SELECT np.user_id, np.n_pos, least(np.n_pos * 1, nc.n - np.n_pos) AS n_neg,
+             ('0x' || substr(md5('42:' || np.user_id), 1, 8))::BIGINT AS o FROM np CROSS JOIN nc),
+cand AS (SELECT o.user_id, o.n_neg, g.item_id, (g.g - o.o + 4294967296) % 4294967296 AS key
+         FROM o CROSS JOIN g
+         WHERE NOT EXISTS (SELECT 1 FROM pos WHERE pos.user_id = o.user_id AND pos.item_id = g.item_id)),
+neg AS (SELECT user_id, item_id FROM (
+          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY key, item_id) AS r FROM cand) WHERE r <= n_neg)"""
+
+
+@query("build_samples", f"""WITH {SAMPLES_SQL}
+SELECT user_id, item_id, 1 AS label FROM pos UNION ALL SELECT user_id, item_id, 0 FROM neg""")
+def build_samples(spark, d):
+    return recs.build_samples(views.plays(spark, d), views.items(spark, d), ratio=1, seed=42)
+
+
+@query("list_diversity", f"""WITH {V.PLAYS}, {V.ITEMS}, {V.itemcf_sim("plays", 20)}, {V.itemcf_recs("plays", 10)},
+g AS (SELECT r.user_id, i.genre, COUNT(*) AS c FROM recs r JOIN items i ON i.item_id = r.item_id GROUP BY 1, 2),
+per AS (SELECT user_id, SUM(c) AS n, SUM(c * (c - 1) / 2) AS same FROM g GROUP BY 1)
+SELECT user_id, CAST(n AS BIGINT) AS n, round(CASE WHEN n > 1 THEN 1 - same / (n * (n - 1) / 2) END, 6) AS diversity FROM per""")
+def list_diversity(spark, d):
+    p = views.plays(spark, d)
+    top = recs.itemcf_recommend(recs.itemcf_fit(p, n=20), p, k=10)
+    return recs.list_diversity(top, views.items(spark, d)).withColumn("diversity", fround("diversity", 6))
+
+
+@query("diversify")
+def diversify(spark, d):
+    """Rows-only (sequential greedy per list): top-30 item-CF lists re-ordered
+    so that no more than 3 consecutive items share a genre."""
+    p = views.plays(spark, d)
+    top = recs.itemcf_recommend(recs.itemcf_fit(p, n=20), p, k=30)
+    return recs.diversify(top, views.items(spark, d), 3)
+
+
+@query("recommend_batch")
+def recommend_batch(spark, d):
+    """Rows-only composite (M9): blend CF 200 / content 100 / hot 50, drop the
+    blacklist, diversify (max 3 in a row), cut to 27 organic, inject one
+    promoted item per 10 -> 30 slots per user."""
+    blended = _blended(spark, d)
+    it = views.items(spark, d)
+    clean = recs.drop_blacklisted(blended, it.filter(F.col("brand") == BLACKLIST_BRAND))
+    ranked = recs.rank_top(clean, 200)
+    div = recs.diversify(ranked, it, 3).filter(F.col("rank") <= 27)
+    return recs.inject_promos(div, _promo_list(spark, d, 5), every=10)
