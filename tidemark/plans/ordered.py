@@ -100,3 +100,11 @@ def trailing_agg(positioned: DataFrame, key: str, value: str, width: int, pos: s
     )
     agg = scat.groupBy(key, pos).agg(F.avg("_v").alias("trail_avg"), F.count(F.lit(1)).alias("trail_n"))
     return positioned.join(agg, [key, pos], "left")
+
+
+def dense_index(df: DataFrame, col: str, out: str = "idx") -> DataFrame:
+    """Distinct values of a numeric column numbered 0..n-1 in value order,
+    with the skew-safe positions above (no driver-side label list)."""
+    d = df.select(col).distinct().withColumn("_k", F.lit(0))
+    p = with_positions(d, "_k", [col], pos="_p", numeric_order=True)
+    return p.select(col, (F.col("_p") - 1).cast("int").alias(out))
