@@ -201,3 +201,114 @@ def mask_tokens(docs: DataFrame, vocab: DataFrame, seed: int, V: int,
     action = F.when(F.col("u2") < 0.8, "mask").when(F.col("u2") < 0.9, "random").otherwise("keep")
     repl = F.when(F.col("u2") < 0.8, F.lit("[MASK]")).when(F.col("u2") < 0.9, F.col("_rtok")).otherwise(F.col("token"))
     return j.select(key, "pos", "token", repl.alias("replacement"), action.alias("action"))
+
+
+# ---------------------------------------------------------------- pages, filters
+
+# HTML entities decoded by the page-to-text extractor.
+HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+
+
+def html_to_text(html: F.Column) -> F.Column:
+    """Drop script/style/comment blocks, replace tags by spaces, decode
+    the common entities (&amp; last), collapse whitespace."""
+    t = F.regexp_replace(html, r"(?is)<script[^>]*>.*?</script>", " ")
+    t = F.regexp_replace(t, r"(?is)<style[^>]*>.*?</style>", " ")
+    t = F.regexp_replace(t, r"(?s)<!--.*?-->", " ")
+    t = F.regexp_replace(t, r"<[^>]*>", " ")
+    for ent, ch in HTML_ENTITIES:
+        t = F.replace(t, F.lit(ent), F.lit(ch))
+    return F.trim(F.regexp_replace(t, r"\s+", " "))
+
+
+def term_log_odds(docs: DataFrame, flag: str, tokens: str = "tokens", min_df: int = 3, alpha: float = 1.0) -> DataFrame:
+    """Per term: document frequency in flagged / unflagged documents and the
+    smoothed log-odds ratio ln((a + alpha) / (A - a + alpha)) - ln((b + alpha) / (B - b + alpha))."""
+    tot = docs.agg(F.sum(F.col(flag).cast("bigint")).alias("A"), F.sum((~F.col(flag)).cast("bigint")).alias("B")).first()
+    A, B = tot["A"] or 0, tot["B"] or 0
+    per = docs.select(flag, F.explode(F.array_distinct(tokens)).alias("term")).groupBy("term").agg(
+        F.sum(F.col(flag).cast("bigint")).alias("a"), F.sum((~F.col(flag)).cast("bigint")).alias("b"))
+    per = per.filter(F.col("a") + F.col("b") >= min_df)
+    lo = (F.log((F.col("a") + alpha) / (F.lit(A) - F.col("a") + alpha))
+          - F.log((F.col("b") + alpha) / (F.lit(B) - F.col("b") + alpha)))
+    return per.withColumn("log_odds", lo)
+
+
+def filter_terms(docs: DataFrame, dictionary: DataFrame, tokens: str = "tokens", key: str = "doc_id") -> DataFrame:
+    """Hit report of dictionary terms per document (term join against
+    the bounded dictionary) plus a flag; documents without hits are kept
+    with zero hits."""
+    hits = (
+        docs.select(key, F.explode(tokens).alias("term"))
+        .join(F.broadcast(dictionary.select("term")), "term")
+        .groupBy(key).agg(F.count(F.lit(1)).alias("hits"), F.countDistinct("term").alias("distinct_terms"))
+    )
+    return docs.select(key).join(hits, key, "left").fillna(0, ["hits", "distinct_terms"]).withColumn(
+        "flagged", F.col("hits") > 0)
+
+
+def decode_ids(docs: DataFrame, vocab: DataFrame, ids: str = "ids", key: str = "doc_id", eos: int | None = None) -> DataFrame:
+    """ids back to tokens through the (bounded) vocabulary, in order,
+    cut at the first EOS when given."""
+    ex = docs.select(key, F.posexplode(ids).alias("pos", "id"))
+    if eos is not None:
+        first_eos = ex.filter(F.col("id") == eos).groupBy(key).agg(F.min("pos").alias("_cut"))
+        ex = ex.join(first_eos, key, "left").filter(F.col("_cut").isNull() | (F.col("pos") < F.col("_cut")))
+    j = ex.join(F.broadcast(vocab.select("id", "token")), "id", "left")
+    g = j.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_t"))
+    return docs.select(key).join(g.select(key, F.col("_t.token").alias("tokens")), key, "left").select(
+        key, F.coalesce(F.col("tokens"), F.array().cast("array<string>")).alias("tokens"))
+
+
+def seq2seq_batch(enc_ids: F.Column, dec_ids: F.Column, enc_len: int, dec_len: int,
+                  pad: int = 0, go: int = 1):
+    """encoder input = ids right-padded to enc_len, then reversed;
+    decoder input = GO + ids right-padded to dec_len; target weight 1 except
+    where the next decoder token is PAD (and at the last step)."""
+    enc = F.reverse(F.concat(enc_ids, F.array_repeat(F.lit(pad), F.greatest(F.lit(enc_len) - F.size(enc_ids), F.lit(0)))))
+    d = F.concat(F.array(F.lit(go)), dec_ids)
+    dec = F.concat(d, F.array_repeat(F.lit(pad), F.greatest(F.lit(dec_len) - F.size(d), F.lit(0))))
+    weights = F.transform(dec, lambda x, i: F.when(
+        (i < dec_len - 1) & (F.element_at(dec, i + 2) != pad), F.lit(1.0)).otherwise(F.lit(0.0)))
+    return enc, dec, weights
+
+
+def glove_cells(cooc: DataFrame, x_max: float = 100.0, power: float = 0.75) -> DataFrame:
+    """GloVe inputs for cells with X > 0: weight f(X) = min(1, (X/x_max)^power)
+    and target ln X (X = the 1/d-weighted co-occurrence)."""
+    return cooc.filter(F.col("weight") > 0).select(
+        "w1", "w2", F.col("weight").alias("x"),
+        F.least(F.lit(1.0), F.pow(F.col("weight") / x_max, F.lit(power))).alias("f"),
+        F.log("weight").alias("target"))
+
+
+def jaccard(a: F.Column, b: F.Column) -> F.Column:
+    """U4: |A n B| / |A u B| of two token sets (null for two empty sets)."""
+    u = F.size(F.array_union(F.array_distinct(a), F.array_distinct(b)))
+    return F.when(u > 0, F.size(F.array_intersect(a, b)) / u)
+
+
+def nsp_pairs(sents: DataFrame, seed: int = 5, buckets: int = 1024, key: str = "doc_id") -> DataFrame:
+    """for every sentence that has a successor: with probability 1/2
+    (md5) the true next sentence (is_next = 1), otherwise a sentence of
+    another document (is_next = 0) chosen by an md5 bucket: the two
+    smallest-hash sentences of the bucket are kept (a partial top-2), and the
+    first one not from the same document is used.  No pairs are enumerated.
+
+    sents: (doc_id, sent_pos, sentence), positions 1..n per document."""
+    h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), F.col("sent_pos").cast("string")))
+    s = sents.withColumn("_h", h).withColumn("_b", F.pmod(F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint"),
+                                                          F.lit(buckets)))
+    nxt = sents.select(key, (F.col("sent_pos") - 1).alias("sent_pos"), F.col("sentence").alias("_next"))
+    base = s.join(nxt, [key, "sent_pos"])  # sentences with a successor
+    coin = F.conv(F.substring("_h", 9, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+    pick = F.pmod(F.conv(F.substring("_h", 17, 8), 16, 10).cast("bigint"), F.lit(buckets))
+    base = base.withColumn("is_next", (coin < 0.5).cast("int")).withColumn("_pb", pick)
+    top2 = topn_per(s.select(F.col("_b").alias("_pb"), F.col(key).alias("_od"), F.col("sentence").alias("_other"), "_h"),
+                    "_pb", [F.col("_h")], 2, rank_col="_r")
+    cand = base.filter(F.col("is_next") == 0).join(top2, "_pb").filter(F.col("_od") != F.col(key))
+    w = topn_per(cand, [key, "sent_pos"], [F.col("_r")], 1, rank_col="_q")
+    neg = w.select(key, "sent_pos", F.col("sentence").alias("a"), F.col("_other").alias("b"), F.lit(0).alias("is_next"))
+    pos = base.filter(F.col("is_next") == 1).select(key, "sent_pos", F.col("sentence").alias("a"),
+                                                    F.col("_next").alias("b"), "is_next")
+    return pos.unionByName(neg)

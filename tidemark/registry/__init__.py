@@ -30,6 +30,7 @@ DOMAINS = (
     "sources",
     "models",
     "streams",
+    "textprep",
 )
 
 
