@@ -6,6 +6,8 @@ same patterns run in Java regex (Spark) and RE2 (the DuckDB oracle).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,9 +44,23 @@ NOT_LETTER_OR_SPACE_RE = r"[^\p{L} ]"
 # ---------------------------------------------------------------------------
 
 
+def split_words(s: Column) -> Column:
+    """Split a single-spaced string on spaces, dropping empty pieces (so ''
+    gives []).  The string expression is referenced once, so the regex chain
+    that produces it runs once per row."""
+    return F.array_remove(F.split(s, " "), "")
+
+
+def _squeeze(s: Column) -> Column:
+    return F.trim(F.regexp_replace(s, " +", " "))
+
+
 def clean_email_text(text: Column) -> Column:
     """Newline and '-' to space, drop dates, times, e-mail addresses and
-    URLs, keep letters and spaces, drop one-letter words, single-space join."""
+    URLs, keep letters and spaces, drop one-letter words, single-space join.
+
+    Written as a chain of regular expressions only (no lambda functions), so
+    the whole step stays in generated code."""
     t = F.translate(text, "\n", " ")
     t = F.regexp_replace(t, "-", " ")
     t = F.regexp_replace(t, DATE_RE, "")
@@ -52,8 +68,36 @@ def clean_email_text(text: Column) -> Column:
     t = F.regexp_replace(t, EMAIL_RE, "")
     t = F.regexp_replace(t, URL_RE, "")
     t = F.regexp_replace(t, NOT_LETTER_OR_SPACE_RE, "")
-    words = F.filter(F.split(t, " "), lambda w: F.length(w) > 1)
-    return F.array_join(words, " ")
+    t = F.regexp_replace(F.concat(F.lit(" "), t, F.lit(" ")), r"(?<= )\p{L}(?= )", "")
+    return _squeeze(t)
+
+
+def _trie_pattern(words_: list[str]) -> str:
+    """Alternation of the words arranged as a prefix tree (one branch per
+    first letter), so matching costs one trie walk per word start."""
+    trie: dict = {}
+    for w in words_:
+        node = trie
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def emit(node: dict) -> str:
+        alts = [re.escape(ch) + emit(child) for ch, child in sorted(node.items()) if ch]
+        if not alts:
+            return ""
+        body = "(?:" + "|".join(alts) + ")"
+        return body + "?" if "" in node else body
+
+    return emit(trie)
+
+
+STOP_RE = r"(?<= )" + "(?:" + _trie_pattern(STOP_WORDS) + ")" + r"(?= )"
+
+
+def remove_stop_words(s: Column) -> Column:
+    """Delete whole stop words from a single-spaced lower-case string."""
+    return _squeeze(F.regexp_replace(F.concat(F.lit(" "), s, F.lit(" ")), STOP_RE, " "))
 
 
 def stop_array() -> Column:
@@ -63,17 +107,15 @@ def stop_array() -> Column:
 def words(text: Column, stop: bool = True) -> Column:
     """Cleaned, lower-cased word array without stop words (the corpus
     tokenisation used by the vocabulary, TF-IDF and topic operators)."""
-    toks = F.split(F.lower(clean_email_text(text)), " ")
+    t = F.lower(clean_email_text(text))
     if stop:
-        sw = stop_array()
-        return F.filter(toks, lambda w: (w != "") & ~F.array_contains(sw, w))
-    return F.filter(toks, lambda w: w != "")
+        t = remove_stop_words(t)
+    return split_words(t)
 
 
 def tokenize_ws(text: Column) -> Column:
     """lower-case, split on whitespace runs."""
-    t = F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
-    return F.filter(F.split(t, " "), lambda w: w != "")
+    return split_words(F.trim(F.regexp_replace(F.lower(text), r"\s+", " ")))
 
 
 def chars(text: Column) -> Column:
@@ -89,8 +131,7 @@ def basic_tokenizer(text: Column, normalize_digits: bool = True) -> Column:
     """
     t = F.regexp_replace(text, "[0-9]+", NUM_TOKEN) if normalize_digits else text
     t = F.translate(t, CJK_PUNCT, "")
-    t = F.trim(F.regexp_replace(t, r"\s+", " "))
-    return F.filter(F.split(t, " "), lambda w: w != "")
+    return split_words(F.trim(F.regexp_replace(t, r"\s+", " ")))
 
 
 def sentences(text: Column) -> Column:

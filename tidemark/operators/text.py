@@ -117,47 +117,56 @@ def keywords(tfidf_df: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
     return topn_per(tfidf_df, key, [fround("tfidf", 9).desc(), F.col("token")], n)
 
 
-def _pairs_at(t: F.Column, d: int) -> F.Column:
-    idx = F.sequence(F.lit(1), F.greatest(F.size(t) - d, F.lit(1)))
-    fwd = F.transform(idx, lambda i: F.struct(
-        F.element_at(t, i).alias("w1"), F.element_at(t, i + d).alias("w2"), F.lit(d).alias("d")))
-    bwd = F.transform(idx, lambda i: F.struct(
-        F.element_at(t, i + d).alias("w1"), F.element_at(t, i).alias("w2"), F.lit(d).alias("d")))
-    empty = F.array().cast("array<struct<w1:string,w2:string,d:int>>")
-    return F.when(F.size(t) > d, F.concat(fwd, bwd)).otherwise(empty)
+def _zip_at(t: F.Column, d: int, forward: bool) -> F.Column:
+    """(w1, w2, d) structs for every position pair at distance d, from two
+    aligned slices (arrays_zip: no per-element lambda); forward pairs read
+    left to right, backward pairs right to left."""
+    n = F.greatest(F.size(t) - d, F.lit(0))
+    a, b = F.slice(t, 1, n), F.slice(t, 1 + d, n)
+    first, second = (a, b) if forward else (b, a)
+    return F.arrays_zip(first.alias("w1"), second.alias("w2"), F.array_repeat(F.lit(d), n).alias("d"))
 
 
 def window_pairs(tokens: str, window: int) -> F.Column:
     """Array of (w1, w2, d) for every ordered pair at distance 1..window, both
-    directions, built per row with higher-order functions (no join)."""
+    directions, built per row from aligned slices (no join, no lambda)."""
     t = F.col(tokens)
-    return F.flatten(F.array(*[_pairs_at(t, d) for d in range(1, window + 1)]))
+    return F.concat(*[_zip_at(t, d, fw) for d in range(1, window + 1) for fw in (True, False)])
 
 
 def cooccurrence(docs: DataFrame, window: int = 2, tokens: str = "tokens") -> DataFrame:
     """Symmetric-window word co-occurrence: plain count and 1/d weight."""
-    pairs = docs.select(F.explode(window_pairs(tokens, window)).alias("p")).select("p.*")
+    pairs = docs.select(F.explode(window_pairs(tokens, window)).alias("p")).select(
+        F.col("p.w1").alias("w1"), F.col("p.w2").alias("w2"), F.col("p.d").alias("d"))
     return pairs.groupBy("w1", "w2").agg(
         F.count(F.lit(1)).alias("count"), F.sum(1.0 / F.col("d")).alias("weight")
     )
 
 
+def ngram_structs(tokens: F.Column, n: int) -> F.Column:
+    """Array of structs (g0 .. g{n-1}) of the consecutive n-grams."""
+    m = F.greatest(F.size(tokens) - n + 1, F.lit(0))
+    return F.arrays_zip(*[F.slice(tokens, 1 + i, m).alias(f"g{i}") for i in range(n)])
+
+
 def ngram_lm_pairs(docs: DataFrame, n: int, tokens: str = "tokens") -> DataFrame:
     """A26 (n-gram mode): (previous n-1 words, next word) pair counts."""
-    t = F.col(tokens)
-    idx = F.sequence(F.lit(n), F.greatest(F.size(t), F.lit(n)))
-    pairs = F.transform(idx, lambda i: F.struct(
-        F.array_join(F.slice(t, i - (n - 1), n - 1), " ").alias("context"),
-        F.element_at(t, i).alias("target")))
-    ok = F.size(t) >= n
+    g = docs.select(F.explode(ngram_structs(F.col(tokens), n)).alias("g"))
     return (
-        docs.select(F.explode(F.when(ok, pairs)).alias("p"))
-        .select("p.*")
+        g.select(F.concat_ws(" ", *[F.col(f"g.g{i}") for i in range(n - 1)]).alias("context"),
+                 F.col(f"g.g{n - 1}").alias("target"))
         .groupBy("context", "target")
         .agg(F.count(F.lit(1)).alias("count"))
     )
 
 
+def ngram_counts(docs: DataFrame, n: int, key: str = "doc_id", tokens: str = "tokens") -> DataFrame:
+    """per document n-gram counts (space-joined n-grams)."""
+    g = docs.select(key, F.explode(ngram_structs(F.col(tokens), n)).alias("g"))
+    return g.select(key, F.concat_ws(" ", *[F.col(f"g.g{i}") for i in range(n)]).alias("ngram")).groupBy(
+        key, "ngram").agg(F.count(F.lit(1)).alias("count"))
+
+
 def negative_table(vocab: DataFrame, power: float = 0.75) -> DataFrame:
     """Share proportional to count^power with cumulative [lo, hi) ranges.
 

@@ -21,6 +21,11 @@ CORE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # InferFiltersFromGenerate copies a generator's input expression into a
+    # `size(expr) > 0` filter, so an expensive array expression (the regex
+    # tokenisers feeding explode) would run twice per row; empty arrays
+    # produce no rows from explode anyway.
+    "spark.sql.optimizer.excludedRules": "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromGenerate",
 }
 
 

@@ -236,8 +236,7 @@ g AS (SELECT doc_id, unnest(list_transform(range(1, len(tokens)), lambda i: toke
       FROM docs WHERE len(tokens) >= 2)
 SELECT doc_id, ngram, COUNT(*) AS count FROM g GROUP BY 1, 2""")
 def bigram_counts(spark, d):
-    g = _docs(spark, d).select("doc_id", F.explode(T.ngrams(F.col("tokens"), 2)).alias("ngram"))
-    return g.groupBy("doc_id", "ngram").agg(F.count(F.lit(1)).alias("count"))
+    return X.ngram_counts(_docs(spark, d), 2)
 
 
 @query("char_trigrams", f"""WITH {DOCS}, {TOK}, {COUNTS}, {sql_vocab(V)},
