@@ -25,6 +25,9 @@ CORE_CONF = {
     # `size(expr) > 0` filter, so an expensive array expression (the regex
     # tokenisers feeding explode) would run twice per row; empty arrays
     # produce no rows from explode anyway.
+    # the demo corpora are GBK; Spark 4 limits CSV/text charsets to the UTF
+    # and Latin-1 family unless JVM charsets are allowed
+    "spark.sql.legacy.javaCharsets": "true",
     "spark.sql.optimizer.excludedRules": "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromGenerate",
 }
 
