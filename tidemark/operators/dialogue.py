@@ -245,3 +245,25 @@ def bleu(pairs: DataFrame, key: list[str], label: str, pred: str, max_n: int = 4
     bp = F.when(F.col("len_pred") > 0, F.exp(F.least(F.lit(0.0), 1 - F.col("len_label") / F.col("len_pred")))).otherwise(F.lit(0.0))
     return j.select(*key, "len_label", "len_pred", *[p.alias(f"p{i}") for i, p in enumerate(ps, start=1)],
                     (bp * prod).alias("bleu"))
+
+
+def dialog_state(turns: DataFrame, block_rows: int | None = None) -> DataFrame:
+    """M41 (batch): slot state after every turn of a conversation - user and
+    assistant turns so far, the last user turn and the last system turn
+    (forward-filled, i.e. last non-null).  Running aggregates use the
+    skew-safe ordered blocks, so a very long conversation is split."""
+    from tidemark.plans.ordered import DEFAULT_BLOCK_ROWS, running_agg, with_positions
+
+    t = turns.select("conv_id", "turn", "role").withColumn("_o", F.col("turn").cast("double"))
+    p = with_positions(t, "conv_id", ["_o", "turn"], numeric_order=True, keep_block=True,
+                       block_rows=block_rows or DEFAULT_BLOCK_ROWS)
+    p = p.withColumn("_u", (F.col("role") == "user").cast("long")).withColumn(
+        "_a", (F.col("role") == "assistant").cast("long")).withColumn(
+        "_lu", F.when(F.col("role") == "user", F.col("turn"))).withColumn(
+        "_ls", F.when(F.col("role") == "system", F.col("turn")))
+    p = running_agg(p, "conv_id", "_u", "sum", "user_turns")
+    p = running_agg(p, "conv_id", "_a", "sum", "assistant_turns")
+    p = running_agg(p, "conv_id", "_lu", "max", "last_user_turn")
+    p = running_agg(p, "conv_id", "_ls", "max", "last_system_turn")
+    return p.select("conv_id", "turn", "role", F.col("user_turns").cast("bigint").alias("user_turns"),
+                    F.col("assistant_turns").cast("bigint").alias("assistant_turns"), "last_user_turn", "last_system_turn")

@@ -108,3 +108,24 @@ def dense_index(df: DataFrame, col: str, out: str = "idx") -> DataFrame:
     d = df.select(col).distinct().withColumn("_k", F.lit(0))
     p = with_positions(d, "_k", [col], pos="_p", numeric_order=True)
     return p.select(col, (F.col("_p") - 1).cast("int").alias(out))
+
+
+def running_agg(positioned: DataFrame, key: str, col: str, how: str = "sum", out: str | None = None,
+                pos: str = "pos") -> DataFrame:
+    """Running sum / max of `col` per key in position order, needing `_blk`
+    from with_positions(keep_block=True): a window inside each bounded
+    (key, block) plus the carry of all earlier blocks from the block
+    summaries (one row per block)."""
+    out = out or f"run_{how}_{col}"
+    agg = F.sum if how == "sum" else F.max
+    local = positioned.withColumn(
+        "_loc", agg(col).over(Window.partitionBy(key, "_blk").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)))
+    summ = positioned.groupBy(key, "_blk").agg(agg(col).alias("_b"))
+    summ = summ.withColumn("_carry", agg("_b").over(
+        Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)))
+    j = local.join(summ.select(key, "_blk", "_carry"), [key, "_blk"])
+    if how == "sum":
+        val = F.coalesce(F.col("_loc"), F.lit(0)) + F.coalesce(F.col("_carry"), F.lit(0))
+    else:
+        val = F.greatest(F.col("_loc"), F.col("_carry"))
+    return j.withColumn(out, val).drop("_loc", "_carry")

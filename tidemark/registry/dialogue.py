@@ -311,3 +311,14 @@ def feedback(spark, d):
     f = D.feedback(ev, "user_id", "gave", "sat")
     return f.select("n_users", "n_feedback", fround("participation_rate", 6).alias("participation_rate"),
                     fround("satisfaction", 6).alias("satisfaction"))
+
+
+@query("dialog_state", """SELECT conv_id, turn, role,
+  CAST(SUM(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS user_turns,
+  CAST(SUM(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS assistant_turns,
+  max(CASE WHEN role = 'user' THEN turn END) OVER w AS last_user_turn,
+  max(CASE WHEN role = 'system' THEN turn END) OVER w AS last_system_turn
+FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def dialog_state(spark, d):
+    """Per-turn dialogue slot state (counts and last-seen turns)."""
+    return D.dialog_state(views.turns(spark, d))

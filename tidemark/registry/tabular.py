@@ -389,3 +389,21 @@ def pearson(spark, d):
 def covariance(spark, d):
     c = X.covariance(views.table(spark, d, "lineitem"), NUM)
     return c.withColumn("cov", fround("cov", 4))
+
+
+@query("na_drop_fill", """WITH src AS (
+  SELECT c.c_custkey, c.c_mktsegment, o.avg_price FROM customer c LEFT JOIN (
+    SELECT o_custkey, avg(o_totalprice) AS avg_price FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) o
+  ON o.o_custkey = c.c_custkey)
+SELECT c_mktsegment, COUNT(*) AS n_rows, COUNT(avg_price) AS n_after_dropna,
+       round(SUM(COALESCE(avg_price, 0.0)), 4) AS sum_after_fillna FROM src GROUP BY 1""")
+def na_drop_fill(spark, d):
+    """Rows kept by `na.drop` and the sum after `na.fill(0)` per segment."""
+    o = views.table(spark, d, "orders").filter(F.col("o_orderstatus") == "P").groupBy(
+        F.col("o_custkey").alias("c_custkey")).agg(F.avg("o_totalprice").alias("avg_price"))
+    src = views.table(spark, d, "customer").select("c_custkey", "c_mktsegment").join(o, "c_custkey", "left")
+    kept = src.na.drop().groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n_after_dropna"))
+    filled = src.na.fill(0.0, ["avg_price"]).groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n_rows"), fround(F.sum("avg_price"), 4).alias("sum_after_fillna"))
+    return filled.join(kept, "c_mktsegment", "left").fillna(0, ["n_after_dropna"]).select(
+        "c_mktsegment", "n_rows", "n_after_dropna", "sum_after_fillna")

@@ -172,3 +172,13 @@ def center_scale(spark, d):
     means, var = X.dim_stats(b, "vec")
     out = X.center_scale(q.select("id", "vec"), "vec", means, [v ** 0.5 for v in var])
     return out.select("id", F.posexplode("vec").alias("dim", "value")).withColumn("value", fround("value", 6))
+
+
+@query("frame_summary", """SELECT label, CAST(i - 1 AS INTEGER) AS dim, round(avg(embedding[i]::DOUBLE), 6) AS mean,
+  round(stddev_pop(embedding[i]::DOUBLE), 6) AS std FROM embeddings, range(1, 65) r(i) GROUP BY 1, 2""")
+def frame_summary(spark, d):
+    """A4: per-dimension mean and population std over the frames (vectors)
+    of each group (label)."""
+    v = _vecs(spark, d)
+    ex = v.select("label", F.posexplode("vec").alias("dim", "x"))
+    return ex.groupBy("label", "dim").agg(fround(F.avg("x"), 6).alias("mean"), fround(F.stddev_pop("x"), 6).alias("std"))
