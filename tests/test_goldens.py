@@ -91,3 +91,18 @@ def test_unaffable_style_truncation_closed_form(spark):
             else:
                 y -= 1
         assert got[(la, lb)] == (x, y), (la, lb)
+
+
+def test_wordpiece_unaffable():
+    from tidemark.functions.wordpiece import greedy_pieces
+
+    assert greedy_pieces("unaffable", {"un", "##aff", "##able"}) == ["un", "##aff", "##able"]
+    assert greedy_pieces("xyz", {"un"}) == ["[UNK]"]
+
+
+def test_basic_pretokenize(spark):
+    from tidemark.functions.wordpiece import basic_pretokenize
+
+    r = spark.createDataFrame([("Héllo, WORLD!\x00 ok中文",)], "t string").select(
+        basic_pretokenize(F.col("t")).alias("w")).first()
+    assert r.w == ["hello", ",", "world", "!", "ok", "中", "文"]

@@ -102,3 +102,14 @@ def test_pruned_knn_equals_brute_force(spark):
         d = np.sqrt(((base - qs[i]) ** 2).sum(1))
         want = sorted(range(300), key=lambda j: (round(d[j], 9), j))[:4]
         assert [j for _, j in sorted(got[1000 + i])] == want
+
+
+def test_blocked_running_aggregates(spark):
+    from tidemark.operators.dialogue import dialog_state
+    from tidemark.plans import views
+    from tests.conftest import SMOKE
+
+    turns = views.turns(spark, SMOKE)
+    a = sorted(tuple(r) for r in dialog_state(turns).collect())
+    b = sorted(tuple(r) for r in dialog_state(turns, block_rows=2).collect())
+    assert a == b

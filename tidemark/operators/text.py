@@ -321,3 +321,32 @@ def nsp_pairs(sents: DataFrame, seed: int = 5, buckets: int = 1024, key: str = "
     pos = base.filter(F.col("is_next") == 1).select(key, "sent_pos", F.col("sentence").alias("a"),
                                                     F.col("_next").alias("b"), "is_next")
     return pos.unionByName(neg)
+
+
+def wordpiece_vocab(docs: DataFrame, n_words: int, n_pieces: int, tokens: str = "tokens") -> DataFrame:
+    """A bounded sub-word vocabulary from the corpus: the n_words most
+    frequent words, every single character (initial and '##'), and the
+    n_pieces most frequent continuation pieces of 2-4 characters."""
+    words = token_counts(docs, tokens)
+    top = words.orderBy(F.col("count").desc(), "token").limit(n_words).select(F.col("token").alias("piece"))
+    chars = words.select(F.explode(F.array_remove(F.split("token", ""), "")).alias("c")).distinct()
+    singles = chars.select(F.col("c").alias("piece")).unionByName(chars.select(F.concat(F.lit("##"), "c").alias("piece")))
+    subs = []
+    for n in (2, 3, 4):
+        g = words.select("count", F.explode(ngram_structs(F.array_remove(F.split("token", ""), ""), n)).alias("g"))
+        subs.append(g.select(
+            F.concat(F.lit("##"), F.concat_ws("", *[F.col(f"g.g{i}") for i in range(n)])).alias("piece"), "count"))
+    allsub = subs[0].unionByName(subs[1]).unionByName(subs[2]).groupBy("piece").agg(F.sum("count").alias("count"))
+    topsub = allsub.orderBy(F.col("count").desc(), "piece").limit(n_pieces).select("piece")
+    return top.unionByName(singles).unionByName(topsub).distinct()
+
+
+def wordpiece(docs: DataFrame, vocab_pieces: list[str], tokens: str = "tokens", key: str = "doc_id") -> DataFrame:
+    """split the distinct words once (pandas UDF, bounded vocabulary),
+    then join the pieces back to every occurrence: (key, pos, token, pieces)."""
+    from tidemark.functions.wordpiece import wordpiece_udf
+
+    lt = long_tokens(docs, tokens, key)
+    distinct = lt.select("token").distinct()
+    split = distinct.withColumn("pieces", wordpiece_udf(vocab_pieces)(F.col("token")))
+    return lt.join(split, "token")

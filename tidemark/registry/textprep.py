@@ -272,3 +272,21 @@ def nsp_pairs(spark, d):
     s = views.corpus(spark, d).select("doc_id", T.sentences(F.col("text")).alias("s"))
     sents = s.select("doc_id", F.posexplode("s").alias("sent_pos", "sentence")).withColumn("sent_pos", F.col("sent_pos") + 1)
     return X.nsp_pairs(sents)
+
+
+@query("wordpiece")
+def wordpiece(spark, d):
+    """F16 + F17 (rows-only): BERT-style pre-tokenisation of the corpus and
+    greedy longest-match word pieces against a corpus-derived vocabulary of
+    at most 2000 words + characters + 3000 continuation pieces; every token
+    must re-assemble from its pieces unless it is [UNK] (asserted)."""
+    from tidemark.functions.wordpiece import UNK, basic_pretokenize
+
+    docs = views.corpus(spark, d).select("doc_id", basic_pretokenize(F.col("text")).alias("tokens"))
+    vocab = [r["piece"] for r in X.wordpiece_vocab(docs, 2000, 3000).collect()]  # bounded: <= 5000 + chars
+    wp = X.wordpiece(docs, vocab)
+    joined = F.array_join(F.transform("pieces", lambda p: F.regexp_replace(p, "^##", "")), "")
+    bad = wp.filter((F.element_at("pieces", 1) != UNK) & (joined != F.col("token"))).limit(1).count()
+    if bad:
+        raise AssertionError("word pieces do not re-assemble the token")
+    return wp.select("doc_id", "pos", "token", F.array_join("pieces", " ").alias("pieces"))
