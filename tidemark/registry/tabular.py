@@ -407,3 +407,43 @@ def na_drop_fill(spark, d):
         F.count(F.lit(1)).alias("n_rows"), fround(F.sum("avg_price"), 4).alias("sum_after_fillna"))
     return filled.join(kept, "c_mktsegment", "left").fillna(0, ["n_after_dropna"]).select(
         "c_mktsegment", "n_rows", "n_after_dropna", "sum_after_fillna")
+
+
+ENSEMBLE_SQL = f"""{TAB_SQL}, {UNPIV_SQL}, {NB_PRED_SQL},
+c2 AS (SELECT l_linestatus, disc_band, l_returnflag, COUNT(*) AS c FROM tab GROUP BY 1, 2, 3),
+m2 AS (SELECT l_linestatus, disc_band, l_returnflag AS p FROM (
+         SELECT *, row_number() OVER (PARTITION BY l_linestatus, disc_band ORDER BY c DESC, l_returnflag) AS r FROM c2) WHERE r = 1),
+c3 AS (SELECT qty_band, l_returnflag, COUNT(*) AS c FROM tab GROUP BY 1, 2),
+m3 AS (SELECT qty_band, l_returnflag AS p FROM (
+         SELECT *, row_number() OVER (PARTITION BY qty_band ORDER BY c DESC, l_returnflag) AS r FROM c3) WHERE r = 1),
+votes AS (
+  SELECT l_orderkey, l_linenumber, prediction, 1 AS priority FROM pred
+  UNION ALL SELECT t.l_orderkey, t.l_linenumber, m2.p, 2 FROM tab t JOIN m2 USING (l_linestatus, disc_band)
+  UNION ALL SELECT t.l_orderkey, t.l_linenumber, m3.p, 3 FROM tab t JOIN m3 USING (qty_band)),
+g AS (SELECT l_orderkey, l_linenumber, prediction, COUNT(*) AS votes, min(priority) AS pr FROM votes GROUP BY 1, 2, 3)"""
+
+
+@query("ensemble_vote", f"""WITH {ENSEMBLE_SQL}
+SELECT l_orderkey, l_linenumber, prediction, CAST(votes AS DOUBLE) AS votes FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY votes DESC, pr) AS r FROM g) WHERE r = 1""")
+def ensemble_vote(spark, d):
+    """Majority vote of three predictors of l_returnflag - naive Bayes,
+    the conditional-probability table on (line status, discount band) and
+    the majority class of the quantity band; ties go to naive Bayes."""
+    from pyspark.sql import Window
+
+    tab = _tab(spark, d)
+    key = ["l_orderkey", "l_linenumber"]
+
+    def majority(by):
+        c = tab.groupBy(*by, "l_returnflag").agg(F.count(F.lit(1)).alias("c"))
+        w = Window.partitionBy(*by).orderBy(F.col("c").desc(), F.col("l_returnflag"))  # rows per group <= labels
+        return c.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).select(
+            *by, F.col("l_returnflag").alias("prediction"))
+
+    nb = _nb_pred(spark, d).select(*key, "prediction", F.lit(1.0).alias("weight"), F.lit(1).alias("priority"))
+    p2 = tab.join(majority(["l_linestatus", "disc_band"]), ["l_linestatus", "disc_band"]).select(
+        *key, "prediction", F.lit(1.0).alias("weight"), F.lit(2).alias("priority"))
+    p3 = tab.join(majority(["qty_band"]), ["qty_band"]).select(
+        *key, "prediction", F.lit(1.0).alias("weight"), F.lit(3).alias("priority"))
+    return E.ensemble_vote(nb.unionByName(p2).unionByName(p3), key)
