@@ -23,19 +23,20 @@ def log_weight(plays: DataFrame, count_col: str = "play_count") -> DataFrame:
     return plays.select("user_id", "item_id", F.log1p(F.col(count_col)).alias("w"))
 
 
-def cooccur(weights: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
-    """co(i, j) = sum_u w_ui * w_uj over users, i <> j, both orientations.
-
-    Pairs are generated per user in bounded tiles (see `tiled_pairs`), reduced
-    map-side by the partial aggregate, then mirrored.
-    """
+def cooccur_half(weights: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """co(i, j) for i < j only (each unordered pair once): pairs per user in
+    bounded tiles (see `tiled_pairs`), reduced map-side by the partial
+    aggregate."""
     pairs = tiled_pairs(weights, "user_id", "item_id", carry=["w"], block=block)
-    half = pairs.groupBy(
+    return pairs.groupBy(
         F.col("a_item_id").alias("item_i"), F.col("b_item_id").alias("item_j")
     ).agg(F.sum(F.col("a_w") * F.col("b_w")).alias("co"))
-    mirror = half.select(
-        F.col("item_j").alias("item_i"), F.col("item_i").alias("item_j"), "co"
-    )
+
+
+def cooccur(weights: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """co(i, j) = sum_u w_ui * w_uj over users, i <> j, both orientations."""
+    half = cooccur_half(weights, block)
+    mirror = half.select(F.col("item_j").alias("item_i"), F.col("item_i").alias("item_j"), "co")
     return half.unionByName(mirror)
 
 
@@ -44,27 +45,26 @@ def itemcf_fit(
 ) -> DataFrame:
     """M1: sim(i, j) = co(i, j) / (n_i^a * n_j^(1-a) + 1e-9), top n per item.
 
-    Output (item_id, similar_id, sim, rank).
+    The popularity counts are joined once to the half table (i < j) and both
+    orientations' similarities are emitted from that row, so the joins touch
+    each unordered pair once.  Output (item_id, similar_id, sim, rank).
     """
     w = log_weight(plays)
-    co = cooccur(w, block)
+    half = cooccur_half(w, block)
     users = w.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_users"))
     ni = users.select(F.col("item_id").alias("item_i"), F.col("n_users").alias("n_i"))
     nj = users.select(F.col("item_id").alias("item_j"), F.col("n_users").alias("n_j"))
-    sim = (
-        co.join(ni, "item_i")
-        .join(nj, "item_j")
-        .select(
-            F.col("item_i").alias("item_id"),
-            F.col("item_j").alias("similar_id"),
-            (
-                F.col("co")
-                / (F.pow("n_i", F.lit(alpha)) * F.pow("n_j", F.lit(1.0 - alpha)) + F.lit(1e-9))
-            ).alias("sim"),
-        )
-    )
+    j = half.join(ni, "item_i").join(nj, "item_j")
+
+    def sim(a, b):
+        return F.col("co") / (F.pow(a, F.lit(alpha)) * F.pow(b, F.lit(1.0 - alpha)) + F.lit(1e-9))
+
+    both = j.select(F.explode(F.array(
+        F.struct(F.col("item_i").alias("item_id"), F.col("item_j").alias("similar_id"), sim("n_i", "n_j").alias("sim")),
+        F.struct(F.col("item_j").alias("item_id"), F.col("item_i").alias("similar_id"), sim("n_j", "n_i").alias("sim")),
+    )).alias("s")).select("s.*")
     return topn_per(
-        sim, "item_id", [fround("sim", RANK_DIGITS).desc(), F.col("similar_id")], n
+        both, "item_id", [fround("sim", RANK_DIGITS).desc(), F.col("similar_id")], n
     )
 
 
