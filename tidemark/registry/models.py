@@ -232,3 +232,23 @@ def binomial_em(spark, d):
                                        F.count(F.lit(1)).alias("n"))
     hist = M.binomial_em(counts, 0.2, 0.7, 10)
     return spark.createDataFrame([(i, float(a), float(b)) for i, a, b in hist], "iteration int, p_a double, p_b double")
+
+
+@query("sentence_similarity")
+def sentence_similarity(spark, d):
+    """A25 (rows-only): sentence vector = mean of its word vectors
+    (Word2VecModel.transform averages them); cosine similarity of every
+    question / answer pair, vectors trained on all turns (400-d, window 5,
+    min count 5)."""
+    from tidemark.functions import text as T
+    from tidemark.operators import dialogue as DLG
+
+    turns = views.turns(spark, d).select(T.tokenize_ws(F.col("text")).alias("tokens"))
+    model = M.word2vec(turns, "tokens")
+    pairs = DLG.qa_pairs(views.turns(spark, d)).select(
+        "conv_id", "turn", T.tokenize_ws(F.col("question")).alias("tokens"),
+        T.tokenize_ws(F.col("answer")).alias("a_tokens"))
+    q = model.transform(pairs).withColumnRenamed("vec", "qv")
+    a = model.transform(q.drop("tokens").withColumnRenamed("a_tokens", "tokens")).withColumnRenamed("vec", "av")
+    qa, av = vector_to_array("qv"), vector_to_array("av")
+    return a.select("conv_id", "turn", fround(V.cosine(qa, av), 6).alias("cosine"))
