@@ -9,6 +9,8 @@ from tidemark.functions.numeric import fround
 
 from tidemark.operators import evaluation, recs
 from tidemark.plans import views
+from tidemark.functions.hashing import md5_mod_sql
+from tidemark.plans.scale import topn_per
 from tidemark.registry import query
 from tidemark.registry import sqlviews as V
 
@@ -316,3 +318,44 @@ def recommend_batch(spark, d):
     ranked = recs.rank_top(clean, 200)
     div = recs.diversify(ranked, it, 3).filter(F.col("rank") <= 27)
     return recs.inject_promos(div, _promo_list(spark, d, 5), every=10)
+
+
+SCENES_SQL = f"""req AS (
+  SELECT user_id, CASE WHEN b < 60 THEN 'homepage' WHEN b < 90 THEN 'playing' ELSE 'search' END AS scene FROM (
+    SELECT DISTINCT user_id, {md5_mod_sql("'scene:' || CAST(user_id AS VARCHAR)", 100)} AS b FROM plays)),
+cur AS (SELECT user_id, item_id AS current_item FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY play_count DESC, item_id) AS r FROM plays) WHERE r = 1)"""
+
+
+@query("route_scene", f"""WITH {V.PLAYS}, {POP_SQL}, {V.itemcf_sim("plays", 20)}, {V.itemcf_recs("plays", 10)}, {SCENES_SQL},
+hot AS (SELECT item_id FROM pop ORDER BY plays DESC, item_id LIMIT 10),
+cf AS (SELECT r.user_id, r.item_id, r.score * 0.5 AS s FROM recs r JOIN req q USING (user_id) WHERE q.scene <> 'search'),
+ct AS (SELECT q.user_id, s.similar_id AS item_id, s.sim * 0.3 AS s FROM req q JOIN cur c USING (user_id)
+       JOIN simtop s ON s.item_id = c.current_item WHERE q.scene = 'playing'),
+summed AS (SELECT user_id, item_id, SUM(s) AS score FROM (SELECT * FROM cf UNION ALL SELECT * FROM ct) GROUP BY 1, 2),
+fb AS (SELECT q.user_id, h.item_id, 0.1 AS score FROM req q CROSS JOIN hot h
+       WHERE NOT EXISTS (SELECT 1 FROM summed m WHERE m.user_id = q.user_id AND m.item_id = h.item_id))
+SELECT a.user_id, q.scene, a.item_id, round(a.score, 6) AS score FROM (SELECT * FROM summed UNION ALL SELECT * FROM fb) a
+JOIN req q USING (user_id)""")
+def route_scene(spark, d):
+    """One request per user with a hashed scene (60% homepage, 30%
+    playing, 10% search): homepage and playing get CF recall at 0.5, playing
+    adds the similar items of the user's most played item at 0.3, every
+    scene gets the hot list at 0.1 for items absent from both."""
+    from tidemark.functions.hashing import md5_mod
+
+    p = views.plays(spark, d)
+    sim = recs.itemcf_fit(p, n=20)
+    cf_all = recs.itemcf_recommend(sim, p, k=10)
+    b = md5_mod(F.concat(F.lit("scene:"), F.col("user_id").cast("string")), 100)
+    req = p.select("user_id").distinct().select(
+        "user_id", F.when(b < 60, "homepage").when(b < 90, "playing").otherwise("search").alias("scene"))
+    cur = topn_per(p, "user_id", [F.col("play_count").desc(), F.col("item_id")], 1).select(
+        "user_id", F.col("item_id").alias("current_item"))
+    cf = cf_all.join(req.filter(F.col("scene") != "search"), "user_id").select("user_id", "item_id", "score")
+    ct = (req.filter(F.col("scene") == "playing").join(cur, "user_id")
+          .join(sim.select(F.col("item_id").alias("current_item"), "similar_id", "sim"), "current_item")
+          .select("user_id", F.col("similar_id").alias("item_id"), F.col("sim").alias("score")))
+    hot = recs.hot_items(p, views.items(spark, d), k=10)
+    out = recs.blend(cf, ct, hot, req.select("user_id"))
+    return out.join(req, "user_id").select("user_id", "scene", "item_id", fround("score", 6).alias("score"))
