@@ -301,3 +301,33 @@ def boost_stumps(df: DataFrame, x: str, y: str, rounds: int) -> DataFrame:
         cur = cut_lineage(cur)
     return cur
 
+
+
+def staged_rankers(train: DataFrame, test: DataFrame, cols: list[str], label: str = "label", seed: int = 1) -> dict:
+    """M8: the ranking ladder LR -> GBDT -> GBDT leaves + LR -> GBDT leaves + FM,
+    each scored by test AUC.  Leaf indices come from the fitted trees
+    (`leafCol`) and are one-hot encoded into the second-stage features."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.feature import OneHotEncoder
+
+    tr, te = assemble(train, cols), assemble(test, cols)
+    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction")
+    out = {}
+    lr = LogisticRegression(labelCol=label, maxIter=50).fit(tr)
+    out["lr"] = ev.evaluate(lr.transform(te))
+    gbt = GBTClassifier(labelCol=label, maxIter=20, maxDepth=3, seed=seed, leafCol="leaves").fit(tr)
+    out["gbdt"] = ev.evaluate(gbt.transform(te))
+    n_trees = len(gbt.trees)
+    leaf_cols = [f"leaf_{i}" for i in range(n_trees)]
+
+    def leaves(df):
+        x = gbt.transform(df).withColumn("_la", vector_to_array("leaves"))
+        return x.select(label, *[F.col("_la")[i].alias(leaf_cols[i]) for i in range(n_trees)])
+
+    ltr, lte = leaves(tr), leaves(te)
+    ohe = OneHotEncoder(inputCols=leaf_cols, outputCols=[c + "_oh" for c in leaf_cols], handleInvalid="keep").fit(ltr)
+    va = VectorAssembler(inputCols=[c + "_oh" for c in leaf_cols], outputCol="features")
+    str_, ste = va.transform(ohe.transform(ltr)), va.transform(ohe.transform(lte))
+    out["gbdt_lr"] = ev.evaluate(LogisticRegression(labelCol=label, maxIter=50).fit(str_).transform(ste))
+    out["gbdt_fm"] = ev.evaluate(FMClassifier(labelCol=label, factorSize=4, maxIter=30, seed=seed).fit(str_).transform(ste))
+    return out

@@ -252,3 +252,24 @@ def sentence_similarity(spark, d):
     a = model.transform(q.drop("tokens").withColumnRenamed("a_tokens", "tokens")).withColumnRenamed("vec", "av")
     qa, av = vector_to_array("qv"), vector_to_array("av")
     return a.select("conv_id", "turn", fround(V.cosine(qa, av), 6).alias("cosine"))
+
+
+@query("staged_rankers")
+def staged_rankers(spark, d):
+    """M8 (rows-only): LR, GBDT, GBDT-leaf + LR and GBDT-leaf + FM rankers on
+    the labelled samples (user and item features), test AUC per stage."""
+    p = views.plays(spark, d)
+    it = views.items(spark, d)
+    samples = recs.build_samples(p, it, ratio=1, seed=42)
+    stats = recs.user_stats(p).select("user_id", F.log1p("total_plays").alias("u_plays"), "unique_items")
+    pop = recs.item_popularity(p).select("item_id", F.log1p("plays").alias("i_plays"))
+    feats = (samples.join(stats, "user_id").join(pop, "item_id", "left").join(it.select("item_id", "size", "price"), "item_id")
+             .fillna(0.0, ["i_plays"]).withColumn("label", F.col("label").cast("double"))
+             .withColumn("chance", md5_mod(F.concat_ws(":", F.col("user_id").cast("string"),
+                                                       F.col("item_id").cast("string")), 100)))
+    cols = ["u_plays", "unique_items", "i_plays", "size", "price"]
+    from tidemark.plans.scale import cut_lineage
+
+    feats = cut_lineage(feats)  # fitted four times: materialise the sample table once
+    res = M.staged_rankers(feats.filter(F.col("chance") >= 20), feats.filter(F.col("chance") < 20), cols)
+    return spark.createDataFrame([(k, float(v)) for k, v in res.items()], "stage string, auc double")
