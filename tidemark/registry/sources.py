@@ -182,3 +182,25 @@ def read_bow_lines(spark, d):
     lines.select(F.concat_ws(",", F.col("doc_id").cast("string"), "_w").alias("value")).write.mode(
         "overwrite").text(path)
     return readers.read_bow_lines(spark, path)
+
+
+
+def _parse_page(raw: bytes) -> dict:
+    """Body of one page file: url and html length (the page id is in the
+    folder name of the partitioned write)."""
+    import json
+
+    rec = json.loads(raw.decode("utf-8").strip().splitlines()[0])
+    return {"url": rec["url"], "n_chars": len(rec["html"])}
+
+
+@query("ingest_files", "SELECT page_id, url, CAST(length(html) AS BIGINT) AS n_chars, CAST(NULL AS VARCHAR) AS _error FROM pages")
+def ingest_files(spark, d):
+    """One JSON file per page (written partitioned by page id), ingested
+    recursively as binary files and parsed per batch in mapInPandas; a file
+    that fails to parse lands in `_error` instead of stopping the job."""
+    path = _scratch(spark, d, "pages_files")
+    views.table(spark, d, "pages").repartition("page_id").write.mode("overwrite").partitionBy("page_id").json(path)
+    out = readers.ingest_files(spark, path, _parse_page, "url string, n_chars long")
+    pid = F.regexp_extract("path", "page_id=([0-9]+)", 1).cast("bigint")
+    return out.select(pid.alias("page_id"), "url", "n_chars", "_error")
