@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, read, running_sum, saved, text_of
+from tidemark.llm.common import WORD, read, running_sum, saved, text_of, words_of
 
 #: Weights by the order of the sources, and the share of all words that the mix takes.
 WEIGHTS = (5, 2, 1)
@@ -34,7 +34,7 @@ def _hash(*cols: Column) -> Column:
 
 
 def sized(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, source, size, the source as a key without nulls, and what is carried."""
+    """doc_id, source, size, the source as a key without nulls, and what is carried (as `_c_<name>`)."""
     key = F.when(docs["source"].isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), docs["source"]))
     return docs.select(docs["doc_id"], docs["source"], key.alias("_sk"),
                        F.regexp_count(text_of(docs), F.lit(WORD)).cast("long").alias("size"),
@@ -127,11 +127,10 @@ def slots(spark, quota: list[tuple[str, int]], shard_slots: int = SHARD_SLOTS) -
 
 
 def mix(docs: DataFrame, carry: tuple[str, ...] = (), block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS):
-    """(documents, pieces).
+    """(documents, filled).
 
     documents: a row for each document with doc_id, source, size, source_size, target, _sk and _start.
-    pieces: a row for each part of a document in each slot of the mix: shard, index, doc_id, source, `_sk`, `_start`,
-    first_word, n_words (words of the document, from 0), and the carried columns as `_c_<name>`.
+    filled: a row for each slot of the mix: shard, _sk, index, block and words (the words it takes from the block's head).
     """
     spark = docs.sparkSession
     sizes = saved(sized(docs, carry))
@@ -140,32 +139,43 @@ def mix(docs: DataFrame, carry: tuple[str, ...] = (), block_words: int = BLOCK_W
     packed = saved(blocks(at, table, block_words))
     quota = [(r["_sk"], r["n"]) for r in packed.groupBy("_sk").agg(F.count(F.lit(1)).alias("n")).orderBy("_sk").collect()]
     filled = slots(spark, quota, shard_slots).join(packed, ["_sk", "index"])
+    return at.join(F.broadcast(table.select("_sk", "source_size", "target")), "_sk"), filled
+
+
+def pieces(documents: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """A row for each block that a document reaches into: adds block, first_word (of the document, from 0), n_words and
+    at (where in the block they begin)."""
     lo, hi = F.floor(F.col("_start") / block_words), F.floor((F.col("_start") + F.col("size") - 1) / block_words)
-    parts = at.filter(F.col("size") > 0).withColumn("block", F.explode(F.sequence(lo, hi)))
-    pieces = parts.join(filled, ["_sk", "block"])
+    parts = documents.filter(F.col("size") > 0).withColumn("block", F.explode(F.sequence(lo, hi)))
     begin = F.greatest(F.col("_start"), F.col("block") * block_words)
-    end = F.least(F.col("_start") + F.col("size"), F.col("block") * block_words + F.col("words"))
-    pieces = pieces.withColumn("first_word", begin - F.col("_start")).withColumn("n_words", end - begin).filter(F.col("n_words") > 0)
-    documents = at.join(F.broadcast(table.select("_sk", "source_size", "target")), "_sk")
-    return documents, pieces.drop("block", "words")
+    end = F.least(F.col("_start") + F.col("size"), (F.col("block") + 1) * block_words)
+    return parts.withColumn("first_word", begin - F.col("_start")).withColumn("n_words", end - begin).withColumn("at", begin - F.col("block") * block_words)
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as documents: a row for each part of a document that a slot takes, with the words taken as text
     (joined by one space) and its length; other columns of documents stay.  The order of rows carries no meaning."""
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "source", "n_chars"))
-    _, pieces = mix(docs, carry=rest)
-    words = F.filter(F.split(F.col("_c_text"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    text = F.array_join(F.slice(words, (F.col("first_word") + 1).cast("int"), F.col("n_words").cast("int")), " ")
-    out = pieces.withColumn("_c_text", text)
-    return out.select(*[F.length("_c_text").cast("long").alias(c) if c == "n_chars" else out[c] if c in ("doc_id", "source") else out[f"_c_{c}"].alias(c) for c in docs.columns])
+    row = F.xxhash64(*[docs[c] for c, kind in docs.dtypes if not kind.startswith("map")])
+    known = docs.withColumn("_row", row)
+    documents, filled = mix(known, carry=("_row",))
+    # the text moves once to its place in the stream and once, cut in pieces, to its slots
+    texts = known.dropDuplicates(["_row"]).select("_row", *[F.col(c).alias(f"_c_{c}") for c in docs.columns])
+    placed_texts = texts.join(documents.select(F.col("_c__row").alias("_row"), "_sk", "_start", "size"), "_row").withColumn("_w", words_of(F.col("_c_text")))
+    cut = pieces(placed_texts)
+    cut = cut.withColumn("_p", F.slice("_w", (F.col("first_word") + 1).cast("int"), F.col("n_words").cast("int"))).drop("_w", "_c_text")
+    taken = cut.join(filled, ["_sk", "block"]).filter(F.col("at") < F.col("words"))
+    text = F.array_join(F.slice("_p", F.lit(1), F.least(F.col("n_words"), F.col("words") - F.col("at")).cast("int")), " ")
+    taken = taken.withColumn("_text", text)
+    new = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
+    return taken.select(*[new.get(c, F.col(f"_c_{c}")).alias(c) for c in docs.columns])
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, taken: words that the mix takes of each document, repeats counted."""
-    documents, pieces = mix(read(spark, sf_dir, "documents"))
+    documents, filled = mix(read(spark, sf_dir, "documents"))
+    parts = pieces(documents.select("_sk", "_start", "size")).join(filled, ["_sk", "block"]).filter(F.col("at") < F.col("words"))
     # a document with words is known by its place in its source's stream
-    taken = pieces.groupBy("_sk", "_start").agg(F.sum("n_words").alias("_taken"))
+    taken = parts.groupBy("_sk", "_start").agg(F.sum(F.least(F.col("n_words"), F.col("words") - F.col("at"))).alias("_taken"))
     some = documents.filter(F.col("size") > 0).join(taken, ["_sk", "_start"], "left")
     none = documents.filter(F.col("size") == 0).withColumn("_taken", F.lit(0).cast("long"))
     return some.unionByName(none).select("doc_id", "size", "source_size", "target", F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"))
