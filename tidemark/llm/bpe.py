@@ -15,7 +15,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import pickle
 import zlib
+from itertools import groupby
+from operator import itemgetter
+from zlib import crc32
 
 import numpy as np
 import public_tokenizers
@@ -23,13 +27,13 @@ import pyarrow as pa
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import read, stored, text_of
+from tidemark.llm.common import read, text_of
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: A block is closed at this many characters; the largest text may exceed it.
-BLOCK_CHARS = 8 << 20
+BLOCK_CHARS = 16 << 20
 #: From this length on, merges are found with a heap.
 LONG_WORD = 128
 
@@ -102,11 +106,23 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def _blocks(docs: DataFrame, pattern: str) -> DataFrame:
-    """block, words (distinct pre-tokens, the commonest first), ids of documents, n_words of each, stream (their
-    pre-tokens by number)."""
-    kind = pa.int64() if docs.schema["doc_id"].dataType.simpleString() == "bigint" else pa.string()
-    shape = pa.schema([("block", pa.int64()), ("words", pa.list_(pa.string())), ("docs", pa.list_(kind)), ("n_words", pa.list_(pa.int32())), ("stream", pa.binary())])
+def _words_packed(words: list[bytes]) -> bytes:
+    return pickle.dumps((_packed(np.array([len(w) for w in words])), zlib.compress(b"".join(words), 1)))
+
+
+def _words_unpacked(data: bytes) -> list[bytes]:
+    lens, joined = pickle.loads(data)
+    joined, ends = zlib.decompress(joined), np.cumsum(_unpacked(lens).astype(np.int64)).tolist()
+    return [joined[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _blocks(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
+    """block, data: ids of documents, pre-tokens of each, their stream (pre-tokens by number, the commonest first), and the
+    block's distinct pre-tokens by bucket, in order, with the numbers in that order.
+
+    One binary column, so that all readers share one exchange and texts are split once.
+    """
+    shape = pa.schema([("block", pa.int64()), ("data", pa.binary())])
 
     def split(batches):
         find = regex.compile(pattern).findall
@@ -114,20 +130,22 @@ def _blocks(docs: DataFrame, pattern: str) -> DataFrame:
         ids, lens, parts, number, chars = [], [], [], {}, 0
 
         def block():
-            flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-            words = list(number)
-            order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
-            place = np.empty(len(words), np.int64)
-            place[order] = np.arange(len(words))
-            row = [[home + count], [[words[i] for i in order]], [ids], [lens], [_packed(place[flat])]]
-            return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, shape)], schema=shape)
+            flat = np.concatenate(parts)
+            order = np.argsort(-np.bincount(flat, minlength=len(number)), kind="stable")
+            rank = np.empty(len(number), np.int64)
+            rank[order] = np.arange(len(number))
+            words = sorted((crc32(w) % buckets, w, n) for w, n in ((w.encode("utf-8", "replace"), n) for w, n in number.items()))
+            dealt = {b: _words_packed([w for _, w, _ in group]) for b, group in groupby(words, itemgetter(0))}
+            place = rank[[n for _, _, n in words]] if words else np.zeros(0, np.int64)
+            data = pickle.dumps((ids, _packed(np.array(lens)), _packed(rank[flat]), _packed(place), dealt))
+            return pa.RecordBatch.from_arrays([pa.array([home + count]), pa.array([data], pa.binary())], schema=shape)
 
         for batch in batches:
             keys = batch.column(0).to_pylist()
             for at, key in enumerate(keys):
                 text = batch.column(1)[at].as_py()
                 words = find(text)
-                parts.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
+                parts.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)))
                 ids.append(key)
                 lens.append(len(words))
                 chars += len(text)
@@ -138,57 +156,61 @@ def _blocks(docs: DataFrame, pattern: str) -> DataFrame:
         if ids:
             yield block()
 
-    spark_kind = "bigint" if kind == pa.int64() else "string"
-    rows = docs.select(docs["doc_id"].cast(spark_kind).alias("doc_id"), text_of(docs).alias("text"))
-    return rows.mapInArrow(split, f"block bigint, words array<string>, docs array<{spark_kind}>, n_words array<int>, stream binary")
+    return docs.select(docs["doc_id"], text_of(docs).alias("text")).mapInArrow(split, "block bigint, data binary")
 
 
 def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """doc_id, ids (array<int>) of each document."""
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(load_ranks(path))  # as large as the vocabulary
-    blocks = stored(_blocks(docs, pattern))
-    words = blocks.select("block", F.posexplode("words").alias("number", "word"))
-    out = pa.schema([("block", pa.int64()), ("numbers", pa.binary()), ("lens", pa.binary()), ("ids", pa.binary())])
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = _blocks(docs, pattern, 4 * n).repartition(n, "block")
+
+    def words(batches):
+        for batch in batches:
+            for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                dealt = pickle.loads(data.as_py())[4]
+                yield pa.RecordBatch.from_arrays([pa.array(list(dealt), pa.int32()), pa.array([block] * len(dealt), pa.int64()), pa.array(dealt.values(), pa.binary())], names=["bucket", "block", "words"])
 
     def encoded(batches):
         """The rows of a partition hold all uses of its pre-tokens; each is encoded once."""
         table, done = ranks.value, {}
         for batch in batches:
-            home, number = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            ids = []
-            for w in batch.column(2).to_pylist():
-                got = done.get(w)
-                if got is None:
-                    got = done[w] = tuple(merge(w.encode(), table))
-                ids.append(got)
-            order = np.argsort(home, kind="stable")
-            cuts = np.flatnonzero(np.diff(home[order])) + 1
-            rows = []
-            for part in np.split(order, cuts):
-                mine = [ids[i] for i in part]
-                flat = np.array([x for m in mine for x in m], np.uint32)
-                rows.append((int(home[part[0]]), _packed(number[part]), _packed(np.array([len(m) for m in mine])), _packed(flat)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), out)], schema=out)
-
-    found = words.repartition("word").mapInArrow(encoded, "block bigint, numbers binary, lens binary, ids binary")
-    doc_kind = blocks.schema["docs"].dataType.elementType.simpleString()
+            lens, ids = [], []
+            for data in batch.column(2):
+                mine = []
+                for w in _words_unpacked(data.as_py()):
+                    got = done.get(w)
+                    if got is None:
+                        got = done[w] = tuple(merge(w, table))
+                    mine.append(got)
+                lens.append(_packed(np.array([len(m) for m in mine])))
+                ids.append(_packed(np.array([x for m in mine for x in m])))
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(0), pa.array(lens, pa.binary()), pa.array(ids, pa.binary())], names=["block", "bucket", "lens", "ids"])
+
+    spread = blocks.mapInArrow(words, "bucket int, block bigint, words binary").repartition(n, "bucket")
+    found = spread.mapInArrow(encoded, "block bigint, bucket int, lens binary, ids binary")
+    kind = docs.schema["doc_id"].dataType
+    arrow = to_arrow_type(kind)
+
+    def joined(column) -> np.ndarray:
+        return np.concatenate([_unpacked(x.as_py()) for x in column] or [np.zeros(0, np.uint32)]).astype(np.int64)
 
     def assembled(left: pa.Table, right: pa.Table) -> pa.Table:
-        keys, lens, stream = left.column("docs")[0].as_py(), np.array(left.column("n_words")[0].as_py(), np.int64), _unpacked(left.column("stream")[0].as_py())
-        number = np.concatenate([_unpacked(x.as_py()) for x in right.column("numbers")] or [np.zeros(0, np.int64)])
-        size = np.concatenate([_unpacked(x.as_py()) for x in right.column("lens")] or [np.zeros(0, np.int64)]).astype(np.int64)
-        flat = np.concatenate([_unpacked(x.as_py()) for x in right.column("ids")] or [np.zeros(0, np.int64)]).astype(np.int32)
-        begin, length = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
-        begin[number], length[number] = np.cumsum(size) - size, size
+        keys, lens, stream, place, _ = pickle.loads(left.column("data")[0].as_py())
+        right = right.sort_by("bucket")
+        size, flat = joined(right.column("lens")), joined(right.column("ids")).astype(np.int32)
+        lens, stream, place = _unpacked(lens).astype(np.int64), _unpacked(stream), _unpacked(place)
+        begin, length = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+        begin[place], length[place] = np.cumsum(size) - size, size
         n = length[stream]
         ends = np.cumsum(n)
-        where = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begin[stream] - (ends - n), n)
+        where = np.repeat(begin[stream] - (ends - n), n)
+        where += np.arange(len(where))
         offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(lens)])].astype(np.int32)
-        return pa.table({"doc_id": pa.array(keys, pa.int64() if doc_kind == "bigint" else pa.string()), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat[where]))})
+        return pa.table({"doc_id": pa.array(keys, arrow), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat[where]))})
 
-    left = blocks.select("block", "docs", "n_words", "stream").groupBy("block")
-    return left.cogroup(found.groupBy("block")).applyInArrow(assembled, f"doc_id {doc_kind}, ids array<int>")
+    return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(assembled, f"doc_id {kind.simpleString()}, ids array<int>")
 
 
 def token_bytes(path: str) -> list[bytes]:
