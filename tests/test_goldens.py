@@ -94,10 +94,12 @@ def test_unaffable_style_truncation_closed_form(spark):
 
 
 def test_wordpiece_unaffable():
-    from tidemark.functions.wordpiece import greedy_pieces
+    from tidemark.functions.wordpiece import PieceTrie
 
-    assert greedy_pieces("unaffable", {"un", "##aff", "##able"}) == ["un", "##aff", "##able"]
-    assert greedy_pieces("xyz", {"un"}) == ["[UNK]"]
+    assert PieceTrie({"un", "##aff", "##able"}).split("unaffable") == ["un", "##aff", "##able"]
+    assert PieceTrie({"un", "una", "##af"}).split("unafx") == ["[UNK]"]
+    assert PieceTrie({"a", "##a"}).split("a" * 101) == ["[UNK]"]
+    assert PieceTrie({"un"}).split("xyz") == ["[UNK]"]
 
 
 def test_basic_pretokenize(spark):

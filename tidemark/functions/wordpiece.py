@@ -4,7 +4,9 @@ longest-match-first sub-word splitting against a bounded vocabulary."""
 
 from __future__ import annotations
 
+import itertools
 import unicodedata
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -44,36 +46,52 @@ def basic_pretokenize(text: Column, lower: bool = True) -> Column:
     return F.array_remove(F.split(F.trim(F.regexp_replace(t, " +", " ")), " "), "")
 
 
-def greedy_pieces(word: str, vocab: set, max_chars: int = MAX_CHARS) -> list[str]:
-    """F17 on one word: longest vocabulary prefix first, continuations carry
-    '##'; an unmatched remainder or an over-long word gives [UNK]."""
-    if len(word) > max_chars:
-        return [UNK]
-    out, start = [], 0
-    while start < len(word):
-        end, cur = len(word), None
-        while start < end:
-            piece = word[start:end]
-            if start > 0:
-                piece = CONTINUATION + piece
-            if piece in vocab:
-                cur = piece
+class PieceTrie:
+    """The vocabulary as two character trees, one for pieces that begin a word and one for continuations.
+
+    A tree node is a dict of child characters; a node under the key None ends a piece.  Built once for a task.
+    """
+
+    def __init__(self, vocab: Iterable[str]):
+        self.heads: dict = {}
+        self.tails: dict = {}
+        for piece in vocab:
+            more = piece.startswith(CONTINUATION) and len(piece) > len(CONTINUATION)
+            node = self.tails if more else self.heads
+            for c in piece[len(CONTINUATION):] if more else piece:
+                node = node.setdefault(c, {})
+            node[None] = piece
+
+    def longest(self, word: str, at: int) -> str | None:
+        """The longest piece that matches `word` at `at`: walk down the tree, remember the last piece passed."""
+        node, found = self.tails if at else self.heads, None
+        for c in itertools.islice(word, at, None):
+            node = node.get(c)
+            if node is None:
                 break
-            end -= 1
-        if cur is None:
-            return [UNK]
-        out.append(cur)
-        start = end
-    return out
+            found = node.get(None, found)
+        return found
+
+    def split(self, word: str, max_chars: int = MAX_CHARS) -> list[str]:
+        """F17 on one word; a word that is too long or has a part no piece matches is [UNK] as a whole."""
+        pieces: list[str] = []
+        covered = 0
+        while covered < len(word) <= max_chars:
+            piece = self.longest(word, covered)
+            if piece is None:
+                return [UNK]
+            covered += len(piece) - (len(CONTINUATION) if pieces else 0)
+            pieces.append(piece)
+        return pieces if covered == len(word) else [UNK]
 
 
 def wordpiece_udf(vocab: list[str]):
     """Pandas UDF splitting words with a vocabulary shipped once per task
     (the vocabulary is bounded by its size parameter)."""
-    vs = set(vocab)
+    trie = PieceTrie(vocab)
 
     @F.pandas_udf(ArrayType(StringType()))
     def pieces(words: pd.Series) -> pd.Series:
-        return words.map(lambda w: greedy_pieces(w, vs) if w is not None else None)
+        return words.map(lambda w: None if w is None else trie.split(w))
 
     return pieces

@@ -255,7 +255,7 @@ def dialog_state(turns: DataFrame, block_rows: int | None = None) -> DataFrame:
     from tidemark.plans.ordered import DEFAULT_BLOCK_ROWS, running_agg, with_positions
 
     t = turns.select("conv_id", "turn", "role").withColumn("_o", F.col("turn").cast("double"))
-    p = with_positions(t, "conv_id", ["_o", "turn"], numeric_order=True, keep_block=True,
+    p = with_positions(t, "conv_id", ["_o", "turn"], keep_block=True,
                        block_rows=block_rows or DEFAULT_BLOCK_ROWS)
     p = p.withColumn("_u", (F.col("role") == "user").cast("long")).withColumn(
         "_a", (F.col("role") == "assistant").cast("long")).withColumn(

@@ -297,13 +297,12 @@ def build_samples(plays: DataFrame, catalogue: DataFrame, ratio: int = 1, seed:
     n_pos + n_neg consecutive positions after its start point - enough to
     skip its own plays - so work is linear in plays, with no user x item
     product.  Output (user_id, item_id, label)."""
-    from tidemark.plans.ordered import with_positions
+    from tidemark.plans.ordered import global_positions, with_positions
 
     pos = plays.select("user_id", "item_id").distinct()
     cat = catalogue.select("item_id").distinct().withColumn("g", _u32(F.concat(F.lit(f"{seed}:"), F.col("item_id").cast("string"))))
     n_cat = cat.count()
-    ranked = with_positions(cat.withColumn("_k", F.lit(0)), "_k", ["g", "item_id"], numeric_order=True)
-    ranked = ranked.select("item_id", "g", (F.col("pos") - 1).alias("p"))
+    ranked = global_positions(cat, ["g", "item_id"], pos="p").select("item_id", "g", "p")
     # start point: number of items with g < o(u), via 2^16 hash buckets (a
     # dense bucket table, so every user bucket finds its prefix count)
     spark = plays.sparkSession
@@ -325,7 +324,7 @@ def build_samples(plays: DataFrame, catalogue: DataFrame, ratio: int = 1, seed:
     walk = walk.withColumn("p", F.pmod(F.col("s") + F.col("off"), F.lit(n_cat)))
     cand = walk.join(ranked.select("p", "item_id"), "p").join(pos, ["user_id", "item_id"], "left_anti")
     # rank among the user's unplayed candidates with skew-safe positions
-    neg = with_positions(cand, "user_id", ["off"], pos="_r", numeric_order=True).filter(F.col("_r") <= F.col("n_neg"))
+    neg = with_positions(cand, "user_id", ["off"], pos="_r").filter(F.col("_r") <= F.col("n_neg"))
     return pos.withColumn("label", F.lit(1)).unionByName(neg.select("user_id", "item_id", F.lit(0).alias("label")))
 
 

@@ -5,81 +5,70 @@ need each row's position inside its group (a user's events, a conversation's
 turns).  A plain `Window.partitionBy(key)` would sort a hot key - which may
 hold a third of all rows - inside one task.  Instead:
 
-1. count rows per key (partial aggregation, skew-safe);
-2. keys over `block_rows` rows are cut into ordered blocks at approximate
-   quantiles of the order column (`percentile_approx`, also a partial
-   aggregate), so each (key, block) holds about `block_rows` rows;
-3. rows are numbered inside (key, block) with a window over that bounded
-   group, and block offsets come from a running count over the per-block
-   summary table (one row per block);
-4. position = block offset + local number.
+1. rows are range-partitioned by (key, all order columns), so a hot key is
+   cut wherever its rows are many, and sorted inside each partition;
+2. each partition numbers its rows; the numbered rows are checkpointed, since
+   range bounds are sampled and would differ in a second run;
+3. one row per (key, partition) holds the first number and the row count; a
+   running sum over these few rows shifts the local numbers.
 
 With dense positions every look-back becomes an equi-join on
 (key, pos - k), whose keys are unique, so no further step depends on group
-size.
+size.  A numbering without a key needs one count per partition and no join.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.scale import cut_lineage
+
 DEFAULT_BLOCK_ROWS = 2_000_000
 
 
+def _numbered(df: DataFrame, cols: list[str], block_rows: int) -> DataFrame:
+    """Rows in the order of `cols` over range partitions of about `block_rows` rows at most, with `_blk` (the
+    partition, in order) and `_i` (the row's number inside it, from 0)."""
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // block_rows))
+    dealt = df.repartitionByRange(parts, *[F.col(c) for c in cols]).sortWithinPartitions(*cols)
+    # the id is the partition's number and, in its lower 33 bits, the row's
+    cut = cut_lineage(dealt.withColumn("_i", F.monotonically_increasing_id()))
+    return cut.withColumn("_blk", F.shiftright("_i", 33).cast("int")).withColumn("_i", F.col("_i").bitwiseAND((1 << 33) - 1))
+
+
 def with_positions(
     df: DataFrame,
     key: str,
     order: list[str],
     pos: str = "pos",
     block_rows: int = DEFAULT_BLOCK_ROWS,
-    numeric_order: bool = False,
     keep_block: bool = False,
 ) -> DataFrame:
     """Add a 1-based dense position per `key` in `order` (last columns break
     ties); also returns `n` = rows of the key and, with `keep_block`, the
-    ordered block id `_blk` (blocks hold about `block_rows` rows)."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    first = order[0]
-    ov = F.col(first).cast("double") if numeric_order else F.unix_micros(F.col(first).cast("timestamp"))
-    heavy = counts.filter(F.col("_n") > block_rows)
-    max_n = heavy.agg(F.max("_n")).first()[0]
-    if max_n is None:
-        blocked = df.withColumn("_blk", F.lit(0))
-    else:
-        q = int(math.ceil(max_n / block_rows))
-        pct = [i / q for i in range(1, q)]
-        bounds = (
-            df.join(heavy.select(key), key, "left_semi")
-            .groupBy(key)
-            .agg(F.percentile_approx(ov, pct, 10000).alias("_b"))
-        )
-        blocked = (
-            # one row per heavy key (at most rows / block_rows of them)
-            df.join(F.broadcast(bounds), key, "left")
-            .withColumn("_ov", ov)
-            .withColumn(
-                "_blk",
-                F.when(F.col("_b").isNull(), F.lit(0)).otherwise(
-                    F.size(F.filter(F.col("_b"), lambda b: b <= F.col("_ov")))
-                ),
-            )
-            .drop("_b", "_ov")
-        )
-    local_w = Window.partitionBy(key, "_blk").orderBy(*[F.col(c) for c in order])
-    local = blocked.withColumn("_lr", F.row_number().over(local_w))
-    sizes = local.groupBy(key, "_blk").agg(F.count(F.lit(1)).alias("_bs"))
-    # one row per block: the running sum is over the block summary only
-    run = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_bs").over(run), F.lit(0)))
-    out = local.join(offsets.select(key, "_blk", "_off"), [key, "_blk"])
-    return (
-        out.withColumn(pos, (F.col("_off") + F.col("_lr")).cast("bigint"))
-        .drop("_lr", "_off", *([] if keep_block else ["_blk"]))
-        .join(counts.withColumnRenamed("_n", "n"), key)
-    )
+    ordered block id `_blk` (a block holds rows of one partition)."""
+    rows = _numbered(df, [key, *order], block_rows)
+    blocks = rows.groupBy(key, "_blk").agg(F.min("_i").alias("_first"), F.count(F.lit(1)).alias("_bs"))
+    whole = Window.partitionBy(key)
+    run = whole.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(key, "_blk", "_first", F.coalesce(F.sum("_bs").over(run), F.lit(0)).alias("_off"), F.sum("_bs").over(whole).alias("n"))
+    out = rows.join(blocks, [key, "_blk"])
+    out = out.withColumn(pos, (F.col("_off") + F.col("_i") - F.col("_first") + 1).cast("bigint"))
+    return out.drop("_i", "_first", "_off", *([] if keep_block else ["_blk"]))
+
+
+def global_positions(df: DataFrame, order: list[str], pos: str = "pos", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Add a 0-based dense position over the whole table; the driver holds one count per partition."""
+    rows = _numbered(df, order, block_rows)
+    counts = {r["_blk"]: r["c"] for r in rows.groupBy("_blk").agg(F.count(F.lit(1)).alias("c")).collect()}
+    shift, run = [], 0
+    for b in range(max(counts, default=-1) + 1):
+        shift.append(F.lit(run).cast("bigint"))
+        run += counts.get(b, 0)
+    first = F.element_at(F.array(*shift), F.col("_blk") + 1) if shift else F.lit(0).cast("bigint")
+    return rows.withColumn(pos, first + F.col("_i")).drop("_blk", "_i")
 
 
 def lag_join(positioned: DataFrame, key: str, cols: list[str], k: int = 1, pos: str = "pos",
@@ -103,11 +92,10 @@ def trailing_agg(positioned: DataFrame, key: str, value: str, width: int, pos: s
 
 
 def dense_index(df: DataFrame, col: str, out: str = "idx") -> DataFrame:
-    """Distinct values of a numeric column numbered 0..n-1 in value order,
-    with the skew-safe positions above (no driver-side label list)."""
-    d = df.select(col).distinct().withColumn("_k", F.lit(0))
-    p = with_positions(d, "_k", [col], pos="_p", numeric_order=True)
-    return p.select(col, (F.col("_p") - 1).cast("int").alias(out))
+    """Distinct values of a column numbered 0..n-1 in value order, with the
+    positions above (no driver-side label list, no join)."""
+    p = global_positions(df.select(col).distinct(), [col], pos="_p")
+    return p.select(col, F.col("_p").cast("int").alias(out))
 
 
 def running_agg(positioned: DataFrame, key: str, col: str, how: str = "sum", out: str | None = None,

@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 # Settings every job in the library relies on.  AQE re-plans joins and
 # coalesces shuffle partitions from runtime statistics; skew-join splits hot
 # partitions of sort-merge joins.
+EXCLUDED = "spark.sql.optimizer.excludedRules"
 CORE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -28,7 +29,7 @@ CORE_CONF = {
     # the demo corpora are GBK; Spark 4 limits CSV/text charsets to the UTF
     # and Latin-1 family unless JVM charsets are allowed
     "spark.sql.legacy.javaCharsets": "true",
-    "spark.sql.optimizer.excludedRules": "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromGenerate",
+    EXCLUDED: "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromGenerate",
 }
 
 
@@ -47,17 +48,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def apply_core_conf(spark: SparkSession) -> SparkSession:
+    """Fill in the settings that the application did not set itself; excluded rules are added to those there are."""
+    own = spark.sparkContext.getConf()
     for k, v in CORE_CONF.items():
-        try:
+        if k == EXCLUDED:
+            rules = [x for x in (spark.conf.get(k, "") or "").split(",") if x]
+            spark.conf.set(k, ",".join(dict.fromkeys([*rules, v])))
+        elif not own.contains(k):
             spark.conf.set(k, v)
-        except Exception:  # static conf on an existing session
-            pass
     ensure_checkpoint_dir(spark)
     return spark
 

@@ -9,11 +9,14 @@ possible (model fitting, sequential decoding, streaming).
 
 from __future__ import annotations
 
+import functools
 import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.plans.session import apply_core_conf
+
 Builder = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Builder] = {}
@@ -38,7 +41,12 @@ def query(name: str, sql: str | None = None):
     def deco(fn: Builder) -> Builder:
         if name in _QUERIES:
             raise ValueError(f"duplicate query {name}")
-        _QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(apply_core_conf(spark), sf_dir)
+
+        _QUERIES[name] = build
         if sql is not None:
             _ORACLES[name] = sql
         return fn

@@ -69,7 +69,9 @@ def _sessions(spark, d):
 
 
 def _micros(c):
-    return F.unix_micros(F.col(c).cast("timestamp"))
+    # without a time zone, so that the session's zone plays no part
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, F.col(c).cast("timestamp_ntz"))
 
 
 @query("sessions", f"""WITH {SESS_SQL}

@@ -140,7 +140,7 @@ SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY genre_pos, genre_rank) AS pos FROM picks)
 WHERE pos <= 10""")
 def genre_quota(spark, d):
-    hot = recs.hot_items(views.plays(spark, d), views.items(spark, d), k=10**9, by="genre")
+    hot = recs.hot_items(views.plays(spark, d), views.items(spark, d), k=10, by="genre")  # a quota is 10 at most
     return recs.genre_quota(_user_genres(spark, d, 3), hot, 10)
 
 

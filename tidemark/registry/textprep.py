@@ -94,14 +94,14 @@ def qa_jaccard(spark, d):
     return p.select("conv_id", "turn", fround(X.jaccard(F.array_distinct(a), F.array_distinct(b)), 6).alias("jaccard"))
 
 
-@query("to_prob", """WITH x AS (SELECT vec_id AS id, list_transform(embedding[1:10], lambda v: 10.0 * v::DOUBLE) AS s FROM embeddings),
+@query("to_prob", """WITH x AS (SELECT vec_id AS id, list_transform(embedding, lambda v: 10.0 * v::DOUBLE) AS s FROM embeddings),
 y AS (SELECT id, s, list_max(s) AS m FROM x),
 z AS (SELECT id, s, list_transform(s, lambda v: exp(v - m)) AS ex FROM y)
 SELECT id, round(1.0 / (1.0 + exp(-s[1])), 6) AS sigmoid_first,
        round(list_max(ex) / list_sum(ex), 6) AS p_max,
        CAST(list_position(s, list_max(s)) - 1 AS INTEGER) AS argmax FROM z""")
 def to_prob(spark, d):
-    v = views.vectors(spark, d).select("id", F.transform(F.slice("embedding", 1, 10), lambda x: 10.0 * x.cast("double")).alias("s"))
+    v = views.vectors(spark, d).select("id", F.transform("embedding", lambda x: 10.0 * x.cast("double")).alias("s"))
     sm = V.softmax(F.col("s"))
     return v.select("id", fround(V.sigmoid(F.col("s")[0]), 6).alias("sigmoid_first"),
                     fround(F.array_max(sm), 6).alias("p_max"),

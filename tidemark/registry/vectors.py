@@ -33,13 +33,17 @@ def _dist_sql(a: str, b: str) -> str:
     return f"sqrt(list_sum(list_transform(range(1, len({a}) + 1), lambda i: ({a}[i]::DOUBLE - {b}[i]::DOUBLE) ^ 2)))"
 
 
+# components of the embeddings table's vectors
+WIDTH = 64
+
+
 @query("vec_explode", "SELECT vec_id AS id, " + ", ".join(
-    f"round(embedding[{i + 1}]::DOUBLE, 6) AS e{i}" for i in range(12)) + " FROM embeddings")
+    f"round(embedding[{i + 1}]::DOUBLE, 6) AS e{i}" for i in range(WIDTH)) + " FROM embeddings")
 def vec_explode(spark, d):
     from tidemark.operators.features import explode_vector
 
-    e = explode_vector(_vecs(spark, d).select("id", "vec"), "vec", 12, "e")
-    return e.select("id", *[fround(f"e{i}", 6).alias(f"e{i}") for i in range(12)])
+    e = explode_vector(_vecs(spark, d).select("id", "vec"), "vec", WIDTH, "e")
+    return e.select("id", *[fround(f"e{i}", 6).alias(f"e{i}") for i in range(WIDTH)])
 
 
 @query("vec_norms", """SELECT vec_id AS id,
