@@ -15,8 +15,9 @@ from tidemark.llm.common import read, stored
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = classifier.scored(docs, read(spark, sf_dir, "labels"))
-    return scored.filter(F.col("score") >= classifier.THRESHOLD).select(*docs.columns)
+    row = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+    scored = classifier.scored(row, read(spark, sf_dir, "labels"))
+    return scored.filter(F.col("score") >= classifier.THRESHOLD).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

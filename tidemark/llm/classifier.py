@@ -60,6 +60,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, fold: Column, limit
     """doc_id, text, label of at most `limit` labelled documents, those whose ids have the smallest hashes."""
     known = labels.filter(labels[label].isNotNull() & labels["doc_id"].isNotNull() & fold).groupBy(labels["doc_id"].alias("_id")).agg(F.max(labels[label]).alias("_y"))
     known = known.orderBy(F.xxhash64("_id"), "_id").limit(limit)
+    docs = docs.select("doc_id", "text")
     # at most `limit` rows of an id and a label
     return docs.join(F.broadcast(known), docs["doc_id"] == known["_id"]).select(known["_id"].alias("doc_id"), text_of(docs).alias("text"), F.col("_y").cast("double").alias("y"))
 
@@ -167,10 +168,10 @@ def scorer(model: Additive):
     return score
 
 
-def scored(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5, held_out: int = 0) -> DataFrame:
-    """The documents' columns with `score`; labels of the held-out fold are not learnt from."""
+def scored(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5, held_out: int = 0, out: str = "score") -> DataFrame:
+    """The documents' columns with the score as `out`; labels of the held-out fold are not learnt from."""
     model = fit(docs, labels, label, held_out_fold(labels["doc_id"], folds) != held_out)
-    return docs.withColumn("score", scorer(model)(text_of(docs)))
+    return docs.withColumn(out, scorer(model)(text_of(docs)))
 
 
 def op8_quality_classifier(spark, sf_dir: str) -> DataFrame:

@@ -156,18 +156,18 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as documents: a row for each part of a document that a slot takes, with the words taken as text
     (joined by one space) and its length; other columns of documents stay.  The order of rows carries no meaning."""
     row = F.xxhash64(*[docs[c] for c, kind in docs.dtypes if not kind.startswith("map")])
-    known = docs.withColumn("_row", row)
+    known = docs.select(F.struct(*docs.columns).alias("_doc"), "doc_id", "source", "text", row.alias("_row"))
     documents, filled = mix(known, carry=("_row",))
     # the text moves once to its place in the stream and once, cut in pieces, to its slots
-    texts = known.dropDuplicates(["_row"]).select("_row", *[F.col(c).alias(f"_c_{c}") for c in docs.columns])
-    placed_texts = texts.join(documents.select(F.col("_c__row").alias("_row"), "_sk", "_start", "size"), "_row").withColumn("_w", words_of(F.col("_c_text")))
+    texts = known.dropDuplicates(["_row"]).select("_row", "_doc")
+    placed_texts = texts.join(documents.select(F.col("_c__row").alias("_row"), "_sk", "_start", "size"), "_row").withColumn("_w", words_of(F.col("_doc")["text"]))
     cut = pieces(placed_texts)
-    cut = cut.withColumn("_p", F.slice("_w", (F.col("first_word") + 1).cast("int"), F.col("n_words").cast("int"))).drop("_w", "_c_text")
+    cut = cut.withColumn("_p", F.slice("_w", (F.col("first_word") + 1).cast("int"), F.col("n_words").cast("int"))).drop("_w").withColumn("_doc", F.struct(*[F.col("_doc")[c].alias(c) for c in docs.columns if c != "text"]))
     taken = cut.join(filled, ["_sk", "block"]).filter(F.col("at") < F.col("words"))
     text = F.array_join(F.slice("_p", F.lit(1), F.least(F.col("n_words"), F.col("words") - F.col("at")).cast("int")), " ")
     taken = taken.withColumn("_text", text)
     new = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
-    return taken.select(*[new.get(c, F.col(f"_c_{c}")).alias(c) for c in docs.columns])
+    return taken.select(*[(new[c] if c in new else F.col("_doc")[c]).alias(c) for c in docs.columns])
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:

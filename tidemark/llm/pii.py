@@ -212,14 +212,14 @@ def redacted(docs: DataFrame) -> DataFrame:
     """The documents with every span that was found replaced by `<kind>`; n_chars follows the new text.  Rows and other
     columns stay."""
     model = fit(saved(with_spans(docs.select("doc_id", "text")).select("_spans")))
-    d = chosen(with_spans(docs), model)
+    d = chosen(with_spans(docs.select(F.struct(*docs.columns).alias("_doc"), "text")), model)
 
     def step(a, x):
         return F.when(x["start"] >= a["at"], F.struct(x["end"].alias("at"), F.concat(a["out"], F.array(F.substring(d["text"], a["at"] + 1, x["start"] - a["at"]), F.concat(F.lit("<"), x["kind"], F.lit(">")))).alias("out"))).otherwise(a)
 
     done = F.aggregate("_all", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(d["text"], a["at"] + 1, F.lit(2**31 - 1))))
     d = d.withColumn("_new", F.when(F.size("_all") > 0, done).otherwise(F.col("text")))
-    return d.select(*[F.col("_new").alias(c) if c == "text" else F.length("_new").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    return d.select(*[F.col("_new").alias(c) if c == "text" else F.length("_new").cast("long").alias(c) if c == "n_chars" else F.col("_doc")[c].alias(c) for c in docs.columns])
 
 
 def op6_pii(spark, sf_dir: str) -> DataFrame:

@@ -173,6 +173,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, fold: Column) -> tupl
     totals = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     pick = lambda y, n: known.filter(F.col("y") == y).orderBy(F.xxhash64("_id"), "_id").limit(n)
     chosen = saved(pick(1, TOXIC_ROWS).unionByName(pick(0, CLEAN_ROWS)))
+    docs = docs.select("doc_id", "text")
     # at most TOXIC_ROWS + CLEAN_ROWS rows of an id and a label
     found = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_id"]).select(chosen["_id"].alias("doc_id"), text_of(docs).alias("text"), "y")
     return saved(found.dropDuplicates(["doc_id"])), totals
