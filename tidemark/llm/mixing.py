@@ -138,7 +138,8 @@ def mix(docs: DataFrame, carry: tuple[str, ...] = (), block_words: int = BLOCK_W
     at = saved(placed(sizes))
     packed = saved(blocks(at, table, block_words))
     quota = [(r["_sk"], r["n"]) for r in packed.groupBy("_sk").agg(F.count(F.lit(1)).alias("n")).orderBy("_sk").collect()]
-    filled = slots(spark, quota, shard_slots).join(packed, ["_sk", "index"])
+    # merge joins: Spark takes an exploded table for as small as it was before, and would broadcast it
+    filled = slots(spark, quota, shard_slots).hint("merge").join(packed, ["_sk", "index"])
     return at.join(F.broadcast(table.select("_sk", "source_size", "target")), "_sk"), filled
 
 
@@ -163,7 +164,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     placed_texts = texts.join(documents.select(F.col("_c__row").alias("_row"), "_sk", "_start", "size"), "_row").withColumn("_w", words_of(F.col("_doc")["text"]))
     cut = pieces(placed_texts)
     cut = cut.withColumn("_p", F.slice("_w", (F.col("first_word") + 1).cast("int"), F.col("n_words").cast("int"))).drop("_w").withColumn("_doc", F.struct(*[F.col("_doc")[c].alias(c) for c in docs.columns if c != "text"]))
-    taken = cut.join(filled, ["_sk", "block"]).filter(F.col("at") < F.col("words"))
+    taken = cut.hint("merge").join(filled, ["_sk", "block"]).filter(F.col("at") < F.col("words"))
     text = F.array_join(F.slice("_p", F.lit(1), F.least(F.col("n_words"), F.col("words") - F.col("at")).cast("int")), " ")
     taken = taken.withColumn("_text", text)
     new = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
@@ -173,7 +174,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, taken: words that the mix takes of each document, repeats counted."""
     documents, filled = mix(read(spark, sf_dir, "documents"))
-    parts = pieces(documents.select("_sk", "_start", "size")).join(filled, ["_sk", "block"]).filter(F.col("at") < F.col("words"))
+    parts = pieces(documents.select("_sk", "_start", "size")).hint("merge").join(filled, ["_sk", "block"]).filter(F.col("at") < F.col("words"))
     # a document with words is known by its place in its source's stream
     taken = parts.groupBy("_sk", "_start").agg(F.sum(F.least(F.col("n_words"), F.col("words") - F.col("at"))).alias("_taken"))
     some = documents.filter(F.col("size") > 0).join(taken, ["_sk", "_start"], "left")
