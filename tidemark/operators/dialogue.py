@@ -9,7 +9,9 @@ conversation.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
@@ -267,3 +269,40 @@ def dialog_state(turns: DataFrame, block_rows: int | None = None) -> DataFrame:
     p = running_agg(p, "conv_id", "_ls", "max", "last_system_turn")
     return p.select("conv_id", "turn", "role", F.col("user_turns").cast("bigint").alias("user_turns"),
                     F.col("assistant_turns").cast("bigint").alias("assistant_turns"), "last_user_turn", "last_system_turn")
+
+
+def template_pattern(parts: list[tuple[str, ...] | str]) -> str:
+    """A template as one pattern: a tuple is a dictionary slot (a group that
+    holds any of its words), a string a keyword; anything may stand between.
+    Words match whole and in any case."""
+    def words(p):
+        return "|".join(re.escape(w) for w in sorted((p,) if isinstance(p, str) else p, key=lambda w: (-len(w), w)))
+
+    groups = [f"({words(p)})" if isinstance(p, tuple) else f"(?:{words(p)})" for p in parts]
+    gap = r"[^\p{L}\p{N}]"
+    return f"(?is)(?:^|{gap})" + f"{gap}(?:.*?{gap})?".join(groups) + f"(?:{gap}|$)"
+
+
+def match_intent(df: DataFrame, text: str, templates: dict[str, list[tuple[str, ...] | str]], slots: int = 2) -> DataFrame:
+    """F32: `intent`, the first template that the text matches (null: none),
+    and what its dictionary slots hold, in lower case, as slot_1 ..."""
+    found = F.lit(None).cast("string")
+    values = [F.lit(None).cast("string")] * slots
+    for name, parts in reversed(templates.items()):
+        pattern = template_pattern(parts)
+        hit = F.col(text).rlike(pattern)
+        found = F.when(hit, F.lit(name)).otherwise(found)
+        held = sum(isinstance(p, tuple) for p in parts)
+        values = [F.when(hit, F.lower(F.regexp_extract(text, pattern, i + 1)) if i < held else F.lit(None)).otherwise(v)
+                  for i, v in enumerate(values)]
+    return df.withColumn("intent", found).withColumns({f"slot_{i + 1}": v for i, v in enumerate(values)})
+
+
+def expand_synonyms(tokens: Column, synonyms: dict[str, tuple[str, ...]]) -> Column:
+    """The tokens, each followed by its synonyms (a dictionary given as
+    a parameter), every word once in the order of its first place."""
+    if not synonyms:
+        return F.array_distinct(tokens)
+    table = F.create_map(*[x for w, s in synonyms.items() for x in (F.lit(w), F.array(*map(F.lit, s)))])
+    more = F.transform(tokens, lambda t: F.concat(F.array(t), F.coalesce(F.try_element_at(table, t), F.array().cast("array<string>"))))
+    return F.array_distinct(F.flatten(more))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.ordered import dense_index
 from tidemark.plans.quantile import quantile_cont
 
 
@@ -159,3 +160,22 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     row = df.agg(*aggs)
     pairs = ", ".join(f"'{c}', `{c}__n`, `{c}__mean`, `{c}__sd`, `{c}__min`, `{c}__max`" for c in cols)
     return row.selectExpr(f"stack({len(cols)}, {pairs}) AS (column, count, mean, stddev, min, max)")
+
+
+def item_features(items: DataFrame, scalars: list[str], year: str, vectors: DataFrame, key: str = "item_id") -> DataFrame:
+    """M6: (key, decade, features): min-max scaled scalars (nulls count as 0
+    before scaling) followed by the components of the item's vector; an item
+    without a vector has the scalars only.  vectors: (key, vec)."""
+    filled = items.na.fill(0, scalars)
+    scaled = minmax(filled.withColumn("decade", decade(F.col(year))), fit_scaler(filled, scalars))
+    both = scaled.join(vectors.select(key, "vec"), key, "left")
+    head = F.array(*[F.col(c).cast("double") for c in scalars])
+    tail = F.coalesce(F.transform("vec", lambda x: x.cast("double")), F.array().cast("array<double>"))
+    return both.select(key, "decade", F.concat(head, tail).alias("features"))
+
+
+def label_ids(df: DataFrame, label: str, out: str = "label_id") -> DataFrame:
+    """The id of each row's label, 0..n-1 in label order; rows without a
+    label get none."""
+    ids = dense_index(df.filter(F.col(label).isNotNull()), label, out)
+    return df.join(ids, label, "left")

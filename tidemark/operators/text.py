@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.numeric import fround
 
 from tidemark.functions import text as T
+from tidemark.plans.ordered import global_positions
 from tidemark.plans.scale import topn_per
 
 
@@ -297,30 +298,31 @@ def jaccard(a: F.Column, b: F.Column) -> F.Column:
     return F.when(u > 0, F.size(F.array_intersect(a, b)) / u)
 
 
-def nsp_pairs(sents: DataFrame, seed: int = 5, buckets: int = 1024, key: str = "doc_id") -> DataFrame:
+def nsp_pairs(sents: DataFrame, seed: int = 5, key: str = "doc_id") -> DataFrame:
     """for every sentence that has a successor: with probability 1/2
     (md5) the true next sentence (is_next = 1), otherwise a sentence of
-    another document (is_next = 0) chosen by an md5 bucket: the two
-    smallest-hash sentences of the bucket are kept (a partial top-2), and the
-    first one not from the same document is used.  No pairs are enumerated.
-
-    sents: (doc_id, sent_pos, sentence), positions 1..n per document."""
+    another document (is_next = 0).
+
+    All sentences get dense positions in (document, sentence) order, so a
+    document is one run of positions; a negative is a hash draw among the
+    positions outside that run, each equally likely.  Pairs then meet in one
+    equi-join on the position.  Without a second document there are no
+    negatives.  sents: (doc_id, sent_pos, sentence), positions 1..n."""
+    at = global_positions(sents.select(key, "sent_pos", "sentence"), [key, "sent_pos"], pos="_at")
+    total = at.count()
+    size = at.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), F.col("sent_pos").cast("string")))
-    s = sents.withColumn("_h", h).withColumn("_b", F.pmod(F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint"),
-                                                          F.lit(buckets)))
-    nxt = sents.select(key, (F.col("sent_pos") - 1).alias("sent_pos"), F.col("sentence").alias("_next"))
-    base = s.join(nxt, [key, "sent_pos"])  # sentences with a successor
-    coin = F.conv(F.substring("_h", 9, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
-    pick = F.pmod(F.conv(F.substring("_h", 17, 8), 16, 10).cast("bigint"), F.lit(buckets))
-    base = base.withColumn("is_next", (coin < 0.5).cast("int")).withColumn("_pb", pick)
-    top2 = topn_per(s.select(F.col("_b").alias("_pb"), F.col(key).alias("_od"), F.col("sentence").alias("_other"), "_h"),
-                    "_pb", [F.col("_h")], 2, rank_col="_r")
-    cand = base.filter(F.col("is_next") == 0).join(top2, "_pb").filter(F.col("_od") != F.col(key))
-    w = topn_per(cand, [key, "sent_pos"], [F.col("_r")], 1, rank_col="_q")
-    neg = w.select(key, "sent_pos", F.col("sentence").alias("a"), F.col("_other").alias("b"), F.lit(0).alias("is_next"))
-    pos = base.filter(F.col("is_next") == 1).select(key, "sent_pos", F.col("sentence").alias("a"),
-                                                    F.col("_next").alias("b"), "is_next")
-    return pos.unionByName(neg)
+    base = at.join(size, key).filter(F.col("sent_pos") < F.col("_n")).withColumn("_h", h)
+    coin = F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint") < F.lit(1 << 31)
+    others = F.nullif(F.lit(total) - F.col("_n"), F.lit(0))
+    draw = F.pmod(F.conv(F.substring("_h", 9, 15), 16, 10).cast("bigint"), others)
+    start = F.col("_at") - F.col("sent_pos") + 1
+    base = base.withColumn("is_next", coin.cast("int")).withColumn("_draw", draw)
+    partner = F.when(F.col("is_next") == 1, F.col("_at") + 1).when(F.col("_draw") < start, F.col("_draw")).otherwise(
+        F.col("_draw") + F.col("_n"))
+    second = at.select(F.col("_at").alias("_p"), F.col("sentence").alias("b"))
+    return base.withColumn("_p", partner).join(second, "_p").select(
+        key, "sent_pos", F.col("sentence").alias("a"), "b", "is_next")
 
 
 def wordpiece_vocab(docs: DataFrame, n_words: int, n_pieces: int, tokens: str = "tokens") -> DataFrame:

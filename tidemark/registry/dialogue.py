@@ -322,3 +322,40 @@ FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN
 def dialog_state(spark, d):
     """Per-turn dialogue slot state (counts and last-seen turns)."""
     return D.dialog_state(views.turns(spark, d))
+
+
+# dictionaries and templates of the demo: words that the conversations use
+PLACES = ("hent", "thor", "thaat", "ou")
+TIMES = ("is", "to", "than", "and")
+INTENTS = {"place_time": [PLACES, TIMES, "of"], "time_only": [TIMES, "in"], "place_only": [PLACES]}
+SYNONYMS = {"and": ("plus", "also"), "of": ("from",), "to": ("towards", "into"), "is": ("was",)}
+
+
+def _intent_sql() -> str:
+    hit = {n: f"regexp_matches(text, '{D.template_pattern(p)}')" for n, p in INTENTS.items()}
+    slot = [" ".join(f"WHEN {hit[n]} THEN " + (f"lower(regexp_extract(text, '{D.template_pattern(p)}', {i}))"
+                                               if i <= sum(isinstance(x, tuple) for x in p) else "NULL")
+                     for n, p in INTENTS.items()) for i in (1, 2)]
+    name = " ".join(f"WHEN {h} THEN '{n}'" for n, h in hit.items())
+    return f"SELECT conv_id, turn, CASE {name} END AS intent, CASE {slot[0]} END AS slot_1, CASE {slot[1]} END AS slot_2 FROM conversations"
+
+
+@query("intent_templates", _intent_sql())
+def intent_templates(spark, d):
+    """F32: template intents (dictionary slot .. any .. slot .. keyword)."""
+    return D.match_intent(views.turns(spark, d), "text", INTENTS).select("conv_id", "turn", "intent", "slot_1", "slot_2")
+
+
+@query("expand_synonyms", f"""WITH syn(w, s, i) AS (VALUES {', '.join(f"('{w}', '{x}', {i + 1})" for w, s in SYNONYMS.items() for i, x in enumerate(s))}),
+t AS (SELECT conv_id, turn, {tok_sql('text')} AS toks FROM conversations),
+l AS (SELECT conv_id, turn, unnest(toks) AS w, unnest(range(1, len(toks) + 1)) AS pos FROM t),
+e AS (SELECT conv_id, turn, w, pos, 0 AS i FROM l UNION ALL
+      SELECT conv_id, turn, s, pos, syn.i FROM l JOIN syn USING (w)),
+o AS (SELECT conv_id, turn, w, min(pos * 100 + i) AS place FROM e GROUP BY 1, 2, 3),
+g AS (SELECT conv_id, turn, COUNT(*) AS n, string_agg(w, ' ' ORDER BY place) AS x FROM o GROUP BY 1, 2)
+SELECT t.conv_id, t.turn, CAST(COALESCE(n, 0) AS INTEGER) AS n_tokens, md5(COALESCE(x, '')) AS tokens_md5
+FROM t LEFT JOIN g USING (conv_id, turn)""")
+def expand_synonyms(spark, d):
+    """The words of each turn with their synonyms, before retrieval."""
+    x = views.turns(spark, d).select("conv_id", "turn", D.expand_synonyms(T.tokenize_ws(F.col("text")), SYNONYMS).alias("x"))
+    return x.select("conv_id", "turn", F.size("x").alias("n_tokens"), F.md5(F.array_join("x", " ")).alias("tokens_md5"))

@@ -359,3 +359,23 @@ def route_scene(spark, d):
     hot = recs.hot_items(p, views.items(spark, d), k=10)
     out = recs.blend(cf, ct, hot, req.select("user_id"))
     return out.join(req, "user_id").select("user_id", "scene", "item_id", fround("score", 6).alias("score"))
+
+
+ITEM_SCALARS = ["price", "size"]
+
+
+@query("item_features", """WITH m AS (SELECT min(p_retailprice) AS pa, max(p_retailprice) AS pb, min(p_size) AS sa, max(p_size) AS sb FROM part),
+f AS (SELECT p_partkey AS item_id, CAST(CAST(floor(p_size / 10) * 10 AS BIGINT) AS VARCHAR) AS decade,
+        list_concat([CASE WHEN pb <> pa THEN (p_retailprice - pa) / (pb - pa) ELSE 0.0 END::DOUBLE,
+                     CASE WHEN sb <> sa THEN (p_size - sa) / (sb - sa) ELSE 0.0 END::DOUBLE],
+                    COALESCE(list_transform(embedding, lambda x: x::DOUBLE), [])) AS features
+      FROM part CROSS JOIN m LEFT JOIN embeddings ON vec_id = p_partkey)
+SELECT item_id, decade, CAST(unnest(range(0, len(features))) AS INTEGER) AS pos, round(unnest(features), 6) AS value FROM f""")
+def item_features(spark, d):
+    """M6: scaled price and size, ten-steps of the size, and the item's vector."""
+    from tidemark.operators.features import item_features as features
+
+    vecs = views.vectors(spark, d).select(F.col("id").alias("item_id"), F.col("embedding").alias("vec"))
+    f = features(views.items(spark, d), ITEM_SCALARS, "size", vecs)
+    f = f.select("item_id", "decade", F.posexplode("features").alias("pos", "value"))
+    return f.withColumn("value", fround("value", 6))

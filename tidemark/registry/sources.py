@@ -185,13 +185,13 @@ def read_bow_lines(spark, d):
 
 
 
-def _parse_page(raw: bytes) -> dict:
-    """Body of one page file: url and html length (the page id is in the
-    folder name of the partitioned write)."""
+def _parse_page(raw: bytes) -> list[dict]:
+    """Url and html length of every record of a page file (the page id is in
+    the folder name of the partitioned write)."""
     import json
 
-    rec = json.loads(raw.decode("utf-8").strip().splitlines()[0])
-    return {"url": rec["url"], "n_chars": len(rec["html"])}
+    recs = [json.loads(line) for line in raw.decode("utf-8").split("\n") if line.strip()]
+    return [{"url": r.get("url"), "n_chars": len(r["html"]) if r.get("html") is not None else None} for r in recs]
 
 
 @query("ingest_files", "SELECT page_id, url, CAST(length(html) AS BIGINT) AS n_chars, CAST(NULL AS VARCHAR) AS _error FROM pages")
@@ -204,3 +204,32 @@ def ingest_files(spark, d):
     out = readers.ingest_files(spark, path, _parse_page, "url string, n_chars long")
     pid = F.regexp_extract("path", "page_id=([0-9]+)", 1).cast("bigint")
     return out.select(pid.alias("page_id"), "url", "n_chars", "_error")
+
+
+# fixed values: files a class gives to each split
+CLASS_TRAIN, CLASS_TEST = 9_999, 10_000
+
+
+@query("read_class_dirs", f"""SELECT doc_id, lang AS label, CASE WHEN r <= {CLASS_TRAIN} THEN 'train' ELSE 'test' END AS split, n_chars
+FROM (SELECT doc_id, lang, CAST(length(text) AS BIGINT) AS n_chars,
+             row_number() OVER (PARTITION BY lang ORDER BY 'doc_id=' || doc_id || '/') AS r FROM documents)
+WHERE r <= {CLASS_TRAIN + CLASS_TEST}""")
+def read_class_dirs(spark, d):
+    """One text file per document under a folder per language, read back
+    with the label from the path and the first files of a class as train."""
+    path = _scratch(spark, d, "class_dirs")
+    docs = views.table(spark, d, "documents").select("lang", "doc_id", F.col("text").alias("value"))
+    docs.repartition("lang", "doc_id").write.mode("overwrite").partitionBy("lang", "doc_id").text(path)
+    got = readers.read_class_dirs(spark, path, CLASS_TRAIN, CLASS_TEST, label_at=-3)
+    return got.select(F.regexp_extract("path", "doc_id=([0-9]+)", 1).cast("bigint").alias("doc_id"),
+                      F.regexp_replace("label", "^lang=", "").alias("label"), "split",
+                      (F.length("text") - 1).cast("bigint").alias("n_chars"))  # the writer ends each text with \n
+
+
+@query("label_ids", """SELECT doc_id, source, CAST(dense_rank() OVER (ORDER BY source) - 1 AS INTEGER) AS label_id
+FROM documents WHERE source IS NOT NULL UNION ALL SELECT doc_id, source, NULL FROM documents WHERE source IS NULL""")
+def label_ids(spark, d):
+    """Every document's source as the id of its label."""
+    from tidemark.operators.features import label_ids as ids
+
+    return ids(views.table(spark, d, "documents").select("doc_id", "source"), "source").select("doc_id", "source", "label_id")

@@ -265,10 +265,20 @@ def instance_weights(spark, d):
                     fround(F.col("tgt_share") / F.col("src_share"), 6).alias("weight"))
 
 
-@query("nsp_pairs")
+@query("nsp_pairs", r"""WITH l AS (
+  SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '[.!?\n]'), lambda x: trim(x)),
+                             lambda x: x <> '') AS sents FROM documents),
+s AS (SELECT doc_id, CAST(unnest(range(1, len(sents) + 1)) AS INTEGER) AS sent_pos, unnest(sents) AS sentence FROM l),
+p AS (SELECT *, row_number() OVER (ORDER BY doc_id, sent_pos) - 1 AS place, COUNT(*) OVER (PARTITION BY doc_id) AS n,
+        COUNT(*) OVER () AS total, md5('5:' || doc_id || ':' || sent_pos) AS h FROM s),
+r AS (SELECT *, CASE WHEN ('0x' || substr(h, 1, 8))::BIGINT < 2147483648 THEN 1 ELSE 0 END AS is_next,
+        ('0x' || substr(h, 9, 15))::BIGINT % nullif(total - n, 0) AS draw FROM p WHERE sent_pos < n),
+t AS (SELECT *, CASE WHEN is_next = 1 THEN place + 1 WHEN draw < place - sent_pos + 1 THEN draw ELSE draw + n END AS partner
+      FROM r)
+SELECT t.doc_id, t.sent_pos, t.sentence AS a, p.sentence AS b, t.is_next FROM t JOIN p ON p.place = t.partner""")
 def nsp_pairs(spark, d):
-    """F34 (rows-only; the bucket draw is checked by a unit test): next
-    sentence pairs, half true successors, half sentences of other documents."""
+    """next sentence pairs, half true successors, half sentences of
+    other documents."""
     s = views.corpus(spark, d).select("doc_id", T.sentences(F.col("text")).alias("s"))
     sents = s.select("doc_id", F.posexplode("s").alias("sent_pos", "sentence")).withColumn("sent_pos", F.col("sent_pos") + 1)
     return X.nsp_pairs(sents)
