@@ -150,6 +150,18 @@ def ngram_structs(tokens: F.Column, n: int) -> F.Column:
     return F.arrays_zip(*[F.slice(tokens, 1 + i, m).alias(f"g{i}") for i in range(n)])
 
 
+def context_centre_pairs(docs: DataFrame, window: int, tokens: str = "tokens") -> DataFrame:
+    """A26 (context to centre): (words up to `window` before and after, word)
+    counts.  Centre to context is `cooccurrence`, whose pairs are ordered."""
+    edge = F.array(*[F.lit("")] * window)
+    g = docs.select(F.explode(ngram_structs(F.concat(edge, F.col(tokens), edge), 2 * window + 1)).alias("g"))
+    around = F.array(*[F.col(f"g.g{i}") for i in range(2 * window + 1) if i != window])
+    return (
+        g.select(F.array_join(F.array_remove(around, ""), " ").alias("context"), F.col(f"g.g{window}").alias("target"))
+        .groupBy("context", "target").agg(F.count(F.lit(1)).alias("count"))
+    )
+
+
 def ngram_lm_pairs(docs: DataFrame, n: int, tokens: str = "tokens") -> DataFrame:
     """A26 (n-gram mode): (previous n-1 words, next word) pair counts."""
     g = docs.select(F.explode(ngram_structs(F.col(tokens), n)).alias("g"))

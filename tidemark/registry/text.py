@@ -276,6 +276,14 @@ def ngram_context(spark, d):
     return X.ngram_lm_pairs(_docs(spark, d), 3)
 
 
+@query("context_centre", f"""WITH {DOCS},
+p AS (SELECT array_to_string(list_concat(tokens[greatest(i - 2, 1):i - 1], tokens[i + 1:i + 2]), ' ') AS context, tokens[i] AS target
+      FROM (SELECT tokens, unnest(range(1, len(tokens) + 1)) AS i FROM docs))
+SELECT context, target, COUNT(*) AS count FROM p GROUP BY 1, 2""")
+def context_centre(spark, d):
+    return X.context_centre_pairs(_docs(spark, d), 2)
+
+
 @query("negative_table", f"""WITH {DOCS}, {TOK}, {COUNTS}, {sql_vocab(V)},
 v AS (SELECT token, id, count, pow(count, 0.75) AS w FROM vocab WHERE count IS NOT NULL),
 c AS (SELECT *, SUM(w) OVER () AS tot, SUM(w) OVER (ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM v)
