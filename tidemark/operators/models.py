@@ -232,9 +232,12 @@ def lda_topics(docs: DataFrame, tokens: str, k: int = 20, top: int = 5, seed: in
     return topics, model.logPerplexity(x), model.transform(x)
 
 
-def word2vec(docs: DataFrame, tokens: str, size: int = 400, window: int = 5, min_count: int = 5, seed: int = 1):
-    """Skip-gram word vectors (reference settings) and the model."""
-    return Word2Vec(vectorSize=size, windowSize=window, minCount=min_count, inputCol=tokens, outputCol="vec",
+def word2vec(docs: DataFrame, tokens: str, size: int = 400, window: int = 5, min_count: int = 5, seed: int = 1,
+             rows_per_part: int = 50_000):
+    """Skip-gram word vectors (reference settings) and the model; one
+    training partition for each `rows_per_part` documents."""
+    parts = max(1, -(-docs.count() // rows_per_part))
+    return Word2Vec(numPartitions=parts, vectorSize=size, windowSize=window, minCount=min_count, inputCol=tokens, outputCol="vec",
                     seed=seed, maxIter=1).fit(docs)
 
 

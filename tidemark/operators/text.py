@@ -8,6 +8,9 @@ what makes broadcasting them safe.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,20 +70,28 @@ def encode(docs: DataFrame, vocab: DataFrame, tokens: str = "tokens", unk: int |
            key: str = "doc_id") -> DataFrame:
     """J6 (unk=None: drop OOV) / J7 (OOV -> unk): (doc_id, ids array<int>).
 
-    The vocabulary is bounded by V, so it is broadcast; documents regroup by
-    their key with positions sorted, no global ordering involved.
+    The vocabulary is bounded by V, so each task holds it; a row's tokens are
+    looked up where they are, a whole Arrow batch at a time, without a shuffle.
     """
-    lt = long_tokens(docs, tokens, key)
-    how = "inner" if unk is None else "left"
-    j = lt.join(F.broadcast(vocab.select("token", "id")), "token", how)
-    if unk is not None:
-        j = j.withColumn("id", F.coalesce(F.col("id"), F.lit(unk)))
-    enc = j.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
-    enc = enc.select(key, F.col("_p.id").alias("ids"))
-    # documents with no surviving token keep an empty array
-    return docs.select(key).join(enc, key, "left").select(
-        key, F.coalesce(F.col("ids"), F.array().cast("array<int>")).alias("ids")
-    )
+    known = vocab.select("token", "id").collect()  # V rows
+    kind = docs.schema[key].dataType.simpleString()
+
+    def look_up(batches):
+        words = pa.array([r["token"] for r in known], pa.string())
+        id_of = np.array([r["id"] for r in known] + [-1 if unk is None else unk], np.int32)
+        for b in batches:
+            lens = pc.fill_null(pc.list_value_length(b.column(1)), 0).to_numpy(zero_copy_only=False)
+            at = pc.fill_null(pc.index_in(b.column(1).flatten(), value_set=words), len(known))
+            ids = id_of[at.to_numpy(zero_copy_only=False)]
+            ends = np.concatenate([[0], np.cumsum(lens)])
+            if unk is None:
+                stays = ids >= 0
+                ends = np.concatenate([[0], np.cumsum(stays)])[ends]
+                ids = ids[stays]
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+            yield pa.RecordBatch.from_arrays([b.column(0), lists], names=[key, "ids"])
+
+    return docs.select(key, tokens).mapInArrow(look_up, f"`{key}` {kind}, ids array<int>")
 
 
 def term_freq(docs: DataFrame, tokens: str = "tokens", key: str = "doc_id") -> DataFrame:
@@ -118,30 +129,28 @@ def keywords(tfidf_df: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
     return topn_per(tfidf_df, key, [fround("tfidf", 9).desc(), F.col("token")], n)
 
 
-def _zip_at(t: F.Column, d: int, forward: bool) -> F.Column:
-    """(w1, w2, d) structs for every position pair at distance d, from two
-    aligned slices (arrays_zip: no per-element lambda); forward pairs read
-    left to right, backward pairs right to left."""
+def _zip_at(t: F.Column, d: int) -> F.Column:
+    """(w1, w2, d) structs for every position pair at distance d, left to
+    right, from two aligned slices (arrays_zip: no per-element lambda)."""
     n = F.greatest(F.size(t) - d, F.lit(0))
-    a, b = F.slice(t, 1, n), F.slice(t, 1 + d, n)
-    first, second = (a, b) if forward else (b, a)
-    return F.arrays_zip(first.alias("w1"), second.alias("w2"), F.array_repeat(F.lit(d), n).alias("d"))
-
-
-def window_pairs(tokens: str, window: int) -> F.Column:
-    """Array of (w1, w2, d) for every ordered pair at distance 1..window, both
-    directions, built per row from aligned slices (no join, no lambda)."""
-    t = F.col(tokens)
-    return F.concat(*[_zip_at(t, d, fw) for d in range(1, window + 1) for fw in (True, False)])
+    return F.arrays_zip(F.slice(t, 1, n).alias("w1"), F.slice(t, 1 + d, n).alias("w2"), F.array_repeat(F.lit(d), n).alias("d"))
 
 
 def cooccurrence(docs: DataFrame, window: int = 2, tokens: str = "tokens") -> DataFrame:
-    """Symmetric-window word co-occurrence: plain count and 1/d weight."""
-    pairs = docs.select(F.explode(window_pairs(tokens, window)).alias("p")).select(
-        F.col("p.w1").alias("w1"), F.col("p.w2").alias("w2"), F.col("p.d").alias("d"))
-    return pairs.groupBy("w1", "w2").agg(
-        F.count(F.lit(1)).alias("count"), F.sum(1.0 / F.col("d")).alias("weight")
-    )
+    """Symmetric-window word co-occurrence: plain count and 1/d weight.
+
+    The counts are symmetric, so pairs are summed under the smaller word only
+    and mirrored after the shuffle; a word beside itself counts in both
+    directions."""
+    forward = F.concat(*[_zip_at(F.col(tokens), d) for d in range(1, window + 1)])
+    pairs = docs.select(F.explode(forward).alias("p")).select(
+        F.least("p.w1", "p.w2").alias("a"), F.greatest("p.w1", "p.w2").alias("b"), F.col("p.d").alias("d"))
+    half = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.sum(1.0 / F.col("d")).alias("w"))
+    twice = F.when(F.col("a") == F.col("b"), 2).otherwise(1)
+    one, other = F.struct(F.col("a").alias("w1"), F.col("b").alias("w2")), F.struct(F.col("b").alias("w1"), F.col("a").alias("w2"))
+    both = F.array_distinct(F.array(one, other))
+    return half.select(F.explode(both).alias("p"), (F.col("n") * twice).alias("count"), (F.col("w") * twice).alias("weight")).select(
+        "p.w1", "p.w2", "count", "weight")
 
 
 def ngram_structs(tokens: F.Column, n: int) -> F.Column:

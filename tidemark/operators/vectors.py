@@ -79,7 +79,7 @@ def build_cells(base: DataFrame, n_cells: int | None = None, seed: int = 17):
 
     Returns (cells_df(id, cell, vec), pivots ndarray, radius ndarray)."""
     n = base.count()
-    C = n_cells or max(1, min(1024, int(math.sqrt(max(n, 1)))))
+    C = n_cells or max(1, math.isqrt(n))
     piv = _pivots(base, C, seed)
     assigned = base.select("id", "vec").mapInPandas(_nearest_cell(piv), "id long, cell int, dcell double")
     cells = base.select("id", "vec").join(assigned, "id")

@@ -9,6 +9,7 @@ from tidemark.functions.numeric import fround
 from tidemark.functions import text as T
 from tidemark.operators import text as X
 from tidemark.plans import views
+from tidemark.plans.scale import cut_lineage
 from tidemark.registry import query
 
 V = 5000
@@ -156,7 +157,7 @@ def vocab_oov(spark, d):
 @query("encode_drop", f"""WITH {DOCS}, {TOK}, {COUNTS}, {sql_vocab(V)}, {POSTOK}, {sql_encode(None)}
 SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_ids, array_to_string(ids, ' ') AS ids FROM enc""")
 def encode_drop(spark, d):
-    docs = _docs(spark, d)
+    docs = cut_lineage(_docs(spark, d))  # tokenised once
     e = X.encode(docs, X.build_vocab(docs, V))
     return e.select("doc_id", F.size("ids").alias("n_ids"), F.array_join("ids", " ").alias("ids"))
 
@@ -164,7 +165,7 @@ def encode_drop(spark, d):
 @query("encode_unk", f"""WITH {DOCS}, {TOK}, {COUNTS}, {sql_vocab_special(V)}, {POSTOK}, {sql_encode(3)}
 SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_ids, array_to_string(ids, ' ') AS ids FROM enc""")
 def encode_unk(spark, d):
-    docs = _docs(spark, d)
+    docs = cut_lineage(_docs(spark, d))  # tokenised once
     e = X.encode(docs, X.build_vocab_special(docs, V), unk=T.UNK_ID)
     return e.select("doc_id", F.size("ids").alias("n_ids"), F.array_join("ids", " ").alias("ids"))
 
@@ -174,7 +175,7 @@ kept AS (SELECT doc_id, CASE WHEN len(ids) > {PAD_LEN} THEN ids[len(ids) - {PAD_
 SELECT doc_id, array_to_string(list_concat(list_transform(range(greatest({PAD_LEN} - len(ids), 0)), lambda x: 0), ids), ' ') AS padded
 FROM kept""")
 def pad_pre(spark, d):
-    docs = _docs(spark, d)
+    docs = cut_lineage(_docs(spark, d))  # tokenised once
     e = X.encode(docs, X.build_vocab(docs, V))
     return e.select("doc_id", F.array_join(T.pad_pre(F.col("ids"), PAD_LEN), " ").alias("padded"))
 
