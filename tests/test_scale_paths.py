@@ -113,3 +113,22 @@ def test_blocked_running_aggregates(spark):
     a = sorted(tuple(r) for r in dialog_state(turns).collect())
     b = sorted(tuple(r) for r in dialog_state(turns, block_rows=2).collect())
     assert a == b
+
+
+def test_encode_in_place(spark):
+    """Null, empty and unknown tokens; repeated keys stay rows of their own."""
+    from tidemark.operators import text as X
+
+    docs = spark.createDataFrame([(1, ["a", "b", "x"]), (2, None), (3, []), (4, ["x", None]), (1, ["b"])], "doc_id long, tokens array<string>")
+    vocab = spark.createDataFrame([("a", 1), ("b", 2)], "token string, id int")
+    got = lambda unk: sorted((r["doc_id"], r["ids"]) for r in X.encode(docs, vocab, unk=unk).collect())
+    assert got(None) == [(1, [1, 2]), (1, [2]), (2, []), (3, []), (4, [])]
+    assert got(3) == [(1, [1, 2, 3]), (1, [2]), (2, []), (3, []), (4, [3, 3])]
+
+
+def test_cooccurrence_is_symmetric(spark):
+    from tidemark.operators import text as X
+
+    docs = spark.createDataFrame([(["a", "a", "b"],), (["b"],), ([],), (None,)], "tokens array<string>")
+    got = {(r["w1"], r["w2"]): (r["count"], r["weight"]) for r in X.cooccurrence(docs).collect()}
+    assert got == {("a", "a"): (2, 2.0), ("a", "b"): (2, 1.5), ("b", "a"): (2, 1.5)}

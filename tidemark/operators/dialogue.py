@@ -306,3 +306,18 @@ def expand_synonyms(tokens: Column, synonyms: dict[str, tuple[str, ...]]) -> Col
     table = F.create_map(*[x for w, s in synonyms.items() for x in (F.lit(w), F.array(*map(F.lit, s)))])
     more = F.transform(tokens, lambda t: F.concat(F.array(t), F.coalesce(F.try_element_at(table, t), F.array().cast("array<string>"))))
     return F.array_distinct(F.flatten(more))
+
+
+def kg_answer(questions: DataFrame, text: str, templates: dict[str, str], triples: DataFrame) -> DataFrame:
+    """the first template (predicate: pattern with one slot) that a question matches names the predicate
+    and, in its slot, the subject; triples (subject, predicate, object) give the answers.
+
+    A row for each question and answer; a question without a template or a triple stays with a null answer.
+    Equal triples count once.  Both sides meet on (subject, predicate), which AQE splits where it is skewed."""
+    predicate, subject = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, pattern in reversed(templates.items()):
+        hit = F.col(text).rlike(pattern)
+        predicate = F.when(hit, F.lit(name)).otherwise(predicate)
+        subject = F.when(hit, F.lower(F.regexp_extract(text, pattern, 1))).otherwise(subject)
+    facts = triples.select(F.lower("subject").alias("subject"), "predicate", F.col("object").alias("answer")).distinct()
+    return questions.withColumns({"predicate": predicate, "subject": subject}).join(facts, ["subject", "predicate"], "left")

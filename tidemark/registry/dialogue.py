@@ -359,3 +359,36 @@ def expand_synonyms(spark, d):
     """The words of each turn with their synonyms, before retrieval."""
     x = views.turns(spark, d).select("conv_id", "turn", D.expand_synonyms(T.tokenize_ws(F.col("text")), SYNONYMS).alias("x"))
     return x.select("conv_id", "turn", F.size("x").alias("n_tokens"), F.md5(F.array_join("x", " ")).alias("tokens_md5"))
+
+
+#: Question templates by predicate; the group is the subject.
+KG_TEMPLATES = {
+    "located_in": "^(?i:where is) (.+) located[?]$",
+    "made_as": "^(?i:which brands) make (.+)[?]$",
+}
+
+
+@query("kg_answer", """WITH triples AS (
+  SELECT n_name AS s, 'located_in' AS p, r_name AS o FROM nation JOIN region ON r_regionkey = n_regionkey
+  UNION SELECT s_name, 'located_in', n_name FROM supplier JOIN nation ON n_nationkey = s_nationkey
+  UNION SELECT p_name, 'made_as', p_brand FROM part),
+q AS (SELECT 'Where is ' || s_name || ' located?' AS question, lower(s_name) AS subject, 'located_in' AS predicate FROM supplier
+  UNION SELECT 'where is ' || n_name || ' located?', lower(n_name), 'located_in' FROM nation
+  UNION SELECT 'where is ' || c_name || ' located?', lower(c_name), 'located_in' FROM customer
+  UNION SELECT 'Which brands make ' || p_name || '?', lower(p_name), 'made_as' FROM part
+  UNION SELECT 'How much is ' || p_name || '?', NULL, NULL FROM part)
+SELECT question, predicate, subject, o AS answer
+FROM q LEFT JOIN (SELECT DISTINCT lower(s) AS s, p, o FROM triples) t ON t.s = q.subject AND t.p = q.predicate""")
+def kg_answer(spark, d):
+    """questions on suppliers, nations, customers (no triples) and parts, looked up in triples of the tables."""
+    read = lambda t: views.table(spark, d, t)
+    nation, supplier, part = read("nation"), read("supplier"), read("part")
+    triple = lambda df, s, p, o: df.select(F.col(s).alias("subject"), F.lit(p).alias("predicate"), F.col(o).alias("object"))
+    triples = triple(nation.join(read("region"), F.col("r_regionkey") == F.col("n_regionkey")), "n_name", "located_in", "r_name")
+    triples = triples.unionByName(triple(supplier.join(nation, F.col("n_nationkey") == F.col("s_nationkey")), "s_name", "located_in", "n_name"))
+    triples = triples.unionByName(triple(part, "p_name", "made_as", "p_brand"))
+    ask = lambda df, a, c, b: df.select(F.concat(F.lit(a), c, F.lit(b)).alias("question"))
+    asked = ask(supplier, "Where is ", "s_name", " located?").unionByName(ask(nation, "where is ", "n_name", " located?"))
+    asked = asked.unionByName(ask(read("customer"), "where is ", "c_name", " located?"))
+    asked = asked.unionByName(ask(part, "Which brands make ", "p_name", "?")).unionByName(ask(part, "How much is ", "p_name", "?"))
+    return D.kg_answer(asked.distinct(), "question", KG_TEMPLATES, triples).select("question", "predicate", "subject", "answer")
