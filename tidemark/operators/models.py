@@ -120,18 +120,19 @@ def logreg_balanced(train: DataFrame, test: DataFrame, cols: list[str], label: s
 def tree_models(train: DataFrame, test: DataFrame, cols: list[str], label: str, target: str):
     """Entropy tree (depth 4), random forest (15 trees), GBT
     (100 rounds, depth 3, rate 0.1) with a hash validation flag; and a
-    regression tree on `target`."""
+    regression tree and boosted trees on `target` from the other columns."""
     si = StringIndexer(inputCol=label, outputCol="y", stringOrderType="alphabetAsc").fit(train)
-    tr = si.transform(assemble(train, cols))
-    te = si.transform(assemble(test, cols))
+    others = VectorAssembler(inputCols=[c for c in cols if c != target], outputCol="others")
+    tr = others.transform(si.transform(assemble(train, cols)))
+    te = others.transform(si.transform(assemble(test, cols)))
     dt = DecisionTreeClassifier(labelCol="y", impurity="entropy", maxDepth=4, seed=1).fit(tr)
     rf = RandomForestClassifier(labelCol="y", numTrees=15, seed=1).fit(tr)
     binary = tr.withColumn("yb", (F.col("y") == 0).cast("double"))
     binary = binary.withColumn("val", md5_mod(F.concat_ws(":", *[F.col(c).cast("string") for c in cols]), 5) == 0)
     gbt = GBTClassifier(labelCol="yb", maxIter=100, maxDepth=3, stepSize=0.1, seed=1,
                         validationIndicatorCol="val").fit(binary)
-    dtr = DecisionTreeRegressor(labelCol=target, maxDepth=4).fit(tr)
-    gbr = GBTRegressor(labelCol=target, maxIter=20, maxDepth=3, stepSize=0.1, seed=1).fit(tr)
+    dtr = DecisionTreeRegressor(featuresCol="others", labelCol=target, maxDepth=4).fit(tr)
+    gbr = GBTRegressor(featuresCol="others", labelCol=target, maxIter=20, maxDepth=3, stepSize=0.1, seed=1).fit(tr)
     return {"dt": dt, "rf": rf, "gbt": gbt, "dtr": dtr, "gbr": gbr}, te
 
 

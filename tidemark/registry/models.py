@@ -83,8 +83,8 @@ def logreg_balanced(spark, d):
 
 @query("tree_models")
 def tree_models(spark, d):
-    """Tree, forest, boosted trees; test accuracy, depth, size
-    and feature importances per model."""
+    """Tree, forest, boosted trees; test accuracy (regressions:
+    root mean square error), depth, size and feature importances per model."""
     tr, te = _tab_split(spark, d)
     models, test = M.tree_models(tr, te, NUM + ["l_extendedprice"], "l_returnflag", "l_extendedprice")
     rows = []
@@ -95,6 +95,11 @@ def tree_models(spark, d):
     rows.append(("dt", "depth", float(models["dt"].depth)))
     rows.append(("dt", "rules_lines", float(len(models["dt"].toDebugString.splitlines()))))
     rows.append(("gbt", "trees", float(models["gbt"].getNumTrees)))
+    hit = F.col("prediction") == (F.col("y") == 0).cast("double")  # boosted trees tell the first class from the others
+    rows.append(("gbt", "accuracy", float(models["gbt"].transform(test).agg(F.avg(hit.cast("double"))).first()[0])))
+    for name in ("dtr", "gbr"):
+        off = F.col("prediction") - F.col("l_extendedprice")
+        rows.append((name, "rmse", float(models[name].transform(test).agg(F.sqrt(F.avg(off * off))).first()[0])))
     rows.append(("dtr", "depth", float(models["dtr"].depth)))
     rows.append(("gbr", "trees", float(models["gbr"].getNumTrees)))
     return spark.createDataFrame(rows, "model string, metric string, value double")
