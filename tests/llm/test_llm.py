@@ -113,6 +113,29 @@ def test_mixing(spark, docs):
     assert mixing.mixed_documents(docs.limit(0)).count() == 0
 
 
+def test_mixing_keeps_texts(spark, docs):
+    """A document's parts, in order, are its text, separators and all."""
+    gaps = ["  two\t\tspaces \n\n  and lines\r\n" * 400, " \n lead", "trail \t\n", "a\u00a0b \x0b😀\x0c c"]
+    for df in (docs, odd(spark, TEXTS + gaps)):
+        sizes = {hashlib.sha256((r["text"] or "").encode()).hexdigest(): r["text"] or "" for r in df.collect()}
+        rows = mixing.mixed_parts(df.withColumn("sha", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))).collect()
+        parts = {}
+        for r in rows:
+            text = sizes[r["_doc"]["sha"]]
+            w = [m.start() for m in WORD.finditer(text)]
+            lo, n = r["_first_word"], r["_n_words"]
+            begin, end = 0 if lo == 0 else w[lo], len(text) if lo + n == len(w) else w[lo + n]
+            assert len(w) == r["_size"] and r["_text"] == text[begin:end]
+            parts.setdefault((r["_doc"]["sha"], r["_doc"]["doc_id"]), {})[lo, n] = r["_text"]
+        whole = 0
+        for (sha, _), p in parts.items():
+            if sum(n for _, n in p) == len(WORD.findall(sizes[sha])) and len({lo for lo, _ in p}) == len(p):
+                assert "".join(p[k] for k in sorted(p)) == sizes[sha]
+                whole += 1
+        assert whole
+        assert Counter(mixing.mixed_documents(df).toPandas()["text"]) == Counter(r["_text"] for r in rows)
+
+
 def test_mixing_targets_reshare(spark):
     table = mixing.targets(spark.createDataFrame([("1a", "a", 10), ("1b", "b", 1000), ("0", None, 1000)], "_sk string, source string, size long"))
     got = {r["source"]: r["target"] for r in table.collect()}
@@ -246,3 +269,55 @@ def test_pipeline(spark):
     docs = spark.read.parquet(f"{SMOKE}/documents.parquet")
     for name, stage in p.STAGES[:-1]:
         assert stage(spark, docs, SMOKE).columns == docs.columns, name
+
+
+def test_pipeline_against_brute_force(spark):
+    """Each stage over the rows that brute force keeps of the stage before; scores, spans and slots as the models give them."""
+    import corpus_pipeline as p
+
+    tiktoken = pytest.importorskip("tiktoken")
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet")
+    scores = {r["doc_id"]: r["score"] for r in classifier.scored(docs, spark.read.parquet(f"{SMOKE}/labels.parquet")).collect()}
+    rows = {r["doc_id"]: r for r in docs.collect() if scores[r["doc_id"]] >= classifier.THRESHOLD}
+    sets = {}
+    for i, r in rows.items():
+        w = WORD.findall(r["text"])
+        sets[i] = {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+    root = {i: i for i in rows}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in rows:
+        for j in rows:
+            if i < j and sets[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and top(i) != top(j):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    kept = spark.createDataFrame([r for i, r in rows.items() if root[i] == i], docs.schema)
+    clean = {}
+    for r in pii.chosen(pii.with_spans(kept), pii.fit(pii.with_spans(kept))).collect():
+        out, at = [], 0
+        for s, _, e, kind in sorted(r["_all"]):
+            if e > at:
+                out += [r["text"][at : max(at, s)], f"<{kind}>"]
+                at = e
+        clean[r["doc_id"]] = "".join(out) + r["text"][at:]
+    full, filled = mixing.mix(spark.createDataFrame([r.asDict() | {"text": clean[r["doc_id"]]} for r in kept.collect()], docs.schema))
+    streams = {}
+    for r in full.collect():
+        ends = [m.start() for m in WORD.finditer(clean[r["doc_id"]])]
+        streams.setdefault(r["_sk"], []).extend([(r["_start"] + j, r["doc_id"], a if j else 0, b) for j, (a, b) in enumerate(zip(ends, [*ends[1:], len(clean[r["doc_id"]])]))])
+    streams = {k: [x[1:] for x in sorted(v)] for k, v in streams.items()}
+    path = bpe.public_tokenizers.path(bpe.VOCABULARY)
+    peer = tiktoken.Encoding("own", pat_str=bpe.public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(path), special_tokens={})
+    want = Counter()
+    for r in filled.collect():
+        taken = {}
+        for i, a, b in streams[r["_sk"]][r["block"] * mixing.BLOCK_WORDS :][: r["words"]]:
+            taken[i] = taken.get(i, "") + clean[i][a:b]
+        for i, text in taken.items():
+            want[i, len(peer.encode_ordinary(text)), hashlib.sha256(text.encode()).hexdigest()] += 1
+    got = Counter((r["doc_id"], r["n_tokens"], r["decoded_sha256"]) for r in p.run(spark, SMOKE).collect())
+    assert want == got and len(got)

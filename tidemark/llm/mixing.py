@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, read, running_sum, saved, text_of, words_of
+from tidemark.llm.common import WORD, read, running_sum, saved, text_of
 
 #: Weights by the order of the sources, and the share of all words that the mix takes.
 WEIGHTS = (5, 2, 1)
@@ -27,6 +27,8 @@ TIMES = 2
 BLOCK_WORDS = 256
 SHARD_SLOTS = 4096
 SEED = 20240607
+#: A word with the separators after it, the first one also with those before it: all of them together are the text.
+WHOLE_WORD = r"(?:\A[\x20\x09-\x0D]++)?[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+"
 
 
 def _hash(*cols: Column) -> Column:
@@ -153,22 +155,42 @@ def pieces(documents: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     return parts.withColumn("first_word", begin - F.col("_start")).withColumn("n_words", end - begin).withColumn("at", begin - F.col("block") * block_words)
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix as documents: a row for each part of a document that a slot takes, with the words taken as text
-    (joined by one space) and its length; other columns of documents stay.  The order of rows carries no meaning."""
+def whole_words(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(WHOLE_WORD), F.lit(0))
+
+
+def joined(words: Column, skip: Column, n: Column) -> Column:
+    return F.array_join(F.slice(words, (skip + 1).cast("int"), n.cast("int")), "")
+
+
+def mixed_parts(docs: DataFrame) -> DataFrame:
+    """A row for each part of a document that a slot takes: `_doc` (the document without its text), `_size` (its words),
+    `_first_word` and `_n_words` (the part's place in it), `_shard`, `_index` and `_text`.
+
+    A part is an unchanged stretch of the text, from a word's start to the next part's: a document's parts, ordered by
+    `_first_word`, are together its text.  A part that a source's last slot cuts short ends before its next word.
+    """
     row = F.xxhash64(*[docs[c] for c, kind in docs.dtypes if not kind.startswith("map")])
     known = docs.select(F.struct(*docs.columns).alias("_doc"), "doc_id", "source", "text", row.alias("_row"))
     documents, filled = mix(known, carry=("_row",))
     # the text moves once to its place in the stream and once, cut in pieces, to its slots
     texts = known.dropDuplicates(["_row"]).select("_row", "_doc")
-    placed_texts = texts.join(documents.select(F.col("_c__row").alias("_row"), "_sk", "_start", "size"), "_row").withColumn("_w", words_of(F.col("_doc")["text"]))
-    cut = pieces(placed_texts)
-    cut = cut.withColumn("_p", F.slice("_w", (F.col("first_word") + 1).cast("int"), F.col("n_words").cast("int"))).drop("_w").withColumn("_doc", F.struct(*[F.col("_doc")[c].alias(c) for c in docs.columns if c != "text"]))
+    placed_texts = texts.join(documents.select(F.col("_c__row").alias("_row"), "_sk", "_start", "size"), "_row")
+    cut = pieces(placed_texts.withColumn("_w", whole_words(F.col("_doc")["text"])))  # taken apart once, before rows multiply
+    cut = cut.select("_sk", "block", "at", "size", "first_word", "n_words", joined(F.col("_w"), F.col("first_word"), F.col("n_words")).alias("_p"),
+                     F.struct(*[F.col("_doc")[c].alias(c) for c in docs.columns if c != "text"]).alias("_doc"))
     taken = cut.hint("merge").join(filled, ["_sk", "block"]).filter(F.col("at") < F.col("words"))
-    text = F.array_join(F.slice("_p", F.lit(1), F.least(F.col("n_words"), F.col("words") - F.col("at")).cast("int")), " ")
-    taken = taken.withColumn("_text", text)
+    n = F.least(F.col("n_words"), F.col("words") - F.col("at"))
+    text = F.when(n == F.col("n_words"), F.col("_p")).otherwise(joined(whole_words(F.col("_p")), F.lit(0), n))
+    return taken.select("_doc", F.col("size").alias("_size"), F.col("first_word").alias("_first_word"), n.alias("_n_words"),
+                        F.col("shard").alias("_shard"), F.col("index").alias("_index"), text.alias("_text"))
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The mix as documents: a row for each part of a document that a slot takes, with its text and its length; other
+    columns of documents stay.  The order of rows carries no meaning; `mixed_parts` also gives each part's place."""
     new = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
-    return taken.select(*[(new[c] if c in new else F.col("_doc")[c]).alias(c) for c in docs.columns])
+    return mixed_parts(docs).select(*[(new[c] if c in new else F.col("_doc")[c]).alias(c) for c in docs.columns])
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
