@@ -95,6 +95,24 @@ def test_pii(spark, docs):
     assert pii.detect(docs.limit(0)).count() == 0
 
 
+LONG = ["token=" + "aZ09+/b_" * 62 + "Q8k1", "token=" + "aZ09+/b_" * 12_500, "token=" + ".".join(["eyJhbGciOiJIUzI1NiJ9"] * 25), "secret: " + "Zm9vYmFy" * 40 + "==",
+        "Kontakt: " + "ab" * 50 + " (at) " + "c" * 70 + " (dot) d (dot) ee (dot) ff (dot) gg (dot) hh (dot) org"]
+
+
+def masked(spark, texts):
+    df = spark.createDataFrame([(i, f"x {t} y", "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    found = {r["doc_id"]: (r["b"], r["a"]) for r in pii.detect(df).select("doc_id", pii.listed(F.col("_base")).alias("b"), pii.listed(F.col("_all")).alias("a")).collect()}
+    new = {r["doc_id"]: r["text"] for r in pii.redacted(df).collect()}
+    return [(*found[i], new[i]) for i in range(len(texts))]
+
+
+def test_pii_long_values(spark):
+    for t, (_, spans, text) in zip(LONG, masked(spark, LONG)):
+        kind, start = ("email_text", 11) if "(at)" in t else ("secret", 2)
+        assert f"{kind}:{start}:{2 + len(t)}" in spans.split(",")
+        assert text == f"x {t[: start - 2]}<{kind}> y"
+
+
 def test_mixing(spark, docs):
     for df in (docs, odd(spark, TEXTS)):
         full, filled = mixing.mix(df)

@@ -31,10 +31,10 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "email_text": r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}+(?:(?:\x20?(?:\(dot\)|\[dot\])\x20?|\.)[A-Za-z0-9-]{2,63}+){1,4}+",
+    "email_text": r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]++(?:(?:\x20?(?:\(dot\)|\[dot\])\x20?|\.)[A-Za-z0-9-]++)++",
     "phone_local": r"(?<![0-9+.-])(?<![0-9]\x20)(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])",
     "id_number": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "secret": r"(?i:\b(?:password|passwd|pwd|token|api[_-]?key|secret)\b\x20?[=:]\x20?[\"']?[^\x20\x09-\x0D\"']{8,200}+)|\bAKIA[0-9A-Z]{16}\b",
+    "secret": r"(?i:\b(?:password|passwd|pwd|token|api[_-]?key|secret)\b\x20?[=:]\x20?[\"']?[^\x20\x09-\x0D\"']{8,}+)|\bAKIA[0-9A-Z]{16}\b",
 }
 KINDS = tuple(PATTERNS)
 #: A text without such a mark holds no span of the kind.
@@ -86,7 +86,7 @@ def votes(kind: str, v: Column, before: Column, after: Column) -> list[Column]:
     """+1, -1 or 0 of each labeler."""
     vote = lambda yes, no=None: F.when(yes, 1).when(~yes if no is None else no, -1).otherwise(0)
     n = F.length(digits(v))
-    form = {"email": v.rlike(r"\.[A-Za-z]{2,24}$"), "email_text": v.rlike(r"[A-Za-z]{2,24}$"), "secret": v.rlike(r"AKIA|[=:]\x20?[\"']?[A-Za-z0-9+/_-]{12,}$")}.get(kind)
+    form = {"email": v.rlike(r"\.[A-Za-z]{2,24}$"), "email_text": v.rlike(r"[A-Za-z]{2,24}$"), "secret": v.rlike(r"AKIA|[=:]\x20?[\"']?[A-Za-z0-9+/_.-]{12,}={0,2}$")}.get(kind)
     form = vote(valid(kind, v) if form is None else form) if kind in BASE or form is not None else vote(n >= 9)
     known = {
         "email": vote(v.rlike(HOST_ENDS), F.lit(False)), "email_text": vote(v.rlike(HOST_ENDS), F.lit(False)), "card": vote(digits(v).rlike(ISSUERS)),
