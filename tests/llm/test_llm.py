@@ -97,6 +97,7 @@ def test_pii(spark, docs):
 
 LONG = ["token=" + "aZ09+/b_" * 62 + "Q8k1", "token=" + "aZ09+/b_" * 12_500, "token=" + ".".join(["eyJhbGciOiJIUzI1NiJ9"] * 25), "secret: " + "Zm9vYmFy" * 40 + "==",
         "Kontakt: " + "ab" * 50 + " (at) " + "c" * 70 + " (dot) d (dot) ee (dot) ff (dot) gg (dot) hh (dot) org"]
+OVERLAPS = ["password=Tr0ub4dor&3@db.example.com", "10.0.0.0 4111 1111 1111 1111"]
 
 
 def masked(spark, texts):
@@ -113,6 +114,12 @@ def test_pii_long_values(spark):
         assert text == f"x {t[: start - 2]}<{kind}> y"
 
 
+def test_pii_overlaps(spark):
+    (base, spans, text), (base2, spans2, text2) = masked(spark, OVERLAPS)
+    assert base == "email:21:37" and spans == "secret:2:37,email:21:37" and text == "x <secret> y"
+    assert base2 == spans2 == "ip:2:10,card:9:30" and text2 == "x <ip><card> y"
+
+
 def test_mixing(spark, docs):
     for df in (docs, odd(spark, TEXTS)):
         full, filled = mixing.mix(df)

@@ -5,7 +5,7 @@ the characters around it - vote for, against, or abstain.  Expectation-maximisat
 patterns (at most kinds x 3^labelers rows, whatever the corpus) estimates each labeler's reliability and each
 kind's share of true spans; with these posteriors as soft labels a naive Bayes classifier over votes and span
 features is trained, which decides on proposed spans.  Spans that the base rules give always stay; proposed
-spans that overlap none of them and score at least `THRESHOLD` join them.
+spans that score at least `THRESHOLD` join them, also where they overlap.
 
 Cases: null text counts as empty; repeated rows are documents of their own; an empty table gives no rows and a
 classifier that nothing changes; other columns are ignored, or kept by `redacted`.  Patterns run in linear time
@@ -193,8 +193,7 @@ def chosen(spanned: DataFrame, model: dict) -> DataFrame:
         return 1 / (1 + F.exp(-z))
 
     d = d.withColumn("_base", F.array_sort(F.transform(F.filter("_spans", lambda x: x["base"]), flat)))
-    free = lambda x: ~F.exists("_base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    more = F.filter("_spans", lambda x: (~x["kind"].isin(*BASE)) & free(x) & (score(x) >= THRESHOLD))
+    more = F.filter("_spans", lambda x: (~x["kind"].isin(*BASE)) & (score(x) >= THRESHOLD))
     return d.withColumn("_all", F.array_sort(F.concat("_base", F.transform(more, flat)))).drop("_spans", "_w")
 
 
@@ -210,12 +209,13 @@ def detect(docs: DataFrame) -> DataFrame:
 
 def redacted(docs: DataFrame) -> DataFrame:
     """The documents with every span that was found replaced by `<kind>`; n_chars follows the new text.  Rows and other
-    columns stay."""
+    columns stay.  Of spans that overlap, all characters go: what a span adds to those before it becomes its `<kind>`."""
     model = fit(saved(with_spans(docs.select("doc_id", "text")).select("_spans")))
     d = chosen(with_spans(docs.select(F.struct(*docs.columns).alias("_doc"), "text")), model)
 
     def step(a, x):
-        return F.when(x["start"] >= a["at"], F.struct(x["end"].alias("at"), F.concat(a["out"], F.array(F.substring(d["text"], a["at"] + 1, x["start"] - a["at"]), F.concat(F.lit("<"), x["kind"], F.lit(">")))).alias("out"))).otherwise(a)
+        between = F.substring(d["text"], a["at"] + 1, F.greatest(x["start"] - a["at"], F.lit(0)))
+        return F.when(x["end"] > a["at"], F.struct(x["end"].alias("at"), F.concat(a["out"], F.array(between, F.concat(F.lit("<"), x["kind"], F.lit(">")))).alias("out"))).otherwise(a)
 
     done = F.aggregate("_all", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(d["text"], a["at"] + 1, F.lit(2**31 - 1))))
     d = d.withColumn("_new", F.when(F.size("_all") > 0, done).otherwise(F.col("text")))
