@@ -65,6 +65,28 @@ def test_robust_estimate_ignores_outliers(spark):
     assert (d["_d2"][far] > quality_rules.CUT).all() and (d["_d2"][~far] <= quality_rules.CUT).mean() > 0.99
 
 
+def test_moderate_outliers_go(spark):
+    """One text for each dimension that stands out in it alone, among 300 usual ones."""
+    rng = np.random.default_rng(2)
+
+    def words(n, size=0):
+        return ["".join(chr(97 + c) for c in rng.integers(0, 26, size or int(rng.integers(3, 9)))) for _ in range(n)]
+
+    def text(w):
+        return "\n".join(" ".join(w[i : i + 4]) for i in range(0, len(w), 4))
+
+    usual = [text(words(int(100 * np.exp(rng.normal(0, 0.3))) + 20)) for _ in range(300)]
+    line, block = words(4), words(15)
+    lines = text([x for _ in range(10) for x in [*line, *words(4)]] + [*line, *words(16)])  # 10 of 25 lines are copies
+    again = text([*block, *words(34), *block, *words(36)])  # 30 of 100 words, no line twice
+    symbols = text([w + "#" * (i % 3 == 0) for i, w in enumerate(words(100, 5))])  # 34 of 534 characters
+    odd_ones = [text(words(1200)), text(words(100, 8)), symbols, lines, again]
+    df = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(odd_ones + usual)], "doc_id long, text string, lang string, source string")
+    got = quality_rules.judged(df).toPandas().set_index("doc_id").sort_index()
+    assert not got.base_failed.any() and not got.kept[: len(odd_ones)].any()
+    assert got.kept[len(odd_ones) :].mean() > 0.97
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
