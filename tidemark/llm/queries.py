@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, classifier, jaccard, mixing, pii, preferences, quality_rules, topk, toxicity, urlfilter
+from tidemark.llm import bpe, classifier, jaccard, mixing, pii, preferences, quality_rules, tokenfile, topk, toxicity, urlfilter
 
 QUERIES = {
     "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_quality_classifier": classifier.op8_quality_classifier,
     "op9_preference_pairs": preferences.op9_preference_pairs,
     "op10_exact_topk": topk.op10_exact_topk,
+    "op13_token_files": tokenfile.op13_token_files,
 }
 ORACLES = {"op7_url_filter": urlfilter.OP7_SQL, "op9_preference_pairs": preferences.OP9_SQL, "op10_exact_topk": topk.OP10_SQL}
