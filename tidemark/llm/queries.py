@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, classifier, jaccard, mixing, pii, preferences, quality_rules, spelling, tokenfile, topk, toxicity, urlfilter
+from tidemark.llm import bpe, classifier, convtrie, jaccard, mixing, pii, preferences, quality_rules, spelling, tokenfile, topk, toxicity, urlfilter
 
 QUERIES = {
     "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
@@ -15,8 +15,10 @@ QUERIES = {
     "op8_quality_classifier": classifier.op8_quality_classifier,
     "op9_preference_pairs": preferences.op9_preference_pairs,
     "op10_exact_topk": topk.op10_exact_topk,
+    "op11_conversation_trie": convtrie.op11_conversation_trie,
     "op12_spelling_variants": spelling.op12_spelling_variants,
     "op13_token_files": tokenfile.op13_token_files,
 }
 ORACLES = {"op7_url_filter": urlfilter.OP7_SQL, "op9_preference_pairs": preferences.OP9_SQL, "op10_exact_topk": topk.OP10_SQL,
-           "op12_spelling_variants": spelling.OP12_SQL}
+           "op11_conversation_trie": convtrie.op11_conversation_trie,
+    "op11_conversation_trie": convtrie.OP11_SQL, "op12_spelling_variants": spelling.OP12_SQL}
