@@ -16,7 +16,7 @@ Reading: files are read as they are; shards follow the order of doc_id, so the i
 earlier segments, of which there is one row for each some million ids.
 
 Encoding: the vocabulary drops white space, so the ids of a text are those of its white-space-separated pieces in order;
-each worker keeps the ids of about `KNOWN` pieces at most.  With `pieces=False` texts are encoded whole (for other vocabularies).
+each worker keeps the ids of about `KNOWN` pieces and words at most.  With `pieces=False` texts are encoded whole (for other vocabularies).
 
 Cases: a null text counts as empty; an empty text has the end id only; rows of equal id stand in the order of a hash of
 their texts, a null id comes first; repeated rows are documents of their own; an empty table gives no rows; other
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -47,7 +48,7 @@ HEADER = struct.Struct("<8sqqqqqq")
 BLOCK = 1024
 PERCENTILES = (100, 99, 98, 95, 90, 80)
 SEGMENT = 1 << 21
-KNOWN = 1 << 20
+KNOWN = 1 << 19
 #: Bytes of text for each file.
 FILE_BYTES = 256 << 20
 _EXCEPTION_BITS = 48
@@ -174,35 +175,73 @@ def segments(content: bytes):
 
 # ---- tables
 
+def _letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: visible bytes themselves, the others from 256 on."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b if b in seen else next(rest)) for b in range(256)]
+
+
+class _Words(dict):
+    """The ids of a model's words, in bytes."""
+
+    def __init__(self, library):
+        self.model, self.letters = library.model.tokenize, _letters().__getitem__
+
+    def __missing__(self, word: str) -> bytes:
+        seen = word if word.isascii() else "".join(map(self.letters, word.encode()))
+        ids = [t.id for t in self.model(seen)]
+        got = self[word] = struct.pack(f"<{len(ids)}I", *ids)
+        return got
+
+
+class _Pieces(dict):
+    """The ids of white-space-separated pieces, in bytes.
+
+    A piece of Latin letters and then ASCII punctuation is two words of the model, which are kept each; all others
+    go through the whole library.  `PROBES` must come out alike in both ways, else the library encodes all pieces.
+    """
+
+    PROBES = ["Straße", "a", "ÀÉÎÕÜÿß,", "word.", "WORD?!", "µm)", "naïve...", "x" * 70 + ";", *map(chr, [*range(65, 91), *range(192, 256)])]
+    PUNCTUATED = re.compile(r"([A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)").fullmatch
+
+    def __init__(self, library):
+        self.library, self.words, self.by_words = library, _Words(library), True
+        self.by_words = all(self.ids(p) == self.whole(p) for p in self.PROBES)
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def ids(self, piece: str) -> bytes:
+        found = self.PUNCTUATED(piece)
+        if not found or not self.by_words:
+            return self.whole(piece)
+        core, tail = found.groups()
+        got = self.words[core.lower()]
+        return got + self.words[tail] if tail else got
+
+    def __missing__(self, piece: bytes) -> bytes:
+        got = self[piece] = self.ids(piece.decode())
+        return got
+
+    def text(self, text: str) -> bytes:
+        if len(self) > KNOWN:
+            self.clear()
+        if len(self.words) > KNOWN:
+            self.words.clear()
+        return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").split()))  # at ASCII white space
+
+
 @functools.lru_cache(maxsize=2)  # a worker's tasks share the pieces
 def encoder(path: str, pieces: bool = True):
-    """A function from a list of texts to the ids of each, as little-endian unsigned 32-bit integers in bytes."""
+    """A function from a text to its ids, as little-endian unsigned 32-bit integers in bytes."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
-
-    def whole(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
-
     if not pieces:
-        return whole
-    known: dict[bytes, bytes] = {}
-
-    def by_pieces(texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            words = text.encode("utf-8", "replace").split()  # at ASCII white space
-            new = [w for w in dict.fromkeys(words) if w not in known]
-            if new:
-                if len(known) > KNOWN:
-                    known.clear()
-                    new = list(dict.fromkeys(words))
-                known.update(zip(new, whole([w.decode() for w in new])))
-            out.append(b"".join(map(known.__getitem__, words)))
-        return out
-
-    return by_pieces
+        return lambda text: np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    return _Pieces(library).text
 
 
 def write_tokens(docs: DataFrame, vocabulary: str, path: str, end: int | None = END, pieces: bool = True) -> None:
@@ -227,7 +266,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end: int | None =
 
         for batch in batches:
             for i, doc in enumerate(batch.column(0).to_pylist()):
-                ids = encode([batch.column(1)[i].as_py()])[0] + last
+                ids = encode(batch.column(1)[i].as_py()) + last
                 doc_ids.append(doc)
                 parts.append(ids)
                 n += len(ids) // 4
