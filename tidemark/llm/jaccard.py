@@ -5,31 +5,36 @@ the start.  Each class is embedded as a tuple of `TOKENS` minimum hashes; two se
 tokens with probability J.  In each of `RUNS` runs a node of the recursion samples `CHOSEN` token positions, and sets
 that share a sampled token go to the same child; a child of up to `SMALL` sets, one that keeps most of its parent's
 sets (splitting it further would not part them), or one at the last level is a leaf.  In leaves all pairs are compared
-exactly on their grams; a large leaf is cut into tiles of pairs, and a pair that shares several leaves counts in the
-first of them only.
+exactly on their grams; a pair that shares several leaves counts in the first of them only.
+
+A leaf of more than `TILE` sets is cut into chunks of about so many.  Each set's text goes to its leaf once; a chunk is
+compared within itself and leaves one packed row of its sets of grams, and packed rows meet two by two.  A leaf of n
+sets thus makes (n / TILE)^2 rows at most, beside n^2 / 2 comparisons, which links between different texts need.
 
 Recall: a pair at similarity 0.8 shares a child with probability 1 - 0.2^2 = 0.96 a level, so three runs of three
 levels miss it with probability (1 - 0.96^3)^3 < 0.2 %; runs repeat until `RECALL` is reached for the deepest path.
 
 Output: a row for each document with the smallest id of its class (documents connected by links) and its number of
-links, copies included.  Neither copies nor links are expanded into rows: a tile gives sums and a spanning forest.
+links, copies included.  Links are not expanded into rows: a comparison gives sums and a spanning forest.
 
 Cases: null and empty texts have no grams and link to nothing; their class is their own id; rows with a null id take
-part in no class (class null, links 0); rows that repeat an id with the same text count as copies; an empty table
-gives no rows; other columns are ignored.
+part in no class (class null, links 0); rows that repeat an id with the same text count as copies, with another text
+as documents of their own; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import read, saved, stored, text_of
+from tidemark.llm.common import join_hot, read, saved, stored, text_of
 
 GRAM = 5
 SIMILARITY = 0.8
@@ -77,13 +82,19 @@ def grams(text: str) -> np.ndarray:
     return _mix(sum(word[i : i + n] * _POWERS[i] for i in range(GRAM)))
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, h, text; id and hash tell unlike rows apart."""
+    text = text_of(docs)
+    return docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, copy (digest of the word sequence; null without words), tokens (minimum hashes)."""
+    """doc_id, h (hash of the text), copy (digest of the word sequence; null without words), tokens (minimum hashes)."""
     def sketch(batches):
         for b in batches:
             copy, tokens = [], []
             for i in range(b.num_rows):
-                text = b.column(1)[i].as_py()
+                text = b.column(2)[i].as_py()
                 g = grams(text)
                 if not len(g):
                     copy.append(None)
@@ -91,10 +102,9 @@ def sketches(docs: DataFrame) -> DataFrame:
                     continue
                 copy.append(hashlib.blake2b(" ".join(text.split()).encode("utf-8", "replace"), digest_size=16).digest())
                 tokens.append([int((_s * g).min() >> np.uint64(33)) for _s in _SEEDS])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(copy, pa.binary()), pa.array(tokens, pa.list_(pa.int32()))], names=["doc_id", "copy", "tokens"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(copy, pa.binary()), pa.array(tokens, pa.list_(pa.int32()))], names=["doc_id", "h", "copy", "tokens"])
 
-    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_of(docs).alias("text"))
-    return rows.mapInArrow(sketch, "doc_id bigint, copy binary, tokens array<int>")
+    return _texts(docs).mapInArrow(sketch, "doc_id bigint, h bigint, copy binary, tokens array<int>")
 
 
 def leaves(reps: DataFrame) -> DataFrame:
@@ -102,10 +112,11 @@ def leaves(reps: DataFrame) -> DataFrame:
     roots = F.array(*[F.struct(F.xxhash64(F.lit(r), F.lit(c), F.element_at("tokens", c + 1)).alias("path"))
                       for r, root in enumerate(np.random.default_rng(14).permuted(np.tile(np.arange(TOKENS), (runs(), 1)), axis=1)[:, :CHOSEN].tolist()) for c in root])
     now = reps.select("rep", F.explode(roots).alias("x")).select("rep", "x.path", F.lit(2**62).alias("parent"))
+    now = stored(now)
     ends = None
     for level in range(1, LEVELS + 1):
-        sizes = now.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-        now = stored(now.join(sizes, "path"))
+        sizes = stored(now.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))
+        now = stored(join_hot(now, sizes, "path", "n"))
         last = F.lit(level == LEVELS) | (F.col("n") <= SMALL) | (F.col("n") >= DENSE * F.col("parent"))
         done = now.filter(last).select(F.col("path").alias("leaf"), "rep")
         ends = done if ends is None else ends.unionByName(done)
@@ -113,11 +124,11 @@ def leaves(reps: DataFrame) -> DataFrame:
             deeper = now.filter(~last).join(reps, "rep")
             positions = [F.pmod(F.xxhash64("path", F.lit(i)), F.lit(TOKENS)).cast("int") for i in range(CHOSEN)]
             child = F.array_distinct(F.array(*[F.xxhash64("path", p, F.element_at("tokens", p + 1)) for p in positions]))
-            now = deeper.select("rep", F.col("n").alias("parent"), F.explode(child).alias("path"))
+            now = stored(deeper.select("rep", F.col("n").alias("parent"), F.explode(child).alias("path")))
     # leaves with the same members need one comparison
     same = ends.groupBy("leaf").agg(F.sum(F.pmod(F.xxhash64("rep"), F.lit(2**40))).alias("s"), F.min("rep").alias("a"), F.count(F.lit(1)).alias("n"))
-    kept = same.groupBy("s", "a", "n").agg(F.min("leaf").alias("leaf")).select("leaf", "n")
-    return ends.join(kept, "leaf")
+    kept = stored(same.groupBy("s", "a", "n").agg(F.min("leaf").alias("leaf")).select("leaf", "n"))
+    return join_hot(ends, kept, "leaf", "n")
 
 
 def _adjacency(sets: list[np.ndarray]) -> np.ndarray:
@@ -142,24 +153,26 @@ def _adjacency(sets: list[np.ndarray]) -> np.ndarray:
     return both >= SIMILARITY * (size[:, None] + size[None, :] - both) - 1e-6
 
 
-def _compare(rows: list, leaf: int, x: int, y: int):
-    """(links by rep, forest edges) of one tile; rows: (rep, chunk, copies, leaves, text)."""
-    ok = _adjacency([np.unique(grams(r[4])) for r in rows])
-    chunk = np.array([r[1] for r in rows])
+def _compare(rows: list, leaf: int, other: int):
+    """(links by rep, forest edges) of the first `other` rows with the rest, or of all if `other` is 0.
+
+    rows: (rep, copies, leaves, distinct grams).
+    """
+    ok = _adjacency([r[3] for r in rows])
     np.fill_diagonal(ok, False)
-    if x != y:
-        ok &= chunk[:, None] != chunk[None, :]
+    if other:
+        ok[:other, :other] = ok[other:, other:] = False
     # a pair counts in the first leaf that it shares
-    earlier = sorted({z for r in rows for z in r[3] if z < leaf})
+    earlier = sorted({z for r in rows for z in r[2] if z < leaf})
     if earlier and ok.any():
         place = {z: i for i, z in enumerate(earlier)}
         has = np.zeros((len(rows), len(earlier)), np.float32)
         for i, r in enumerate(rows):
-            for z in r[3]:
+            for z in r[2]:
                 if z < leaf:
                     has[i, place[z]] = 1
         ok &= (has @ has.T) == 0
-    links = ok @ np.array([r[2] for r in rows], np.int64)
+    links = ok @ np.array([r[1] for r in rows], np.int64)
     rep = np.array([r[0] for r in rows], np.int64)
     root = rep.copy()
     while True:
@@ -167,41 +180,79 @@ def _compare(rows: list, leaf: int, x: int, y: int):
         if (least == root).all():
             break
         root = least
-    return links, root
+    return [(r[0], None, int(n)) for r, n in zip(rows, links) if n] + [(r[0], int(t), 0) for r, t in zip(rows, root) if t != r[0]]
 
 
-def linked(docs: DataFrame, reps: DataFrame, ends: DataFrame) -> DataFrame:
-    """a, b, links: sums of links of a (b null) and edges of spanning forests (links 0)."""
-    mine = ends.groupBy("rep").agg(F.sort_array(F.collect_list("leaf")).alias("leaves"))  # at most RUNS x CHOSEN^LEVELS each
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("rep"), text_of(docs).alias("text")).join(mine, "rep").dropDuplicates(["rep"])
-    chunks = F.ceil(F.col("n") / TILE).cast("int")
-    own = F.pmod(F.xxhash64("rep"), chunks).cast("int")
-    cut = ends.withColumn("chunk", own).withColumn("o", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    cut = cut.select("leaf", "rep", "chunk", F.least("chunk", "o").alias("x"), F.greatest("chunk", "o").alias("y"))
-    full = cut.join(texts.join(reps.select("rep", "copies"), "rep"), "rep")
-    tiles = full.select("leaf", "x", "y", "rep", "chunk", "copies", "leaves", "text").repartition("leaf", "x", "y").sortWithinPartitions("leaf", "x", "y", "rep")
-    shape = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
+def _packed(rows: list) -> bytes:
+    """Sets that are alike lie side by side, and so pack well."""
+    sizes = np.array([len(r[3]) for r in rows], np.int64)
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(([r[:3] for r in rows], sizes, np.concatenate([r[3] for r in rows]))))
 
-    def compare(batches):
-        key, rows = None, []
 
-        def out():
-            links, root = _compare(rows, *key)
-            some = [(r[0], None, int(n)) for r, n in zip(rows, links) if n] + [(r[0], int(t), 0) for r, t in zip(rows, root) if t != r[0]]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*some) if some else ((), (), ()))], schema=shape)
+def _unpacked(data: bytes) -> list:
+    rows, sizes, flat = pickle.loads(zstandard.ZstdDecompressor().decompress(data))
+    return [(*r, g) for r, g in zip(rows, np.split(flat, np.cumsum(sizes)[:-1]))]
+
+
+_FOUND = "a bigint, b bigint, links bigint, leaf bigint, chunk int, chunks int, data binary"
+_SHAPE = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64()), ("leaf", pa.int64()), ("chunk", pa.int32()), ("chunks", pa.int32()), ("data", pa.binary())])
+
+
+def _found(rows: list) -> pa.RecordBatch:
+    rows = [(*r, *[None] * (7 - len(r))) for r in rows]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SHAPE)], schema=_SHAPE)
 
-        for b in batches:
-            cols = [c.to_pylist() for c in b.columns[:7]]
-            for i, (leaf, x, y, *rest) in enumerate(zip(*cols)):
-                if (leaf, x, y) != key:
-                    if len(rows) > 1:
-                        yield out()
-                    key, rows = (leaf, x, y), []
-                rows.append((*rest, b.column(7)[i].as_py()))
-        if len(rows) > 1:
-            yield out()
 
-    return tiles.mapInArrow(compare, "a bigint, b bigint, links bigint")
+def _by_key(batches, width: int):
+    """(key, rows) of runs of rows that agree in the first `width` columns."""
+    key, rows = None, []
+    for b in batches:
+        cols = [c.to_pylist() for c in b.columns[:-1]]
+        for i, r in enumerate(zip(*cols)):
+            if r[:width] != key:
+                if rows:
+                    yield key, rows
+                key, rows = r[:width], []
+            rows.append((*r[width:], b.column(b.num_columns - 1)[i].as_py()))
+    if rows:
+        yield key, rows
+
+
+def linked(docs: DataFrame, reps: DataFrame, ends: DataFrame) -> DataFrame:
+    """a, b, links: sums of links of a (b null) and edges of spanning forests (links 0).
+
+    reps: rep, doc_id, h, copies; ends: leaf, rep, n.
+    """
+    mine = ends.groupBy("rep").agg(F.sort_array(F.collect_list("leaf")).alias("leaves"))  # at most RUNS x CHOSEN^LEVELS each
+    asked = reps.select("rep", "doc_id", "h", "copies").join(mine, "rep")
+    texts = _texts(docs).join(asked, ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]).select("rep", "copies", "leaves", "text")
+    chunks = F.ceil(F.col("n") / TILE).cast("int")
+    full = ends.select("leaf", "rep", chunks.alias("chunks"), F.pmod(F.xxhash64("rep"), chunks).cast("int").alias("chunk")).join(texts, "rep")
+    full = full.select("leaf", "chunk", "chunks", "rep", "copies", "leaves", "text").repartition("leaf", "chunk").sortWithinPartitions("leaf", "chunk", "rep")
+
+    def within(batches):
+        for (leaf, chunk, chunks), rows in _by_key(batches, 3):
+            rows = [(*r[:3], np.unique(grams(r[3]))) for r in rows]
+            out = _compare(rows, leaf, 0) if len(rows) > 1 else []
+            if chunks > 1:
+                out.append((None, None, None, leaf, chunk, chunks, _packed(rows)))
+            if out:
+                yield _found(out)
+
+    def across(batches):
+        for (leaf, *_), rows in _by_key(batches, 3):
+            if len(rows) == 2:
+                one, two = (_unpacked(r[-1]) for r in rows)
+                if out := _compare(one + two, leaf, len(one)):
+                    yield _found(out)
+
+    found = stored(full.mapInArrow(within, _FOUND))
+    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda o: o != F.col("chunk")))
+    packed = found.filter(F.col("data").isNotNull()).select("leaf", "chunk", other.alias("o"), "data")
+    tiles = packed.select("leaf", F.least("chunk", "o").alias("x"), F.greatest("chunk", "o").alias("y"), "chunk", "data")
+    tiles = tiles.repartition("leaf", "x", "y").sortWithinPartitions("leaf", "x", "y", "chunk")
+    crossed = tiles.mapInArrow(across, _FOUND)
+    return found.filter(F.col("data").isNull()).select("a", "b", "links").unionByName(crossed.select("a", "b", "links"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -219,26 +270,48 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id, n_links."""
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sketches, and of each copy group: copy, copies, links, root (the smallest doc_id and h of its class)."""
     known = stored(sketches(docs))
-    reps = known.filter(F.col("copy").isNotNull() & F.col("doc_id").isNotNull()).groupBy("copy").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("tokens").alias("tokens"))
-    reps = stored(reps)
+    first = F.min(F.struct("doc_id", "h")).alias("first")
+    reps = known.filter(F.col("copy").isNotNull() & F.col("doc_id").isNotNull()).groupBy("copy").agg(first, F.count(F.lit(1)).alias("copies"), F.first("tokens").alias("tokens"))
+    reps = stored(reps.select(F.monotonically_increasing_id().alias("rep"), "copy", "first.doc_id", "first.h", "copies", "tokens"))
     ends = stored(leaves(reps.select("rep", "tokens")))
     found = stored(linked(docs, reps, ends))
     roots = components(found.filter(F.col("b").isNotNull()))
     links = found.filter(F.col("b").isNull()).groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    told = reps.select("copy", "rep", "copies").join(links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    told = told.select("copy", F.coalesce("root", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    ours = known.filter(F.col("copy").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "copy").join(told, "copy").drop("copy")
-    rest = known.filter(F.col("copy").isNull() | F.col("doc_id").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    told = reps.select("rep", "copy", "copies", "doc_id", "h").join(links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    told = stored(told.select("copy", "copies", "doc_id", "h", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "rep").alias("root")))
+    least = told.groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("least"))
+    return known, stored(told.join(least, "root").select("copy", "copies", "links", "least"))
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id, n_links."""
+    known, told = _classes(docs)
+    has = F.col("copy").isNotNull() & F.col("doc_id").isNotNull()
+    ours = join_hot(known.filter(has).select("doc_id", "copy"), told, "copy", "copies")
+    ours = ours.select("doc_id", F.col("least.doc_id").alias("class_id"), (F.col("links") + F.col("copies") - 1).alias("n_links"))
+    rest = known.filter(~has).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return ours.unionByName(rest)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents without those whose class has a smaller id; documents without an id stay."""
-    first = classes(docs).filter(F.col("doc_id") != F.col("class_id")).select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each class: the one of the smallest id, and of texts under one id that of the smallest hash.
+
+    Of rows that repeat its id and text one stays; documents without an id or without words all stay.
+    """
+    known, told = _classes(docs)
+    has = F.col("copy").isNotNull() & F.col("doc_id").isNotNull()
+    ours = stored(join_hot(known.filter(has).select("doc_id", "h", "copy"), told, "copy", "copies").withColumn("keeps", F.col("least") == F.struct("doc_id", "h")).select("doc_id", "h", "keeps"))
+    gone = ours.filter(~F.col("keeps")).select("doc_id", "h").distinct()
+    # names of our own, since the table may have any
+    rows = docs.select(F.struct(*docs.columns).alias("row"), docs["doc_id"].cast("bigint").alias("doc_id"), F.xxhash64(text_of(docs)).alias("h"))
+    left = rows.join(gone, ["doc_id", "h"], "left_anti")
+    again = saved(ours.filter("keeps").groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id", "h"))
+    if not again.isEmpty():
+        left = left.join(again, ["doc_id", "h"], "left_anti").unionByName(left.join(again, ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]))
+    return left.select("row.*")
 
 
 def op1_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
