@@ -62,6 +62,30 @@ def _bits(x: np.ndarray) -> np.ndarray:
     return np.frexp(x.astype(np.float64))[1]
 
 
+def _packed(values: np.ndarray, w: int) -> np.ndarray:
+    """Rows of `BLOCK` numbers of w bits as rows of bytes: 64 numbers to w words of 64 bits."""
+    lanes = np.ascontiguousarray(values.reshape(-1, 64).T).astype(np.uint64)
+    out = np.zeros((w, lanes.shape[1]), np.uint64)
+    for i in range(64):
+        word, bit = divmod(i * w, 64)
+        out[word] |= lanes[i] << np.uint64(bit)
+        if bit + w > 64:
+            out[word + 1] |= lanes[i] >> np.uint64(64 - bit)
+    return np.ascontiguousarray(out.T).astype("<u8").view(np.uint8).reshape(len(values), -1)
+
+
+def _unpacked(data: np.ndarray, w: int) -> np.ndarray:
+    words = np.ascontiguousarray(np.ascontiguousarray(data).view("<u8").reshape(-1, w).T)
+    out, mask = np.empty((64, words.shape[1]), np.uint32), np.uint64((1 << w) - 1)
+    for i in range(64):
+        word, bit = divmod(i * w, 64)
+        got = words[word] >> np.uint64(bit)
+        if bit + w > 64:
+            got |= words[word + 1] << np.uint64(64 - bit)
+        out[i] = got & mask
+    return np.ascontiguousarray(out.T).reshape(len(data), BLOCK)
+
+
 def pack_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes, np.ndarray, np.ndarray]:
     """least id, width, place and first exception of each block; packed bytes; places and high parts of exceptions."""
     n = -(-len(ids) // BLOCK)
@@ -70,27 +94,27 @@ def pack_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     rest = rest.reshape(n, BLOCK)
     least = rest.min(1, initial=np.iinfo(np.uint32).max)
     rest -= least[:, None]
-    order = np.sort(rest, axis=1)
-    width, cost = np.zeros(n, np.uint8), np.full(n, np.inf)
+    # how many numbers of a block need at most so many bits
+    need = np.bincount((_bits(rest) + 33 * np.arange(n)[:, None]).ravel(), minlength=33 * n).reshape(n, 33).cumsum(1)
+    width, cost = np.zeros(n, np.int64), np.full(n, np.inf)
     for p in PERCENTILES:
-        w = _bits(order[:, -(-BLOCK * p // 100) - 1])
-        price = BLOCK * w + _EXCEPTION_BITS * (rest >> np.minimum(w, 31)[:, None].astype(np.uint32) > 0).sum(1) * (w < 32)
-        width, cost = np.where(price < cost, w, width).astype(np.uint8), np.minimum(price, cost)
-    del order
-    size = width.astype(np.int64) * BLOCK // 8
+        w = (need < BLOCK * p / 100).sum(1)
+        price = BLOCK * w + _EXCEPTION_BITS * (BLOCK - need[np.arange(n), w])
+        width, cost = np.where(price < cost, w, width), np.minimum(price, cost)
+    size = width * BLOCK // 8
     place = np.cumsum(size) - size
     packed = np.zeros(int(size.sum()), np.uint8)
     for w in np.unique(width[width > 0]).tolist():
         which = np.flatnonzero(width == w)
         for lo in range(0, len(which), _SLAB):
             some = which[lo : lo + _SLAB]
-            low = (rest[some] & np.uint32((1 << w) - 1)).astype(">u4").view(np.uint8).reshape(len(some), BLOCK, 4)
-            bits = np.packbits(np.unpackbits(low, axis=2)[:, :, 32 - w :].reshape(len(some), -1), axis=1)
+            bits = _packed(rest[some] & np.uint32((1 << w) - 1), w)
             packed[place[some][:, None] + np.arange(bits.shape[1])] = bits
-    high = np.where(width[:, None] < 32, rest >> np.minimum(width, 31)[:, None].astype(np.uint32), 0)
+    out = np.flatnonzero(need[np.arange(n), width] < BLOCK)  # blocks with exceptions
+    high = rest[out] >> width[out, None].astype(np.uint32)
     who, where = np.nonzero(high)
-    first = np.cumsum(np.bincount(who, minlength=n)) - np.bincount(who, minlength=n)
-    return least, width, place, first, packed.tobytes(), where.astype(np.uint16), high[who, where].astype(np.uint32)
+    many = np.bincount(out[who], minlength=n)
+    return least, width.astype(np.uint8), place, np.cumsum(many) - many, packed.tobytes(), where.astype(np.uint16), high[who, where]
 
 
 def unpack_blocks(least, width, place, first, packed: np.ndarray, where: np.ndarray, high: np.ndarray, begin: int, end: int) -> np.ndarray:
@@ -100,10 +124,7 @@ def unpack_blocks(least, width, place, first, packed: np.ndarray, where: np.ndar
         which = np.flatnonzero(width[begin:end] == w) + begin
         for lo in range(0, len(which) if w else 0, _SLAB):
             some = which[lo : lo + _SLAB]
-            data = packed[place[some][:, None] + np.arange(w * BLOCK // 8)]
-            bits = np.zeros((len(some), BLOCK, 32), np.uint8)
-            bits[:, :, 32 - w :] = np.unpackbits(data, axis=1).reshape(len(some), BLOCK, w)
-            out[some - begin] = np.packbits(bits, axis=2).view(">u4")[:, :, 0]
+            out[some - begin] = _unpacked(packed[place[some][:, None] + np.arange(w * BLOCK // 8)], w)
     starts = np.append(first, len(where))
     a, b = int(starts[begin]), int(starts[end])
     who = np.repeat(np.arange(begin, end), np.diff(starts[begin : end + 1]))
