@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.plans.ordered import DEFAULT_BLOCK_ROWS, lag_join, trailing_agg, with_positions
+from tidemark.plans.ordered import DEFAULT_BLOCK_ROWS, join_on, lag_join, trailing_agg, with_positions
 from tidemark.plans.scale import cut_lineage
 
 START, END = "START", "END"
@@ -202,9 +202,9 @@ def discounted_return(seq_blocked: DataFrame, gamma: float) -> DataFrame:
     carry = summ.select("user_id", "_blk", "_first", "_len").groupBy("user_id").applyInPandas(
         _block_carry(gamma), "user_id long, _blk int, _carry double"
     )
-    j = local.join(summ.select("user_id", "_blk", "_end"), ["user_id", "_blk"]).join(carry, ["user_id", "_blk"])
+    j = join_on(join_on(local, summ.select("user_id", "_blk", "_end"), ["user_id", "_blk"]), carry, ["user_id", "_blk"])
     ret = F.col("_local") + F.pow(F.lit(gamma), F.col("_end") - F.col("pos") + 1) * F.col("_carry")
-    return seq_blocked.drop("_blk").join(j.select("user_id", "pos", ret.alias("ret")), ["user_id", "pos"])
+    return join_on(seq_blocked.drop("_blk"), j.select("user_id", "pos", ret.alias("ret")), ["user_id", "pos"])
 
 
 # ------------------------------------------------------------ HMM decoding
@@ -347,9 +347,9 @@ def viterbi(seq_blocked: DataFrame, tab: HmmTables) -> DataFrame:
     exits = prods.groupBy("user_id").applyInPandas(
         _stitch(tab, "max"), "user_id long, _blk int, _exit int, _enter int, score double"
     )
-    j = base.join(exits.select("user_id", "_blk", "_exit", "_enter"), ["user_id", "_blk"])
+    j = join_on(base, exits.select("user_id", "_blk", "_exit", "_enter"), ["user_id", "_blk"])
     dec = j.groupBy("user_id", "_blk").applyInPandas(_decode_block(tab), "user_id long, pos long, decoded string")
-    return dec.join(exits.select("user_id", "score").distinct(), "user_id")
+    return join_on(dec, exits.select("user_id", "score").distinct(), ["user_id"])
 
 
 def hmm_forward(seq_blocked: DataFrame, tab: HmmTables) -> DataFrame:

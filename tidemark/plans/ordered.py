@@ -27,6 +27,16 @@ from tidemark.plans.scale import cut_lineage
 DEFAULT_BLOCK_ROWS = 2_000_000
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, where null equals null: a group without a key is a group as any other."""
+    other = right.select(*[F.col(c).alias(f"_on_{c}") if c in keys else F.col(c) for c in right.columns])
+    same = None
+    for k in keys:
+        one = F.col(k).eqNullSafe(F.col(f"_on_{k}"))
+        same = one if same is None else same & one
+    return left.join(other, same, how).drop(*[f"_on_{k}" for k in keys])
+
+
 def _numbered(df: DataFrame, cols: list[str], block_rows: int) -> DataFrame:
     """Rows in the order of `cols` over range partitions of about `block_rows` rows at most, with `_blk` (the
     partition, in order) and `_i` (the row's number inside it, from 0)."""
@@ -54,7 +64,7 @@ def with_positions(
     whole = Window.partitionBy(key)
     run = whole.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select(key, "_blk", "_first", F.coalesce(F.sum("_bs").over(run), F.lit(0)).alias("_off"), F.sum("_bs").over(whole).alias("n"))
-    out = rows.join(blocks, [key, "_blk"])
+    out = join_on(rows, blocks, [key, "_blk"])
     out = out.withColumn(pos, (F.col("_off") + F.col("_i") - F.col("_first") + 1).cast("bigint"))
     return out.drop("_i", "_first", "_off", *([] if keep_block else ["_blk"]))
 
@@ -78,7 +88,7 @@ def lag_join(positioned: DataFrame, key: str, cols: list[str], k: int = 1, pos:
     prev = positioned.select(
         F.col(key), (F.col(pos) + k).alias(pos), *[F.col(c).alias(prefix + c) for c in cols]
     )
-    return positioned.join(prev, [key, pos], "left")
+    return join_on(positioned, prev, [key, pos], "left")
 
 
 def trailing_agg(positioned: DataFrame, key: str, value: str, width: int, pos: str = "pos") -> DataFrame:
@@ -88,7 +98,7 @@ def trailing_agg(positioned: DataFrame, key: str, value: str, width: int, pos: s
         key, F.explode(F.sequence(F.col(pos) + 1, F.col(pos) + width)).alias(pos), F.col(value).alias("_v")
     )
     agg = scat.groupBy(key, pos).agg(F.avg("_v").alias("trail_avg"), F.count(F.lit(1)).alias("trail_n"))
-    return positioned.join(agg, [key, pos], "left")
+    return join_on(positioned, agg, [key, pos], "left")
 
 
 def dense_index(df: DataFrame, col: str, out: str = "idx") -> DataFrame:
@@ -111,7 +121,7 @@ def running_agg(positioned: DataFrame, key: str, col: str, how: str = "sum", out
     summ = positioned.groupBy(key, "_blk").agg(agg(col).alias("_b"))
     summ = summ.withColumn("_carry", agg("_b").over(
         Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)))
-    j = local.join(summ.select(key, "_blk", "_carry"), [key, "_blk"])
+    j = join_on(local, summ.select(key, "_blk", "_carry"), [key, "_blk"])
     if how == "sum":
         val = F.coalesce(F.col("_loc"), F.lit(0)) + F.coalesce(F.col("_carry"), F.lit(0))
     else:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import fround
 
+from tidemark.operators import hmm as H
 from tidemark.operators import sequence as Q
 from tidemark.plans import views
 from tidemark.plans.ordered import lag_join
@@ -175,3 +176,79 @@ def hmm_forward(spark, d):
     """Rows-only: log P(observations) per user."""
     tab = _tables(spark, d)
     return Q.hmm_forward(_seq(spark, d, keep_block=True), tab)
+
+
+# ------------------------------------------------------------ learned without states
+
+STATES = ["s0", "s1", "s2"]
+BANDS = [name for _, name in Q.VALUE_BANDS] + [Q.TOP_BAND]
+START_MODEL = H.initial_model(len(STATES), len(BANDS))
+
+
+def _passes_sql(m: H.Hmm) -> str:
+    """Forward and backward vectors of each step, scaled to sum 1, and the posteriors `g0, g1, ...`."""
+    s = range(m.size)
+    emit = ", ".join("CASE obs " + " ".join(f"WHEN '{b}' THEN {float(m.emit[i, o])!r}::DOUBLE" for o, b in enumerate(BANDS)) + f" ELSE 1 END AS e{i}" for i in s)
+
+    def into(j, terms):
+        return "(" + " + ".join(terms) + f") AS {j}"
+
+    ahead = ", ".join(into(f"x{j}", [f"f.a{i} * {float(m.move[i, j])!r}" for i in s]).replace(f" AS x{j}", f" * e{j} AS x{j}") for j in s)
+    back = ", ".join(into(f"x{i}", [f"{float(m.move[i, j])!r} * b.e{j} * b.b{j}" for j in s]) for i in s)
+    total = " + ".join(f"x{i}" for i in s)
+    cols = lambda c: ", ".join(f"{c}{i}" for i in s)
+    scaled = lambda c: ", ".join(f"x{i} / ({total}) AS {c}{i}" for i in s)
+    return f"""em AS MATERIALIZED (SELECT user_id, pos, n, obs, {emit} FROM seq),
+f(user_id, pos, {cols("a")}, c) AS (
+  SELECT user_id, pos, {scaled("a")}, {total} FROM (SELECT user_id, pos, {", ".join(f"{float(m.start[i])!r} * e{i} AS x{i}" for i in s)} FROM em WHERE pos = 1)
+  UNION ALL
+  SELECT user_id, pos, {scaled("a")}, {total} FROM (SELECT em.user_id, em.pos, {ahead} FROM f JOIN em ON em.user_id = f.user_id AND em.pos = f.pos + 1)),
+b(user_id, pos, {cols("b")}, {cols("e")}) AS (
+  SELECT user_id, pos, {", ".join(f"{float(m.stop[i])!r}::DOUBLE" for i in s)}, {cols("e")} FROM em WHERE pos = n
+  UNION ALL
+  SELECT user_id, pos, {scaled("b")}, {cols("e")} FROM (SELECT em.user_id, em.pos, {back}, {", ".join(f"em.e{i}" for i in s)} FROM b JOIN em ON em.user_id = b.user_id AND em.pos = b.pos - 1)),
+g AS MATERIALIZED (
+  SELECT em.user_id, em.pos, em.n, em.obs, f.c, {cols("a")}, {cols("b")}, {", ".join(f"em.e{i}" for i in s)}, {", ".join(f"a{i} * b{i} / ({' + '.join(f'a{k} * b{k}' for k in s)}) AS g{i}" for i in s)}
+  FROM em JOIN f ON f.user_id = em.user_id AND f.pos = em.pos JOIN b ON b.user_id = em.user_id AND b.pos = em.pos)"""
+
+
+def _step_sql(m: H.Hmm) -> str:
+    s = range(m.size)
+    terms = [[f"p.a{i} * {float(m.move[i, j])!r} * q.e{j} * q.b{j}" for j in s] for i in s]
+    whole = " + ".join(t for r in terms for t in r)
+    counts = [f"SELECT 'trans' AS kind, 'START' AS a, '{STATES[i]}' AS b, sum(g{i}) AS w FROM g WHERE pos = 1" for i in s]
+    counts += [f"SELECT 'trans', '{STATES[i]}', 'END', sum(g{i}) FROM g WHERE pos = n" for i in s]
+    counts += [f"SELECT 'trans', '{STATES[i]}', '{STATES[j]}', sum({terms[i][j]} / ({whole})) FROM g p JOIN g q ON q.user_id = p.user_id AND q.pos = p.pos + 1" for i in s for j in s]
+    counts += [f"SELECT 'emit', '{STATES[i]}', '{b}', coalesce(sum(g{i}) FILTER (obs = '{b}'), 0) FROM g" for i in s for b in BANDS]
+    return f"""WITH RECURSIVE {SEQ}, {_passes_sql(m)},
+counts AS ({" UNION ALL ".join(counts)})
+SELECT kind, a, b, round(w / sum(w) OVER (PARTITION BY kind, a), 6) AS prob FROM counts
+UNION ALL SELECT 'loglik', '', '', round(sum(ln(c)) + (SELECT sum(ln({" + ".join(f"a{i} * {float(m.stop[i])!r}" for i in s)})) FROM g WHERE pos = n), 4) FROM g"""
+
+
+def _segments(spark, d):
+    return H.segments(_seq(spark, d), BANDS)
+
+
+@query("baum_welch_step", _step_sql(START_MODEL))
+def baum_welch_step(spark, d):
+    """One re-estimation from a fixed start: the new model and the log likelihood of the old one."""
+    m, logs = H.baum_welch(_segments(spark, d), START_MODEL, 1)
+    rows = [(*r[:3], round(r[3], 6)) for r in H.model_rows(m, STATES, BANDS)] + [("loglik", "", "", round(logs[0], 4))]
+    return spark.createDataFrame(rows, "kind string, a string, b string, prob double")
+
+
+@query("baum_welch")
+def baum_welch(spark, d):
+    """Rows-only: the model after ten re-estimations, and the log likelihood before each and after the last."""
+    m, logs = H.baum_welch(_segments(spark, d), START_MODEL, 10)
+    rows = H.model_rows(m, STATES, BANDS) + [("loglik", str(i), "", x) for i, x in enumerate(logs)]
+    return spark.createDataFrame(rows, "kind string, a string, b string, prob double")
+
+
+@query("hmm_posterior", f"""WITH RECURSIVE {SEQ}, {_passes_sql(START_MODEL)}
+SELECT user_id, pos, {", ".join(f"round(g{i}, 6) AS p_{x}" for i, x in enumerate(STATES))} FROM g""")
+def hmm_posterior(spark, d):
+    """Probability of each hidden state at each event, given the user's whole sequence."""
+    p = H.posteriors(START_MODEL, _segments(spark, d))
+    return p.select(F.col("key").alias("user_id"), "pos", *[fround(F.col("state")[i], 6).alias(f"p_{x}") for i, x in enumerate(STATES)])
