@@ -34,6 +34,7 @@ DOMAINS = (
     "models",
     "streams",
     "textprep",
+    "learned",
 )
 
 
