@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as T
 from tidemark.functions.numeric import fround
 from tidemark.operators import dialogue as D
+from tidemark.operators import segment as SEG
 from tidemark.operators import text as X
 from tidemark.plans import views
 from tidemark.registry import query
@@ -392,3 +393,45 @@ def kg_answer(spark, d):
     asked = asked.unionByName(ask(read("customer"), "where is ", "c_name", " located?"))
     asked = asked.unionByName(ask(part, "Which brands make ", "p_name", "?")).unionByName(ask(part, "How much is ", "p_name", "?"))
     return D.kg_answer(asked.distinct(), "question", KG_TEMPLATES, triples).select("question", "predicate", "subject", "answer")
+
+
+# ------------------------------------------------------------ segmentation
+
+#: Words of the turns that make the dictionary: the most frequent, ties by word.
+SEGMENT_WORDS = 2000
+_SPACED = r"[ \t\n\r\f]+"
+
+
+def _turn_words(spark, d):
+    t = views.turns(spark, d).select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
+    words = t.select(F.explode(F.split("text", _SPACED)).alias("w")).filter("w <> ''").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    top = words.orderBy(F.col("n").desc(), "w").limit(SEGMENT_WORDS).collect()  # bounded by the dictionary's size
+    return t.select("conv_id", "turn", F.regexp_replace("text", _SPACED, "").alias("text")), {r["w"]: float(r["n"]) for r in top}
+
+
+@query("segment_turns", f"""WITH RECURSIVE words AS MATERIALIZED (
+  SELECT w FROM (SELECT unnest(string_split_regex(text, '{_SPACED}')) AS w FROM conversations) WHERE w <> '' GROUP BY w
+  ORDER BY count(*) DESC, w LIMIT {SEGMENT_WORDS}),
+lens AS MATERIALIZED (SELECT list(DISTINCT length(w)) AS ls FROM words),
+t AS MATERIALIZED (SELECT conv_id, turn, regexp_replace(coalesce(text, ''), '{_SPACED}', '', 'g') AS text FROM conversations),
+places AS MATERIALIZED (SELECT conv_id, turn, text, unnest(range(1, length(text) + 1)) AS i FROM t),
+found AS MATERIALIZED (
+  SELECT p.conv_id, p.turn, p.i, max(length(words.w)) AS n
+  FROM (SELECT conv_id, turn, i, unnest(list_transform(ls, lambda n: substr(text, i, n))) AS s FROM places CROSS JOIN lens) p JOIN words ON words.w = p.s
+  GROUP BY ALL),
+step AS MATERIALIZED (SELECT p.conv_id, p.turn, p.i, coalesce(f.n, 1) AS n, substr(p.text, p.i, coalesce(f.n, 1)) AS w FROM places p LEFT JOIN found f USING (conv_id, turn, i)),
+walk(conv_id, turn, i, n, w) AS (
+  SELECT * FROM step WHERE i = 1
+  UNION ALL SELECT s.* FROM walk x JOIN step s ON s.conv_id = x.conv_id AND s.turn = x.turn AND s.i = x.i + x.n)
+SELECT t.conv_id, t.turn, coalesce(string_agg(w, ' ' ORDER BY i), '') AS words FROM t LEFT JOIN walk USING (conv_id, turn) GROUP BY t.conv_id, t.turn""")
+def segment_turns(spark, d):
+    """each turn without its spaces, cut by forward maximum match with the most frequent words."""
+    rows, words = _turn_words(spark, d)
+    return SEG.segment(rows, ["conv_id", "turn"], "text", words).withColumn("words", F.array_join("words", " "))
+
+
+@query("segment_best")
+def segment_best(spark, d):
+    """F15 (rows-only): the same by the most probable path."""
+    rows, words = _turn_words(spark, d)
+    return SEG.segment(rows, ["conv_id", "turn"], "text", words, "best").withColumn("words", F.array_join("words", " "))
