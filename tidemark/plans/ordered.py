@@ -127,3 +127,25 @@ def running_agg(positioned: DataFrame, key: str, col: str, how: str = "sum", out
     else:
         val = F.greatest(F.col("_loc"), F.col("_carry"))
     return j.withColumn(out, val).drop("_loc", "_carry")
+
+
+def range_lookup(points: DataFrame, bounds: DataFrame, x: str, lo: str, take: list[str]) -> DataFrame:
+    """points with the `take` columns of the bound of the greatest `lo` not above `x` (null below all bounds).
+
+    Points and bounds are merged in one order and cut into range partitions; each carries its last bound forward, and
+    one row for each partition carries it over the cut.  No pair of a point and a bound is formed.  Of equal bounds the
+    one with the greatest `take` counts; a null x has no bound.
+    """
+    kinds = {f.name: f.dataType for f in bounds.select(*take).schema}
+    empty = F.lit(None).cast(points.select(F.struct(*points.columns)).schema[0].dataType)
+    none = F.lit(None).cast(bounds.select(F.struct(*take)).schema[0].dataType)
+    one = bounds.filter(F.col(lo).isNotNull()).select(F.col(lo).cast("double").alias("_x"), F.lit(0).alias("_k"), F.struct(*take).alias("_b"), empty.alias("_p"))
+    two = points.select(F.col(x).cast("double").alias("_x"), F.lit(1).alias("_k"), none.alias("_b"), F.struct(*points.columns).alias("_p"))
+    rows = _numbered(one.unionByName(two).withColumn("_h", F.xxhash64("_p")), ["_x", "_k", "_b", "_h"], DEFAULT_BLOCK_ROWS)
+    so_far = Window.partitionBy("_blk").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
+    filled = rows.withColumn("_b", F.last("_b", ignorenulls=True).over(so_far))
+    ends = rows.groupBy("_blk").agg(F.max_by("_b", F.when(F.col("_b").isNotNull(), F.col("_i"))).alias("_e"))
+    before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
+    carry = ends.select("_blk", F.last("_e", ignorenulls=True).over(before).alias("_e"))
+    out = filled.filter(F.col("_k") == 1).join(carry, "_blk").withColumn("_b", F.when(F.col("_x").isNotNull(), F.coalesce("_b", "_e")))
+    return out.select("_p.*", *[F.col("_b")[c].cast(kinds[c]).alias(c) for c in take])

@@ -11,13 +11,17 @@ from tidemark.functions.hashing import md5_mod, md5_mod_sql
 from tidemark.functions.numeric import fround
 from tidemark.operators import factor as A
 from tidemark.operators import forest as R
+from tidemark.operators import clusters as Q
 from tidemark.operators import mixtures as G
 from tidemark.operators import text as X
 from tidemark.operators import whiten as W
 from tidemark.plans import views
 from tidemark.plans.scale import written
 from tidemark.registry import query
-from tidemark.registry.text import DOCS, TF, TOK
+from tidemark.plans.ordered import range_lookup
+from tidemark.registry.text import COUNTS, DOCS, TF, TOK, sql_vocab
+from tidemark.registry.text import V as VOCAB
+
 
 
 def _docs(spark, d):
@@ -218,3 +222,76 @@ def tree_rules(spark, d):
     ready = R.assembled(_flagged(spark, d), cols)
     model = DecisionTreeClassifier(labelCol="y", impurity="entropy", maxDepth=4, seed=1).fit(ready)
     return spark.createDataFrame(R.rules(model, cols), "leaf int, condition string, prediction double, n long")
+
+
+# ------------------------------------------------------------ saved models
+
+@query("saved_model_scores")
+def saved_model_scores(spark, d):
+    """S16 (rows-only): a fitted pipeline, saved to the shared folder and loaded again, scores each line; it must give
+    what it gave before it was saved."""
+    import uuid
+
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from tidemark.plans.session import ensure_checkpoint_dir
+    from tidemark.sources.saved import load_model, save_model
+
+    t = _lines(spark, d)
+    cols = [*NUM, "l_extendedprice"]
+    stages = [StringIndexer(inputCol="l_returnflag", outputCol="y", stringOrderType="alphabetAsc"),
+              VectorAssembler(inputCols=cols, outputCol="features"), LogisticRegression(labelCol="y", maxIter=20)]
+    model = Pipeline(stages=stages).fit(t)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    save_model(model, path)
+    made = ["y", "features", "rawPrediction", "probability", "prediction"]
+    first = model.transform(t).withColumn("p0", vector_to_array("probability")[0]).drop(*made)
+    again = load_model(path).transform(first).withColumn("p", vector_to_array("probability")[0])
+    if not again.filter(F.col("p") != F.col("p0")).isEmpty():
+        raise AssertionError("the loaded model scores otherwise")
+    return again.select("l_orderkey", "l_linenumber", "prediction", fround("p", 9).alias("p"))
+
+
+# ------------------------------------------------------------ draws and cluster indices
+
+DRAWS = 5
+_U = f"({md5_mod_sql("'draw:' || CAST(doc_id AS VARCHAR) || ':' || CAST(draw AS VARCHAR)", 1_000_000)}) / 1000000.0"
+
+
+@query("negative_draws", f"""WITH {DOCS}, {TOK}, {COUNTS}, {sql_vocab(VOCAB)},
+v AS (SELECT token, id, pow(count, 0.75) AS w FROM vocab WHERE count IS NOT NULL),
+r AS (SELECT token, (SUM(w) OVER (ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - w) / SUM(w) OVER () AS lo FROM v),
+u AS (SELECT doc_id, draw, {_U} AS u FROM (SELECT doc_id, unnest(range({DRAWS})) AS draw FROM documents))
+SELECT u.doc_id, u.draw::INT AS draw, r.token FROM u ASOF LEFT JOIN r ON u.u >= r.lo""")
+def negative_draws(spark, d):
+    """Five negative words for each document, drawn by hash into the cumulative ranges of the table."""
+    table = X.negative_table(X.build_vocab(_docs(spark, d), VOCAB))
+    u = md5_mod(F.concat_ws(":", F.lit("draw"), F.col("doc_id").cast("string"), F.col("draw").cast("string")), 1_000_000) / F.lit(1000000.0)
+    draws = views.corpus(spark, d).select("doc_id", F.explode(F.array(*[F.lit(i) for i in range(DRAWS)])).alias("draw")).withColumn("u", u)
+    return range_lookup(draws, table, "u", "lo", ["token"]).select("doc_id", "draw", "token")
+
+
+@query("cluster_indices", """WITH x AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS i FROM embeddings),
+dims AS (SELECT label, i, count(*) AS n, sum(v) AS s, sum(v * v) AS q FROM x GROUP BY ALL),
+k AS (SELECT label, any_value(n) AS n, sum(q) AS q, sum(q - s * s / n) AS within FROM dims GROUP BY label),
+whole AS (SELECT sum(q - s * s / n) AS total, count(*) AS d, any_value(n) AS n FROM (SELECT i, sum(n) AS n, sum(s) AS s, sum(q) AS q FROM dims GROUP BY i)),
+pairs AS (SELECT a.label AS a, b.label AS b, sum(a.s * b.s) AS dot, sqrt(sum((a.s / a.n - b.s / b.n) * (a.s / a.n - b.s / b.n))) AS apart
+          FROM dims a JOIN dims b ON a.i = b.i AND a.label < b.label GROUP BY ALL),
+h AS (SELECT sum((p.n * q.q + q.n * p.q - 2 * dot) * apart) AS hubert FROM pairs JOIN k p ON p.label = pairs.a JOIN k q ON q.label = pairs.b)
+SELECT round(sqrt(sum(within) / (any_value(d) * sum(k.n - 1))), 6) AS rms_std, round(1 - sum(within) / any_value(total), 6) AS r_square,
+       round(any_value(hubert) * 2 / (any_value(whole.n) * (any_value(whole.n) - 1)), 6) AS hubert
+FROM k CROSS JOIN whole CROSS JOIN h""")
+def cluster_indices(spark, d):
+    """Root mean square standard deviation, R-square and the modified Hubert statistic of the labelled vectors."""
+    v = views.vectors(spark, d).select(F.col("label").cast("int").alias("cluster"), V.as_double(F.col("embedding")).alias("vec"))
+    return spark.createDataFrame([tuple(round(x, 6) for x in Q.indices(v, "cluster", "vec"))], "rms_std double, r_square double, hubert double")
+
+
+@query("gap_statistic")
+def gap_statistic(spark, d):
+    """E12 (rows-only): gap between the within sums of squares of k-means and of uniform reference data, k = 1 to 6."""
+    points = written(_scaled_points(spark, d, DIMS).select("id", "vec"))
+    return spark.createDataFrame(Q.gap(points, "id", "vec", range(1, 7), references=3), "k int, log_within double, reference double, gap double, error double, best boolean")
