@@ -218,16 +218,19 @@ def _by_key(batches, width: int):
         yield key, rows
 
 
-def linked(docs: DataFrame, reps: DataFrame, ends: DataFrame) -> DataFrame:
+def linked(docs: DataFrame, reps: DataFrame, ends: DataFrame, again: DataFrame) -> DataFrame:
     """a, b, links: sums of links of a (b null) and edges of spanning forests (links 0).
 
-    reps: rep, doc_id, h, copies; ends: leaf, rep, n.
+    reps: rep, doc_id, h, copies; ends: leaf, rep, n; again: doc_id, h of texts that an id repeats.
     """
     mine = ends.groupBy("rep").agg(F.sort_array(F.collect_list("leaf")).alias("leaves"))  # at most RUNS x CHOSEN^LEVELS each
     asked = reps.select("rep", "doc_id", "h", "copies").join(mine, "rep")
-    texts = _texts(docs).join(asked, ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]).select("rep", "copies", "leaves", "text")
     chunks = F.ceil(F.col("n") / TILE).cast("int")
-    full = ends.select("leaf", "rep", chunks.alias("chunks"), F.pmod(F.xxhash64("rep"), chunks).cast("int").alias("chunk")).join(texts, "rep")
+    cut = ends.select("leaf", "rep", chunks.alias("chunks"), F.pmod(F.xxhash64("rep"), chunks).cast("int").alias("chunk")).join(asked, "rep")
+    texts = _texts(docs)
+    if not again.isEmpty():  # of rows that repeat id and text one is enough
+        texts = texts.join(again, ["doc_id", "h"], "left_anti").unionByName(texts.join(again, ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id", "h"]))
+    full = cut.join(texts, ["doc_id", "h"])
     full = full.select("leaf", "chunk", "chunks", "rep", "copies", "leaves", "text").repartition("leaf", "chunk").sortWithinPartitions("leaf", "chunk", "rep")
 
     def within(batches):
@@ -270,25 +273,26 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The sketches, and of each copy group: copy, copies, links, root (the smallest doc_id and h of its class)."""
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sketches; of each copy group: copy, copies, links, least (doc_id and h of its class); doc_id, h of repeated rows."""
     known = stored(sketches(docs))
+    again = stored(known.filter(F.col("doc_id").isNotNull()).groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id", "h"))
     first = F.min(F.struct("doc_id", "h")).alias("first")
     reps = known.filter(F.col("copy").isNotNull() & F.col("doc_id").isNotNull()).groupBy("copy").agg(first, F.count(F.lit(1)).alias("copies"), F.first("tokens").alias("tokens"))
     reps = stored(reps.select(F.monotonically_increasing_id().alias("rep"), "copy", "first.doc_id", "first.h", "copies", "tokens"))
     ends = stored(leaves(reps.select("rep", "tokens")))
-    found = stored(linked(docs, reps, ends))
+    found = stored(linked(docs, reps, ends, again))
     roots = components(found.filter(F.col("b").isNotNull()))
     links = found.filter(F.col("b").isNull()).groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     told = reps.select("rep", "copy", "copies", "doc_id", "h").join(links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     told = stored(told.select("copy", "copies", "doc_id", "h", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "rep").alias("root")))
     least = told.groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("least"))
-    return known, stored(told.join(least, "root").select("copy", "copies", "links", "least"))
+    return known, stored(told.join(least, "root").select("copy", "copies", "links", "least")), again
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, n_links."""
-    known, told = _classes(docs)
+    known, told, _ = _classes(docs)
     has = F.col("copy").isNotNull() & F.col("doc_id").isNotNull()
     ours = join_hot(known.filter(has).select("doc_id", "copy"), told, "copy", "copies")
     ours = ours.select("doc_id", F.col("least.doc_id").alias("class_id"), (F.col("links") + F.col("copies") - 1).alias("n_links"))
@@ -301,14 +305,14 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Of rows that repeat its id and text one stays; documents without an id or without words all stay.
     """
-    known, told = _classes(docs)
+    known, told, again = _classes(docs)
     has = F.col("copy").isNotNull() & F.col("doc_id").isNotNull()
-    ours = stored(join_hot(known.filter(has).select("doc_id", "h", "copy"), told, "copy", "copies").withColumn("keeps", F.col("least") == F.struct("doc_id", "h")).select("doc_id", "h", "keeps"))
+    ours = (join_hot(known.filter(has).select("doc_id", "h", "copy"), told, "copy", "copies").withColumn("keeps", F.col("least") == F.struct("doc_id", "h")).select("doc_id", "h", "keeps"))
     gone = ours.filter(~F.col("keeps")).select("doc_id", "h").distinct()
     # names of our own, since the table may have any
     rows = docs.select(F.struct(*docs.columns).alias("row"), docs["doc_id"].cast("bigint").alias("doc_id"), F.xxhash64(text_of(docs)).alias("h"))
     left = rows.join(gone, ["doc_id", "h"], "left_anti")
-    again = saved(ours.filter("keeps").groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id", "h"))
+    again = again.join(ours.filter("keeps").select("doc_id", "h").distinct(), ["doc_id", "h"])
     if not again.isEmpty():
         left = left.join(again, ["doc_id", "h"], "left_anti").unionByName(left.join(again, ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]))
     return left.select("row.*")
