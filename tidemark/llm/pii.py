@@ -55,6 +55,8 @@ CONTEXT = {
     "id_number": r"(?i)ssn|social|\bid\b|number|nummer", "secret": r"(?i)login|user|key|credential|export|config",
 }
 LABELERS = ("format", "gazetteer", "context", "variety", "edges")
+#: Matches whose places are gathered at a time, and code points of a piece of text.
+PART, PIECE = 256, 4096
 ROUNDS = 6
 THRESHOLD = 0.5
 
@@ -99,8 +101,16 @@ def votes(kind: str, v: Column, before: Column, after: Column) -> list[Column]:
     return [form, known, told, varied, edges]
 
 
+def _cut(x: Column, at: Column) -> Column:
+    """Part number `at` of an array cut into parts of `PART`."""
+    return F.slice(x, at * PART + 1, F.lit(PART))
+
+
 def _places(m: Column, g: Column) -> Column:
-    """Array of (s, e) of the matches m between the gaps g."""
+    """Array of (s, e) of the matches m between the gaps g.
+
+    Arrays grow by copies, so places are gathered for `PART` matches at a time and the parts are joined at the end.
+    """
     none = F.array().cast("array<struct<s:int,e:int>>")
 
     def step(a, x):
@@ -108,8 +118,13 @@ def _places(m: Column, g: Column) -> Column:
         e = s + F.length(x["m"])
         return F.struct(e.alias("at"), F.concat(a["out"], F.array(F.struct(s.alias("s"), e.alias("e")))).alias("out"))
 
-    named = F.transform(m, lambda x, i: F.struct(x.alias("m"), F.get(g, i).alias("g")))
-    return F.when(F.size(m) > 0, F.aggregate(named, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda a: a["out"]))
+    def part(a, x):
+        found = F.aggregate(F.arrays_zip(x["m"].alias("m"), x["g"].alias("g")), F.struct(a["at"].alias("at"), none.alias("out")), step)
+        return F.struct(found["at"].alias("at"), F.concat(a["out"], F.array(found["out"])).alias("out"))
+
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(m) - 1) / PART).cast("int")), lambda i: F.struct(_cut(m, i).alias("m"), F.slice(g, i * PART + 1, F.size(_cut(m, i))).alias("g")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<s:int,e:int>>>").alias("out"))
+    return F.when(F.size(m) > 0, F.flatten(F.aggregate(parts, start, part, lambda a: a["out"])))
 
 
 def _described(k: str):
@@ -213,11 +228,28 @@ def redacted(docs: DataFrame) -> DataFrame:
     model = fit(saved(with_spans(docs.select("doc_id", "text")).select("_spans")))
     d = chosen(with_spans(docs.select(F.struct(*docs.columns).alias("_doc"), "text")), model)
 
+    # a text's code points are counted from its beginning each time, so it is cut into pieces first
+    d = d.withColumn("_cut", F.when(F.size("_all") > 0, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))))
+    empty = F.array().cast("array<string>")
+
+    def between(start, end):
+        def piece(c):
+            lo, hi = F.greatest(start - c * PIECE, F.lit(0)), F.least(end - c * PIECE, F.lit(PIECE))
+            return F.substring(F.get("_cut", c), lo + 1, hi - lo)
+
+        number = lambda at: F.floor(at / PIECE).cast("int")
+        return F.when(end > start, F.array_join(F.transform(F.sequence(number(start), number(end - 1)), piece), "")).otherwise("")
+
     def step(a, x):
-        between = F.substring(d["text"], a["at"] + 1, F.greatest(x["start"] - a["at"], F.lit(0)))
-        return F.when(x["end"] > a["at"], F.struct(x["end"].alias("at"), F.concat(a["out"], F.array(between, F.concat(F.lit("<"), x["kind"], F.lit(">")))).alias("out"))).otherwise(a)
+        more = F.array(between(a["at"], x["start"]), F.concat(F.lit("<"), x["kind"], F.lit(">")))
+        return F.when(x["end"] > a["at"], F.struct(x["end"].alias("at"), F.concat(a["out"], more).alias("out"))).otherwise(a)
+
+    def part(a, x):
+        shown = F.aggregate(x, F.struct(a["at"].alias("at"), empty.alias("out")), step)
+        return F.struct(shown["at"].alias("at"), F.concat(a["out"], F.array(F.array_join(shown["out"], ""))).alias("out"))
 
-    done = F.aggregate("_all", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(d["text"], a["at"] + 1, F.lit(2**31 - 1))))
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size("_all") - 1) / PART).cast("int")), lambda i: _cut(F.col("_all"), i))
+    done = F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("out")), part, lambda a: F.concat(F.array_join(a["out"], ""), between(a["at"], F.length("text"))))
     d = d.withColumn("_new", F.when(F.size("_all") > 0, done).otherwise(F.col("text")))
     return d.select(*[F.col("_new").alias(c) if c == "text" else F.length("_new").cast("long").alias(c) if c == "n_chars" else F.col("_doc")[c].alias(c) for c in docs.columns])
 
