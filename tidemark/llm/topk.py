@@ -10,7 +10,9 @@ Queries are the rows whose vec_id is divisible by 50.  Of equal vectors only the
 among a query's best, so no more are scanned.
 
 Cases: vectors that are null, empty or hold a null or non-finite component take no part, nor do rows without a
-vec_id; only vectors of equal length are compared; rows repeating a vec_id and vector are one row; ties go to the
+vec_id; components beyond
+`MOST` count as `MOST`, and a score that no long holds is shown as the nearest long, while the exact sums rank;
+only vectors of equal length are compared; rows repeating a vec_id and vector are one row; ties go to the
 smaller vec_id; an empty table gives no rows; other columns are ignored.
 """
 
@@ -28,6 +30,9 @@ QUERY_STEP = 50
 BITS = 6
 BASE_BLOCK, QUERY_BLOCK = 4096, 512
 FIRST = 4 * K
+#: Greatest size of a component after floor(256 x); sums of products then fit 38 digits.
+MOST = 10**17
+_LONG = 2**63 - 1
 
 
 def whole(rows: DataFrame) -> DataFrame:
@@ -35,7 +40,7 @@ def whole(rows: DataFrame) -> DataFrame:
     x = F.col("embedding")
     fine = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e.cast("double")) & (F.abs(e.cast("double")) < float("inf")))
     good = rows.filter(F.col("vec_id").isNotNull() & x.isNotNull() & (F.size(x) > 0) & F.coalesce(fine, F.lit(False)))
-    return good.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.transform(x, lambda e: F.floor(e.cast("double") * 256)).alias("v"))
+    return good.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.transform(x, lambda e: F.floor(F.greatest(F.least(e.cast("double") * 256, F.lit(float(MOST))), F.lit(-float(MOST))))).alias("v"))
 
 
 def _matrix(column, at: int, dtype) -> np.ndarray:
@@ -84,6 +89,10 @@ def bounded(pairs: DataFrame, lo: dict, step: dict, k: int) -> DataFrame:
                 top = bottom + wide - 1
                 plus, minus = np.maximum(q, 0), np.minimum(q, 0)
                 high, low = plus @ top.T + minus @ bottom.T, plus @ bottom.T + minus @ top.T
+                size = np.abs(q) @ np.maximum(np.abs(top), np.abs(bottom)).T
+                if size.max(initial=0) >= 2**53:  # sums of doubles are no longer exact
+                    slack = size * (dim + 2) * 2.0**-51
+                    high, low = high + slack, low - slack
                 own = q_ids[:, None] == ids[None, :]
                 low[own], high[own] = -np.inf, -np.inf
                 edge = np.partition(low, -k, axis=1)[:, -k] if len(ids) >= k else np.full(len(q_ids), -np.inf)
@@ -93,10 +102,13 @@ def bounded(pairs: DataFrame, lo: dict, step: dict, k: int) -> DataFrame:
     return pairs.mapInArrow(scan, "query_id bigint, vec_id bigint, low double, high double")
 
 
-def _exact(pairs: DataFrame, rows: DataFrame, queries: DataFrame) -> DataFrame:
+def _exact(pairs: DataFrame, rows: DataFrame, queries: DataFrame, wide: bool) -> DataFrame:
+    """query_id, vec_id, score, exact (as decimals where `wide`, so that nothing overflows)."""
     q = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
     both = pairs.join(rows, "vec_id").join(q, "query_id").filter(F.size("q") == F.size("v"))
-    score = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0).cast("long"), lambda a, x: a + x)
+    kind = "decimal(38,0)" if wide else "long"
+    term = (lambda a, b: (a.cast("decimal(19,0)") * b.cast("decimal(19,0)")).cast(kind)) if wide else (lambda a, b: a * b)
+    score = F.aggregate(F.zip_with("q", "v", term), F.lit(0).cast(kind), lambda a, x: (a + x).cast(kind))
     return both.select("query_id", "vec_id", score.alias("score"))
 
 
@@ -119,6 +131,8 @@ def nearest(rows: DataFrame, k: int = K) -> DataFrame:
     for r in ends:
         lo.setdefault(r["dim"], []).append(r["a"])
         step.setdefault(r["dim"], []).append((r["b"] - r["a"]) // (1 << BITS) + 1)
+    most = {d: sum(max(abs(a), abs(a + s * (1 << BITS))) ** 2 for a, s in zip(lo[d], step[d])) for d in lo}
+    wide = max(most.values(), default=0) >= 2**62
     base_blocks, _ = _packed(base, BASE_BLOCK, "block")
     query_blocks, n = _packed(queries, QUERY_BLOCK, "part")
     file = approximated(base_blocks, lo, step).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
@@ -128,10 +142,11 @@ def nearest(rows: DataFrame, k: int = K) -> DataFrame:
     edge = maybe.withColumn("_n", F.row_number().over(sure)).filter(F.col("_n") <= k).groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("low")).alias("edge"))
     left = maybe.join(edge, "query_id").filter(F.col("edge").isNull() | (F.col("high") >= F.col("edge")))
     left = saved(left.withColumn("_n", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("high"), "vec_id"))))
-    first = saved(_exact(left.filter(F.col("_n") <= max(FIRST, k)), all_, queries))
+    first = saved(_exact(left.filter(F.col("_n") <= max(FIRST, k)), all_, queries, wide))
     kth = _best(first, k).groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth"))
     rest = left.filter(F.col("_n") > max(FIRST, k)).join(kth, "query_id").filter(F.col("kth").isNull() | (F.col("high") >= F.col("kth")))
-    return _best(first.unionByName(_exact(rest, all_, queries)), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    shown = F.least(F.greatest(F.col("score"), F.lit(-_LONG)), F.lit(_LONG)).cast("long")
+    return _best(first.unionByName(_exact(rest, all_, queries, wide)), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", shown.alias("score"))
 
 
 def op10_exact_topk(spark, sf_dir: str) -> DataFrame:
