@@ -154,8 +154,9 @@ def _quarter(g: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, fold: Column) -> Additive:
-    rows = labelled(docs, labels, label, fold, MAX_ROWS).select("doc_id", "y", _features("text").alias("x")).toPandas()
-    rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
+    # of an id that comes again the text of the smallest hash counts, so at most `MAX_ROWS` rows come to the driver
+    one = labelled(docs, labels, label, fold, MAX_ROWS).groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "y")).alias("r"))
+    rows = one.select("doc_id", "r.y", _features("r.text").alias("x")).toPandas().sort_values("doc_id")
     return Additive(np.array(rows["x"].tolist()), rows["y"].to_numpy())
 
 
