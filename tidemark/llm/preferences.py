@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import read
+from tidemark.llm.common import read, saved
+from tidemark.plans.ordered import global_positions
 
 TRAINED = "assistant"
 
@@ -54,16 +55,17 @@ def formatted(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
 
 def pairs_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Chosen and rejected turns: the table holds no preferences, so a conversation is chosen and the same one, going on
-    from a turn that its id sets as the conversation with the next id does, is rejected."""
+    from a turn that its id sets as the conversation of the next id does (after the last one, of the first), is rejected."""
     turns = turns_of(conversations, "conv_id")
     size = turns.groupBy("pair_id").agg(F.min("turn").alias("lo"), F.count(F.lit(1)).alias("n"))
     number = F.conv(F.substring(F.md5(F.col("pair_id").cast("string").cast("binary")), 1, 6), 16, 10).cast("bigint")
-    cuts = size.join(size.select((F.col("pair_id") - 1).alias("pair_id")), "pair_id", "left_semi")
-    cuts = cuts.select("pair_id", (F.col("lo") + 1 + number % F.greatest(F.col("n") - 1, F.lit(1))).alias("cut"))
-    chosen = turns.join(cuts, "pair_id", "left_semi")
-    head = turns.join(cuts, "pair_id").filter(F.col("turn") < F.col("cut")).drop("cut")
-    tail = turns.withColumn("pair_id", F.col("pair_id") - 1).join(cuts, "pair_id").filter(F.col("turn") >= F.col("cut")).drop("cut")
-    return chosen, head.unionByName(tail)
+    placed = saved(global_positions(size, ["pair_id"], pos="_at"))
+    last = placed.agg(F.max("_at")).first()[0] or 0
+    after = placed.select(F.col("pair_id").alias("next"), F.when(F.col("_at") == 0, last).otherwise(F.col("_at") - 1).alias("_at"))
+    cuts = saved(placed.join(after, "_at").select("pair_id", "next", (F.col("lo") + 1 + number % F.greatest(F.col("n") - 1, F.lit(1))).alias("cut")))
+    head = turns.join(cuts, "pair_id").filter(F.col("turn") < F.col("cut")).drop("cut", "next")
+    tail = turns.withColumnRenamed("pair_id", "next").join(cuts, "next").filter(F.col("turn") >= F.col("cut"))
+    return turns, head.unionByName(tail.select(*turns.columns))
 
 
 def op9_preference_pairs(spark, sf_dir: str) -> DataFrame:
@@ -76,12 +78,13 @@ WITH t AS (
   FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY 1, 2),
 size AS (SELECT pair_id, min(turn) AS lo, count(*) AS n FROM t GROUP BY 1),
 cuts AS (
-  SELECT pair_id, lo + 1 + CAST('0x' || substr(md5(CAST(pair_id AS VARCHAR)), 1, 6) AS BIGINT) % greatest(n - 1, 1) AS cut
-  FROM size WHERE pair_id + 1 IN (SELECT pair_id FROM size)),
-c AS (SELECT pair_id, turn, x FROM t WHERE pair_id IN (SELECT pair_id FROM cuts)),
+  SELECT pair_id, coalesce(lead(pair_id) OVER (ORDER BY pair_id), min(pair_id) OVER ()) AS next,
+    lo + 1 + CAST('0x' || substr(md5(CAST(pair_id AS VARCHAR)), 1, 6) AS BIGINT) % greatest(n - 1, 1) AS cut
+  FROM size),
+c AS (SELECT pair_id, turn, x FROM t),
 r AS (
   SELECT t.pair_id, turn, x FROM t JOIN cuts USING (pair_id) WHERE turn < cut
-  UNION ALL SELECT t.pair_id - 1, turn, x FROM t JOIN cuts ON cuts.pair_id = t.pair_id - 1 WHERE turn >= cut),
+  UNION ALL SELECT cuts.pair_id, turn, x FROM t JOIN cuts ON cuts.next = t.pair_id WHERE turn >= cut),
 b AS (
   SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, coalesce(c.turn, r.turn) AS turn, c.x AS cx, r.x AS rx
   FROM c FULL JOIN r ON c.pair_id = r.pair_id AND c.turn = r.turn),
