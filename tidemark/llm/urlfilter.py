@@ -23,7 +23,8 @@ DAY = "2024-01-01"
 
 
 def host_of(url: Column) -> Column:
-    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1))
+    """The host without user, port and final dots."""
+    return F.lower(F.regexp_replace(F.regexp_replace(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1), "^.*@", ""), r"[.]*(?::[0-9]*)?$", ""))
 
 
 def address_of(url: Column) -> Column:
@@ -107,7 +108,7 @@ def op7_url_filter(spark, sf_dir: str) -> DataFrame:
 
 OP7_SQL = r"""
 WITH u AS (
-  SELECT url, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1)) AS host,
+  SELECT url, lower(regexp_replace(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1), '^.*@', ''), '[.]*(?::[0-9]*)?$', '')) AS host,
     regexp_replace(url, '#.*$', '') AS address,
     list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+([^?#]*)', 1), '/'), lambda x: x <> '') AS parts
   FROM (SELECT DISTINCT url FROM pages WHERE url IS NOT NULL)),
