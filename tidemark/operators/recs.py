@@ -168,17 +168,16 @@ def blend(cf: DataFrame, content: DataFrame, hot: DataFrame, users: DataFrame,
     """score = w_cf*cf + w_content*content; hot items absent from both
     sources get w_hot.  cf/content: (user_id, item_id, score); hot: (item_id);
     users: (user_id) that receive the hot fallback."""
-    weighted = cf.select("user_id", "item_id", (F.col("score") * w_cf).alias("score")).unionByName(
-        content.select("user_id", "item_id", (F.col("score") * w_content).alias("score"))
-    )
-    summed = weighted.groupBy("user_id", "item_id").agg(F.sum("score").alias("score"))
     # hot list is bounded by its k; explode it per user instead of a join
     hot_ids = [r["item_id"] for r in hot.select("item_id").collect()]
-    fallback = users.select(
-        "user_id", F.explode(F.array(*[F.lit(i) for i in hot_ids])).alias("item_id")
-    ) if hot_ids else users.select("user_id", F.lit(None).cast("bigint").alias("item_id")).limit(0)
-    fallback = fallback.join(summed.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
-    return summed.unionByName(fallback.withColumn("score", F.lit(w_hot)))
+    none = F.lit(None).cast("double")
+    rows = cf.select("user_id", "item_id", (F.col("score") * w_cf).alias("score"), none.alias("_hot")).unionByName(
+        content.select("user_id", "item_id", (F.col("score") * w_content).alias("score"), none.alias("_hot")))
+    if hot_ids:
+        rows = rows.unionByName(users.select(
+            "user_id", F.explode(F.array(*[F.lit(i) for i in hot_ids])).alias("item_id"), none.alias("score"), F.lit(float(w_hot)).alias("_hot")))
+    # the sources win over the fallback in the same aggregation that adds them up
+    return rows.groupBy("user_id", "item_id").agg(F.coalesce(F.sum("score"), F.max("_hot")).alias("score"))
 
 
 def coverage(recs: DataFrame, catalogue: DataFrame) -> DataFrame:

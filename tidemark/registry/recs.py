@@ -10,15 +10,21 @@ from tidemark.functions.numeric import fround
 from tidemark.operators import evaluation, recs
 from tidemark.plans import views
 from tidemark.functions.hashing import md5_mod_sql
-from tidemark.plans.scale import topn_per
+from tidemark.plans.scale import topn_per, written
 from tidemark.registry import query
 from tidemark.registry import sqlviews as V
 
 
+def _plays(spark, d):
+    """The plays as a table, for queries that read them several times: orders and lines are joined once."""
+    return written(views.plays(spark, d))
+
+
 def itemcf_eval(spark, d):
     """Flagship: train plays -> item CF similarity -> top-50 recommendations ->
     P/R/NDCG at 10, 20, 50 against each user's held-out last order."""
     train, truth = views.train_truth(spark, d)
+    train = written(train)
     sim = recs.itemcf_fit(train, n=20)
     top = recs.itemcf_recommend(sim, train, k=50)
     m = evaluation.ranking_metrics(top, truth, ks=(10, 20, 50))
@@ -44,14 +50,14 @@ query("itemcf_eval", ITEMCF_EVAL_SQL)(itemcf_eval)
 @query("itemcf_similarity", f"""WITH {V.PLAYS}, {V.itemcf_sim("plays", 20)}
 SELECT item_id, similar_id, round(sim, 6) AS sim, rank FROM simtop""")
 def itemcf_similarity(spark, d):
-    sim = recs.itemcf_fit(views.plays(spark, d), n=20)
+    sim = recs.itemcf_fit(_plays(spark, d), n=20)
     return sim.select("item_id", "similar_id", fround("sim", 6).alias("sim"), "rank")
 
 
 @query("itemcf_recommend", f"""WITH {V.PLAYS}, {V.itemcf_sim("plays", 20)}, {V.itemcf_recs("plays", 10)}
 SELECT user_id, item_id, round(score, 6) AS score, rank FROM recs""")
 def itemcf_recommend(spark, d):
-    p = views.plays(spark, d)
+    p = _plays(spark, d)
     top = recs.itemcf_recommend(recs.itemcf_fit(p, n=20), p, k=10)
     return top.select("user_id", "item_id", fround("score", 6).alias("score"), "rank")
 
@@ -110,8 +116,8 @@ def hot_items_by_genre(spark, d):
     return recs.hot_items(views.plays(spark, d), views.items(spark, d), k=10, by="genre")
 
 
-def _user_genres(spark, d, n):
-    p = views.plays(spark, d)
+def _user_genres(spark, d, n, p=None):
+    p = _plays(spark, d) if p is None else p
     it = views.items(spark, d).select("item_id", F.array("genre").alias("tags"))
     return recs.user_tag_affinity(p, it, n).select(
         "user_id", F.col("tag").alias("genre"), F.col("rank").alias("genre_pos")
@@ -140,19 +146,20 @@ SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY genre_pos, genre_rank) AS pos FROM picks)
 WHERE pos <= 10""")
 def genre_quota(spark, d):
-    hot = recs.hot_items(views.plays(spark, d), views.items(spark, d), k=10, by="genre")  # a quota is 10 at most
-    return recs.genre_quota(_user_genres(spark, d, 3), hot, 10)
+    p = _plays(spark, d)
+    hot = recs.hot_items(p, views.items(spark, d), k=10, by="genre")  # a quota is 10 at most
+    return recs.genre_quota(_user_genres(spark, d, 3, p), hot, 10)
 
 
 def _blended(spark, d):
-    p = views.plays(spark, d)
+    p = _plays(spark, d)
     it = views.items(spark, d)
     cf = recs.itemcf_recommend(recs.itemcf_fit(p, n=20), p, k=200)
     hot_genre = recs.hot_items(p, it, k=100, by="genre")
-    gmax = hot_genre.groupBy("genre").agg(F.max("plays").alias("_m"))
+    hot_genre = hot_genre.withColumn("_m", F.max("plays").over(Window.partitionBy("genre")))  # 100 rows a genre
     content = (
-        _user_genres(spark, d, 1)
-        .join(hot_genre.join(gmax, "genre"), "genre")
+        _user_genres(spark, d, 1, p)
+        .join(hot_genre, "genre")
         .select("user_id", "item_id", (F.col("plays") / F.col("_m")).alias("score"))
     )
     hot = recs.hot_items(p, it, k=50)
@@ -184,7 +191,7 @@ SELECT (SELECT COUNT(DISTINCT item_id) FROM recs) AS n_recommended,
        (SELECT COUNT(DISTINCT p_partkey) FROM part) AS n_catalogue,
        round((SELECT COUNT(DISTINCT item_id) FROM recs) / (SELECT COUNT(DISTINCT p_partkey) FROM part), 6) AS coverage""")
 def coverage(spark, d):
-    p = views.plays(spark, d)
+    p = _plays(spark, d)
     top = recs.itemcf_recommend(recs.itemcf_fit(p, n=20), p, k=10)
     c = recs.coverage(top, views.items(spark, d))
     return c.withColumn("coverage", fround("coverage", 6))
@@ -197,7 +204,7 @@ BLACKLIST_BRAND = "Brand#13"
 SELECT user_id, item_id, rank FROM recs r
 WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = r.item_id AND p_brand = '{BLACKLIST_BRAND}')""")
 def drop_blacklisted(spark, d):
-    p = views.plays(spark, d)
+    p = _plays(spark, d)
     top = recs.itemcf_recommend(recs.itemcf_fit(p, n=20), p, k=30)
     bl = views.items(spark, d).filter(F.col("brand") == BLACKLIST_BRAND)
     return recs.drop_blacklisted(top, bl).select("user_id", "item_id", "rank")
@@ -216,7 +223,7 @@ SELECT user_id, item_id, 'organic' AS kind, CAST(rank + floor((rank - 1) / 10) A
 UNION ALL
 SELECT user_id, item_id, 'promo' AS kind, CAST(j * 11 AS BIGINT) AS pos FROM pc WHERE j <= slots""")
 def inject_promos(spark, d):
-    p = views.plays(spark, d)
+    p = _plays(spark, d)
     top = recs.itemcf_recommend(recs.itemcf_fit(p, n=20), p, k=30)
     promos = _promo_list(spark, d, 5)
     return recs.inject_promos(top, promos, every=10)
@@ -245,7 +252,7 @@ SELECT user_id, item_id, round(score, 6) AS score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rank FROM unseen)
 WHERE rank <= 10""")
 def usercf_recommend(spark, d):
-    p = views.plays(spark, d)
+    p = _plays(spark, d)
     top = recs.usercf_recommend(recs.usercf_fit(p, n=20), p, k=10)
     return top.select("user_id", "item_id", fround("score", 6).alias("score"), "rank")
 
@@ -261,7 +268,7 @@ SELECT item_id, user_id, round(score, 6) AS score, rank, 'similar' AS source FRO
 UNION ALL
 SELECT i.item_id, gt.user_id, round(gt.score, 6), gt.rank, 'genre' FROM items i JOIN gt ON gt.genre = i.genre""")
 def target_users(spark, d):
-    p = views.plays(spark, d)
+    p = _plays(spark, d)
     it = views.items(spark, d)
     t = recs.target_users(recs.itemcf_fit(p, n=20), p, it, 20)
     return t.withColumn("score", fround("score", 6))
@@ -293,7 +300,7 @@ g AS (SELECT r.user_id, i.genre, COUNT(*) AS c FROM recs r JOIN items i ON i.ite
 per AS (SELECT user_id, SUM(c) AS n, SUM(c * (c - 1) / 2) AS same FROM g GROUP BY 1)
 SELECT user_id, CAST(n AS BIGINT) AS n, round(CASE WHEN n > 1 THEN 1 - same / (n * (n - 1) / 2) END, 6) AS diversity FROM per""")
 def list_diversity(spark, d):
-    p = views.plays(spark, d)
+    p = _plays(spark, d)
     top = recs.itemcf_recommend(recs.itemcf_fit(p, n=20), p, k=10)
     return recs.list_diversity(top, views.items(spark, d)).withColumn("diversity", fround("diversity", 6))
 
@@ -302,7 +309,7 @@ def list_diversity(spark, d):
 def diversify(spark, d):
     """Rows-only (sequential greedy per list): top-30 item-CF lists re-ordered
     so that no more than 3 consecutive items share a genre."""
-    p = views.plays(spark, d)
+    p = _plays(spark, d)
     top = recs.itemcf_recommend(recs.itemcf_fit(p, n=20), p, k=30)
     return recs.diversify(top, views.items(spark, d), 3)
 
@@ -344,7 +351,7 @@ def route_scene(spark, d):
     scene gets the hot list at 0.1 for items absent from both."""
     from tidemark.functions.hashing import md5_mod
 
-    p = views.plays(spark, d)
+    p = _plays(spark, d)
     sim = recs.itemcf_fit(p, n=20)
     cf_all = recs.itemcf_recommend(sim, p, k=10)
     b = md5_mod(F.concat(F.lit("scene:"), F.col("user_id").cast("string")), 100)
