@@ -296,26 +296,16 @@ def build_samples(plays: DataFrame, catalogue: DataFrame, ratio: int = 1, seed:
     n_pos + n_neg consecutive positions after its start point - enough to
     skip its own plays - so work is linear in plays, with no user x item
     product.  Output (user_id, item_id, label)."""
-    from tidemark.plans.ordered import global_positions, with_positions
+    from tidemark.plans.ordered import global_positions, range_lookup, with_positions
 
     pos = plays.select("user_id", "item_id").distinct()
     cat = catalogue.select("item_id").distinct().withColumn("g", _u32(F.concat(F.lit(f"{seed}:"), F.col("item_id").cast("string"))))
     n_cat = cat.count()
     ranked = global_positions(cat, ["g", "item_id"], pos="p").select("item_id", "g", "p")
-    # start point: number of items with g < o(u), via 2^16 hash buckets (a
-    # dense bucket table, so every user bucket finds its prefix count)
-    spark = plays.sparkSession
-    counts = ranked.groupBy((F.col("g") / 65536).cast("bigint").alias("b")).agg(F.count(F.lit(1)).alias("c"))
-    dense = spark.range(65536).withColumnRenamed("id", "b").join(counts, "b", "left").fillna(0, ["c"])
-    run = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)  # 65536 rows
-    before = dense.select("b", F.coalesce(F.sum("c").over(run), F.lit(0)).alias("cb"))
+    # start point: the number of items with g < o(u), found by merging users and items in one order
     users = pos.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_pos")).withColumn(
-        "o", _u32(F.concat(F.lit(f"{seed}:"), F.col("user_id").cast("string")))).withColumn(
-        "b", (F.col("o") / 65536).cast("bigint"))
-    inb = users.join(ranked.withColumn("b", (F.col("g") / 65536).cast("bigint")), "b").filter(
-        F.col("g") < F.col("o")).groupBy("user_id").agg(F.count(F.lit(1)).alias("inb"))
-    start = users.join(before, "b").join(inb, "user_id", "left").select(
-        "user_id", "n_pos", (F.col("cb") + F.coalesce(F.col("inb"), F.lit(0))).alias("s"))
+        "o", _u32(F.concat(F.lit(f"{seed}:"), F.col("user_id").cast("string"))) - 0.5)
+    start = range_lookup(users, ranked, "o", "g", ["p"]).select("user_id", "n_pos", F.coalesce(F.col("p") + 1, F.lit(0)).alias("s"))
     start = start.withColumn("n_neg", F.least(F.col("n_pos") * ratio, F.lit(n_cat) - F.col("n_pos")))
     m = F.least(F.col("n_pos") + F.col("n_neg"), F.lit(n_cat))
     walk = start.filter(F.col("n_neg") > 0).select(

@@ -206,21 +206,15 @@ def ingest_files(spark, d):
     return out.select(pid.alias("page_id"), "url", "n_chars", "_error")
 
 
-# fixed values: files a class gives to each split
-CLASS_TRAIN, CLASS_TEST = 9_999, 10_000
-
-
-@query("read_class_dirs", f"""SELECT doc_id, lang AS label, CASE WHEN r <= {CLASS_TRAIN} THEN 'train' ELSE 'test' END AS split, n_chars
-FROM (SELECT doc_id, lang, CAST(length(text) AS BIGINT) AS n_chars,
-             row_number() OVER (PARTITION BY lang ORDER BY 'doc_id=' || doc_id || '/') AS r FROM documents)
-WHERE r <= {CLASS_TRAIN + CLASS_TEST}""")
+@query("read_class_dirs", f"""SELECT doc_id, lang AS label, CASE WHEN ({md5_mod_sql("'doc_id=' || CAST(doc_id AS VARCHAR)", 1000)}) < 800 THEN 'train' ELSE 'test' END AS split,
+  CAST(length(text) AS BIGINT) AS n_chars FROM documents""")
 def read_class_dirs(spark, d):
     """One text file per document under a folder per language, read back
-    with the label from the path and the first files of a class as train."""
+    with the label from the path; a hash of the document's folder splits."""
     path = _scratch(spark, d, "class_dirs")
     docs = views.table(spark, d, "documents").select("lang", "doc_id", F.col("text").alias("value"))
     docs.repartition("lang", "doc_id").write.mode("overwrite").partitionBy("lang", "doc_id").text(path)
-    got = readers.read_class_dirs(spark, path, CLASS_TRAIN, CLASS_TEST, label_at=-3)
+    got = readers.read_class_dirs(spark, path, label_at=-3, key_at=-2)
     return got.select(F.regexp_extract("path", "doc_id=([0-9]+)", 1).cast("bigint").alias("doc_id"),
                       F.regexp_replace("label", "^lang=", "").alias("label"), "split",
                       (F.length("text") - 1).cast("bigint").alias("n_chars"))  # the writer ends each text with \n
