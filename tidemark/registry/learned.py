@@ -14,6 +14,7 @@ from tidemark.operators import forest as R
 from tidemark.operators import clusters as Q
 from tidemark.operators import mixtures as G
 from tidemark.operators import text as X
+from tidemark.operators import topics as C
 from tidemark.operators import whiten as W
 from tidemark.plans import views
 from tidemark.plans.scale import written
@@ -295,3 +296,27 @@ def gap_statistic(spark, d):
     """E12 (rows-only): gap between the within sums of squares of k-means and of uniform reference data, k = 1 to 6."""
     points = written(_scaled_points(spark, d, DIMS).select("id", "vec"))
     return spark.createDataFrame(Q.gap(points, "id", "vec", range(1, 7), references=3), "k int, log_within double, reference double, gap double, error double, best boolean")
+
+
+# ------------------------------------------------------------ topics of users and items
+
+def _mixed(rows, key: str, words, k: int):
+    """key, topics: shares of a mixture of unigrams over an array of words, after five rounds from a start by hash."""
+    tf = rows.select(key, F.explode(words).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"))
+    start = G.unigram_start(rows, key, md5_mod(F.col(key).cast("string"), k), k)
+    out = G.unigram_mixture(tf, start, key, k, 5)
+    return out.select(key, F.array(*[F.col(f"g{i}") for i in range(k)]).alias("topics"))
+
+
+@query("topic_cold_start")
+def topic_cold_start(spark, d):
+    """M11 (rows-only): ten items for each customer, from the topics of the customer's own features and of the items' tags;
+    the preferences of user topics for item topics come from all plays."""
+    c = views.table(spark, d, "customer")
+    facts = F.array(F.concat(F.lit("nation:"), F.col("c_nationkey").cast("string")), F.concat(F.lit("segment:"), F.col("c_mktsegment")))
+    users = written(_mixed(c.select(F.col("c_custkey").alias("user_id"), facts.alias("facts")), "user_id", F.col("facts"), 4))
+    tags = views.item_tags(views.items(spark, d)).select("item_id", "tags")
+    items = written(_mixed(tags, "item_id", F.col("tags"), 6))
+    plays = views.plays(spark, d).select("user_id", "item_id", F.log1p("play_count").alias("w"))
+    liking = C.preferences(plays, users, items, 4, 6)
+    return C.cold_start(users, items, liking, 10).withColumn("score", fround("score", 9))
