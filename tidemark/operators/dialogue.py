@@ -321,3 +321,21 @@ def kg_answer(questions: DataFrame, text: str, templates: dict[str, str], triple
         subject = F.when(hit, F.lower(F.regexp_extract(text, pattern, 1))).otherwise(subject)
     facts = triples.select(F.lower("subject").alias("subject"), "predicate", F.col("object").alias("answer")).distinct()
     return questions.withColumns({"predicate": predicate, "subject": subject}).join(facts, ["subject", "predicate"], "left")
+
+
+def fill_slots(filled: DataFrame, key: str, order: str, slots: list[str], asks: str = "speaks", block_rows: int | None = None) -> DataFrame:
+    """The dialogue's slots after every turn: each slot keeps the last value that a turn gave it.
+
+    filled: key, order, `slots` (null where a turn says nothing) and `asks`, whether the turn may set slots.  Adds
+    n_filled, and complete once all slots have a value.  Runs over ordered blocks, so a long dialogue is split.
+    """
+    from tidemark.plans.ordered import DEFAULT_BLOCK_ROWS, running_agg, with_positions
+
+    t = filled.select(key, order, F.col(asks).alias("_may"), *slots)
+    p = with_positions(t, key, [order, *slots], keep_block=True, block_rows=block_rows or DEFAULT_BLOCK_ROWS)
+    for s in slots:
+        p = p.withColumn(f"_v_{s}", F.when(F.col("_may") & F.col(s).isNotNull(), F.struct("pos", F.col(s).alias("value")))).drop(s)
+        p = running_agg(p, key, f"_v_{s}", "max", f"_l_{s}")
+    out = p.select(key, order, *[F.col(f"_l_{s}")["value"].alias(s) for s in slots])
+    n = sum((F.col(s).isNotNull().cast("int") for s in slots[1:]), F.col(slots[0]).isNotNull().cast("int"))
+    return out.withColumn("n_filled", n).withColumn("complete", F.col("n_filled") == len(slots))

@@ -347,6 +347,22 @@ def intent_templates(spark, d):
     return D.match_intent(views.turns(spark, d), "text", INTENTS).select("conv_id", "turn", "intent", "slot_1", "slot_2")
 
 
+@query("slot_state", f"""WITH f AS ({_intent_sql()}),
+g AS (SELECT f.conv_id, f.turn, CASE WHEN c.role = 'user' AND intent IN ('place_time', 'place_only') THEN slot_1 END AS place,
+             CASE WHEN c.role = 'user' THEN CASE intent WHEN 'place_time' THEN slot_2 WHEN 'time_only' THEN slot_1 END END AS time
+      FROM f JOIN conversations c ON c.conv_id = f.conv_id AND c.turn = f.turn),
+s AS (SELECT conv_id, turn, last_value(place IGNORE NULLS) OVER w AS place, last_value(time IGNORE NULLS) OVER w AS time FROM g
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT *, (place IS NOT NULL)::INT + (time IS NOT NULL)::INT AS n_filled, place IS NOT NULL AND time IS NOT NULL AS complete FROM s""")
+def slot_state(spark, d):
+    """Place and time as the user's turns have filled them so far, by the templates above."""
+    found = D.match_intent(views.turns(spark, d), "text", INTENTS)
+    place = F.when(F.col("intent").isin("place_time", "place_only"), F.col("slot_1"))
+    time = F.when(F.col("intent") == "place_time", F.col("slot_2")).when(F.col("intent") == "time_only", F.col("slot_1"))
+    given = found.select("conv_id", "turn", (F.col("role") == "user").alias("speaks"), place.alias("place"), time.alias("time"))
+    return D.fill_slots(given, "conv_id", "turn", ["place", "time"])
+
+
 @query("expand_synonyms", f"""WITH syn(w, s, i) AS (VALUES {', '.join(f"('{w}', '{x}', {i + 1})" for w, s in SYNONYMS.items() for i, x in enumerate(s))}),
 t AS (SELECT conv_id, turn, {tok_sql('text')} AS toks FROM conversations),
 l AS (SELECT conv_id, turn, unnest(toks) AS w, unnest(range(1, len(toks) + 1)) AS pos FROM t),
