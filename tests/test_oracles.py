@@ -18,6 +18,8 @@ SAMPLE = [
     "info_gain", "gini_splits", "impute_stats", "class_report",
     "knn_exact", "lloyd_step", "vec_distances",
     "truncate_pair", "bm25_retrieve", "bleu", "passage_truth", "eval_sample",
+    "baum_welch_step", "hmm_posterior", "segment_turns", "gmm_step", "unigram_mixture", "mahalanobis", "whiten_columns",
+    "negative_draws", "cluster_indices", "slot_state", "build_samples", "read_class_dirs", "blend",
 ]
 
 NAMES = sorted(oracles()) if os.environ.get("TIDEMARK_ALL") else SAMPLE
