@@ -212,6 +212,29 @@ def qa_answer(spark, d):
     return a.select("qid", "item_id", fround("score", 6).alias("score"), "rank", "answered")
 
 
+@query("select_answers", f"""WITH {_bm25_sql(USER_Q_SQL)},
+kb AS (SELECT item_id, {tok_sql('text')} AS tokens FROM benchmark),
+near AS (
+  SELECT r.qid, r.item_id, len(list_intersect(list_distinct(u.tokens), kb.tokens)) / len(list_distinct(list_concat(u.tokens, kb.tokens))) AS score
+  FROM ranked r JOIN ({USER_Q_SQL}) u USING (qid) JOIN kb USING (item_id)),
+c AS (SELECT qid, item_id, 0.7 * score / (SELECT max(score) FROM ranked) AS s FROM ranked
+      UNION ALL SELECT qid, item_id, 0.3 * score / (SELECT max(score) FROM near) FROM near),
+f AS (SELECT qid, item_id, SUM(s) AS score, COUNT(*) AS sources FROM c GROUP BY 1, 2)
+SELECT qid, item_id, round(score, 6) AS score, sources FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, item_id) AS r FROM f) WHERE r = 1""")
+def select_answers(spark, d):
+    """The answer of each user turn by retrieval score and word overlap together."""
+    from tidemark.operators import evaluation as E
+    from tidemark.plans.scale import written
+
+    q, kb = _user_q(spark, d), _kb(spark, d)
+    found = written(D.bm25_search(q, "qid", "tokens", kb, "item_id", "tokens", TOP_K).select("qid", "item_id", "score"))
+    both = found.select("qid", "item_id").join(q, "qid").join(kb.withColumnRenamed("tokens", "kb_tokens"), "item_id")
+    near = both.select("qid", "item_id", F.lit("overlap").alias("source"), X.jaccard(F.col("tokens"), F.col("kb_tokens")).alias("score"))
+    out = E.select_answers(found.select("qid", "item_id", F.lit("search").alias("source"), "score").unionByName(near), "qid", "item_id", {"search": 0.7, "overlap": 0.3})
+    return out.withColumn("score", fround("score", 6))
+
+
 @query("bleu", f"""WITH {_bm25_sql(USER_Q_SQL)}, {PAIRS_SQL},
 bp AS (SELECT p.conv_id, p.turn, {tok_sql('p.answer')} AS label, {tok_sql('b.text')} AS pred
        FROM pairs p JOIN ranked r ON r.qid = p.conv_id * 1000 + p.turn AND r.rank = 1

@@ -11,6 +11,7 @@ from tidemark.operators import evaluation as E
 from tidemark.operators import features as X
 from tidemark.operators import trees as Tr
 from tidemark.plans import views
+from tidemark.plans.scale import written
 from tidemark.registry import query
 
 ATTRS = ["l_linestatus", "qty_band", "disc_band", "tax_band"]
@@ -430,10 +431,29 @@ def ensemble_vote(spark, d):
     """Majority vote of three predictors of l_returnflag - naive Bayes,
     the conditional-probability table on (line status, discount band) and
     the majority class of the quantity band; ties go to naive Bayes."""
+    return E.ensemble_vote(_three(spark, d), LINE)
+
+
+@query("ensemble_rules", f"""WITH {ENSEMBLE_SQL}
+SELECT l_orderkey, l_linenumber, COUNT(*) AS models, bool_and(prediction = 'N') AS accepted,
+       round(SUM((prediction = 'N')::INT * (4 - priority)) / SUM(4 - priority), 6) AS score FROM votes GROUP BY 1, 2""")
+def ensemble_rules(spark, d):
+    """One veto (all three must say N) and the mean of the three, weighted 3, 2 and 1."""
+    preds = written(_three(spark, d))
+    scores = preds.select(*LINE, (F.col("prediction") == "N").cast("double").alias("score"), (4 - F.col("priority")).cast("double").alias("weight"))
+    mean = E.weighted_mean(scores, LINE).withColumn("score", fround("score", 6))
+    return E.one_veto(preds, LINE, "N").join(mean, LINE)
+
+
+LINE = ["l_orderkey", "l_linenumber"]
+
+
+def _three(spark, d):
+    """The predictions of three models of l_returnflag, one row for each line and model."""
     from pyspark.sql import Window
 
     tab = _tab(spark, d)
-    key = ["l_orderkey", "l_linenumber"]
+    key = LINE
 
     def majority(by):
         c = tab.groupBy(*by, "l_returnflag").agg(F.count(F.lit(1)).alias("c"))
@@ -446,4 +466,4 @@ def ensemble_vote(spark, d):
         *key, "prediction", F.lit(1.0).alias("weight"), F.lit(2).alias("priority"))
     p3 = tab.join(majority(["qty_band"]), ["qty_band"]).select(
         *key, "prediction", F.lit(1.0).alias("weight"), F.lit(3).alias("priority"))
-    return E.ensemble_vote(nb.unionByName(p2).unionByName(p3), key)
+    return nb.unionByName(p2).unionByName(p3)
