@@ -36,7 +36,9 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_builds(spark):
-    """All registered queries (oracle or not) analyse without error."""
+    """All other registered queries (oracle or not) analyse without error."""
     for name, fn in queries().items():
+        if name in NAMES:
+            continue  # these have run above
         df = fn(spark, SMOKE)
         assert df.columns, name
