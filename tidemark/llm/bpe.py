@@ -33,7 +33,7 @@ from tidemark.llm.common import read, text_of
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: A block is closed at this many characters; the largest text may exceed it.
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 8 << 20
 #: From this length on, merges are found with a heap.
 LONG_WORD = 128
 
@@ -173,11 +173,13 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN)
                 yield pa.RecordBatch.from_arrays([pa.array(list(dealt), pa.int32()), pa.array([block] * len(dealt), pa.int64()), pa.array(dealt.values(), pa.binary())], names=["bucket", "block", "words"])
 
     def encoded(batches):
-        """The rows of a partition hold all uses of its pre-tokens; each is encoded once."""
-        table, done = ranks.value, {}
+        """The rows of a bucket hold all uses of its pre-tokens; each is encoded once and kept until the bucket ends."""
+        table, done, now = ranks.value, {}, None
         for batch in batches:
             lens, ids = [], []
-            for data in batch.column(2):
+            for bucket, data in zip(batch.column(0).to_pylist(), batch.column(2)):
+                if bucket != now:
+                    done, now = {}, bucket
                 mine = []
                 for w in _words_unpacked(data.as_py()):
                     got = done.get(w)
@@ -188,7 +190,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN)
                 ids.append(_packed(np.array([x for m in mine for x in m])))
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(0), pa.array(lens, pa.binary()), pa.array(ids, pa.binary())], names=["block", "bucket", "lens", "ids"])
 
-    spread = blocks.mapInArrow(words, "bucket int, block bigint, words binary").repartition(n, "bucket")
+    spread = blocks.mapInArrow(words, "bucket int, block bigint, words binary").repartition(n, "bucket").sortWithinPartitions("bucket")
     found = spread.mapInArrow(encoded, "block bigint, bucket int, lens binary, ids binary")
     kind = docs.schema["doc_id"].dataType
     arrow = to_arrow_type(kind)
