@@ -82,17 +82,3 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{spark.sparkContext.getCheckpointDir()}/tidemark-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def join_hot(rows: DataFrame, table: DataFrame, key: str, uses: str, hot: int = 1000) -> DataFrame:
-    """Inner join of `rows` with `table`, whose `key` is unique and whose `uses` says how many rows have the key.
-
-    Keys with over a `hot`-th of all rows are fewer than `hot`; their rows of `table` are broadcast, so that the rows
-    of a frequent key stay where they are.  `table` should be stored: it is read for the total and for both parts.
-    """
-    most = max(1000, (table.agg(F.sum(uses)).first()[0] or 0) // hot)
-    often = table.filter(F.col(uses) > most)
-    if often.isEmpty():
-        return rows.join(table, key)
-    rest = rows.join(F.broadcast(often.select(key)), key, "left_anti").join(table.filter(F.col(uses) <= most), key)
-    return rest.unionByName(rows.join(F.broadcast(often), key))

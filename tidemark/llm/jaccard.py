@@ -34,7 +34,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import join_hot, read, saved, stored, text_of
+from tidemark.llm.common import read, saved, stored, text_of
+from tidemark.plans.scale import join_hot
 
 GRAM = 5
 SIMILARITY = 0.8
