@@ -70,6 +70,14 @@ def test_similar_and_recommended_equal_brute_force(spark, monkeypatch, hot, bloc
     assert {(r["user_id"], r["item_id"]): (None if r["score"] is None else round(r["score"], 6), r["rank"]) for r in top.collect()} == _top({k: _sum(v) for k, v in scores.items()}, 3)
 
 
+def test_null_items_of_neighbours_are_candidates(spark):
+    plays = spark.createDataFrame([(1, 10, 3), (2, 10, 3), (2, None, 4), (2, 11, 1)], PLAYS)
+    near = spark.createDataFrame([(1, 2, 0.5)], "user_id long, neighbor_id long, sim double")
+    top = recs.usercf_recommend(near, plays, k=5)
+    assert [(r["user_id"], r["item_id"], round(r["score"], 6)) for r in top.orderBy("rank").collect()] == [
+        (1, None, round(0.5 * log1p(4), 6)), (1, 11, round(0.5 * log1p(1), 6))]
+
+
 def test_pairs_are_packed_once(spark):
     """No row for each pair of items is exchanged: plays go to their items with their users' packed lists."""
     plan = recs.itemcf_fit(_plays(spark)[1], n=4)._jdf.queryExecution().toString()
