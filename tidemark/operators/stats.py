@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.scale import written
+
 
 def beta_binomial_rate(df: DataFrame, by: str, success: str, a: float, b: float) -> DataFrame:
     """Posterior mean (k + a) / (n + a + b) of a 0/1 column per group."""
@@ -26,12 +28,14 @@ def dirichlet_shares(df: DataFrame, by: str, cat: str, alpha: float, k: int) ->
 def unigram_loglik(docs: DataFrame, tokens: str, key: str = "doc_id") -> DataFrame:
     """Sum over a document's tokens of ln(count(w) / total) under the
     corpus unigram model.  Term frequencies are reduced per (doc, token)
-    before the join to the corpus counts."""
+    before the join to the corpus counts.  The tokens are written, so that
+    they are made once."""
+    docs = written(docs.select(key, tokens))
     tf = docs.select(key, F.explode(tokens).alias("token")).groupBy(key, "token").agg(
         F.count(F.lit(1)).alias("tf")
     )
-    counts = tf.groupBy("token").agg(F.sum("tf").alias("count"))
-    total = counts.agg(F.sum("count")).first()[0] or 1
+    counts = docs.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
+    total = docs.filter(F.col(tokens).isNotNull()).agg(F.sum(F.size(tokens))).first()[0] or 1
     ll = tf.join(counts, "token").groupBy(key).agg(
         F.sum(F.col("tf") * F.log(F.col("count") / F.lit(float(total)))).alias("loglik")
     )
