@@ -65,3 +65,25 @@ def test_lines_are_split_before_their_words_are_spread(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == [("7", "a", 1), ("7", "b", 20), ("9", "c", 3)]
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "split(value" not in plan[: plan.index("Generate")]
+
+
+def _corpus(spark, folder):
+    rows = [(i, f"alpha beta {'gamma ' * (i % 3)}delta", "en" if i % 2 else "de", None if i == 3 else f"s{i % 2}") for i in range(12)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_queries_that_read_words_several_times_make_them_once(spark, tmp_path, monkeypatch):
+    from tidemark.registry import learned, models, textprep
+
+    d = _corpus(spark, tmp_path)
+    assert "regexp_replace" not in _plan(textprep.domain_similarity(spark, d))
+    assert "regexp_replace" not in _plan(models._docs_flagged(spark, d))
+    met = []
+    monkeypatch.setattr(learned.A, "sparse_blocks", lambda entries, *cols: met.append(entries))
+    learned._tfidf_blocks(spark, d)
+    assert "Join" not in _plan(met[0]) and met[0].columns == ["doc_id", "token", "tfidf"]

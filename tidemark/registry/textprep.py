@@ -15,6 +15,7 @@ from tidemark.operators import evaluation as E
 from tidemark.operators import stats
 from tidemark.operators import text as X
 from tidemark.plans import views
+from tidemark.plans.scale import written
 from tidemark.registry import query
 from tidemark.registry.dialogue import PAIRS_SQL, tok_sql
 from tidemark.registry.text import COUNTS, DOCS, TOK, _docs, _sql_window_pairs
@@ -230,9 +231,9 @@ def domain_similarity(spark, d):
     """Each source's term distribution against the whole corpus: cosine
     and KL(source || corpus) over shared terms."""
     docs = _docs(spark, d)
-    tf = docs.select("source", F.explode("tokens").alias("token")).groupBy("source", "token").agg(
-        F.count(F.lit(1)).alias("c"))
-    allc = X.token_counts(docs)
+    tf = written(docs.select("source", F.explode("tokens").alias("token")).groupBy("source", "token").agg(
+        F.count(F.lit(1)).alias("c")))
+    allc = tf.groupBy("token").agg(F.sum("c").alias("count"))  # the corpus is read once
     g = allc.agg(F.sum("count").alias("n"), F.sqrt(F.sum(F.col("count") * F.col("count"))).alias("norm")).first()
     st = tf.groupBy("source").agg(F.sum("c").alias("n"), F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("norm"))
     j = tf.join(allc, "token").join(st, "source")
