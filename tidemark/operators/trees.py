@@ -7,10 +7,13 @@ the small count tables: (attribute, value, label) for classification and
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import fround
+from tidemark.plans.ordered import join_on
 
 
 def unpivot(df: DataFrame, attrs: list[str], label: str, keep: list[str] | None = None) -> DataFrame:
@@ -165,31 +168,38 @@ def naive_bayes_predict(df: DataFrame, key: list[str], attrs: list[str], label:
                         alpha: float = 1.0) -> DataFrame:
     """Score every row: log prior + sum log likelihood per class; the
     prediction is the arg-max (ties: smallest label).  Unseen (attr, value,
-    class) cells get the smoothed zero-count likelihood."""
+    class) cells get the smoothed zero-count likelihood.
+
+    Log likelihoods are looked up once for each distinct combination of the
+    attributes, one column per class, and joined to the rows, which are
+    shuffled once, by their key; rows that share a key are scored together.
+    The counts are read several times."""
     lik = naive_bayes_counts(counts, alpha)
-    n_c = counts.filter(F.col("attr") == attrs[0]).groupBy("label").agg(F.sum("c").alias("n_c"))
-    n = n_c.agg(F.sum("n_c")).first()[0]
-    prior = n_c.select(F.col("label").alias("cls"), F.log(F.col("n_c") / F.lit(float(n))).alias("lp"), "n_c")
+    n_c = counts.filter(F.col("attr") == attrs[0]).groupBy("label").agg(F.sum("c").alias("n_c")).collect()  # label alphabet (small)
+    n = float(sum(r["n_c"] for r in n_c))
+    prior = sorted((r["label"], math.log(r["n_c"] / n)) for r in n_c if r["label"] is not None)
     k = counts.groupBy("attr").agg(F.countDistinct("value").alias("k"))
-    classes = [r["cls"] for r in prior.orderBy("cls").collect()]  # label alphabet (small)
-    rows = unpivot(df.select(*key, *attrs, label), attrs, label, keep=key).withColumnRenamed("label", "_y")
-    # each row against each class: the class alphabet is a literal array
-    cand = rows.select(*key, "attr", "value", F.explode(F.array(*[F.lit(c) for c in classes])).alias("cls"))
+    rows = df.select(*key, *attrs, F.col(label).alias("label")).dropna(subset=key)
+    if not prior:
+        return rows.select(*key, F.col("label").alias("prediction"), F.lit(None).cast("double").alias("score"), "label").limit(0)
+    kinds = rows.select(*attrs).distinct()
+    # each combination against each class: the class alphabet is a literal array
+    cand = unpivot(kinds, attrs, attrs[0], keep=attrs).drop("label").withColumn("cls", F.explode(F.array(*[F.lit(c) for c, _ in prior])))
     scored = (
         cand.join(lik.select("attr", "value", F.col("label").alias("cls"), "likelihood"), ["attr", "value", "cls"], "left")
         .join(counts.groupBy("attr", F.col("label").alias("cls")).agg(F.sum("c").alias("n_ac")), ["attr", "cls"])
         .join(k, "attr")
-        .select(*key, "cls",
+        .select(*attrs, "cls",
                 F.log(F.coalesce(F.col("likelihood"), F.lit(alpha) / (F.col("n_ac") + alpha * F.col("k")))).alias("ll"))
-        .groupBy(*key, "cls").agg(F.sum("ll").alias("ll"))
-        .join(prior.select("cls", "lp"), "cls")
-        .select(*key, "cls", (F.col("ll") + F.col("lp")).alias("score"))
-    )
-    w = Window.partitionBy(*key).orderBy(fround("score", 9).desc(), F.col("cls"))
-    top = scored.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1)
-    return top.select(*key, F.col("cls").alias("prediction"), "score").join(
-        df.select(*key, F.col(label).alias("label")), key
     )
+    lls = [f"_ll{i}" for i in range(len(prior))]
+    wide = scored.groupBy(*attrs).agg(*[F.sum(F.when(F.col("cls") == c, F.col("ll"))).alias(x) for x, (c, _) in zip(lls, prior)])
+    rows = join_on(rows, wide, attrs).select(*key, "label", *lls)
+    w = Window.partitionBy(*key)
+    totals = [F.sum(x).over(w) + F.lit(lp) for x, (_, lp) in zip(lls, prior)]
+    best = F.array_min(F.array(*[F.struct((-fround(t, 9)).alias("r"), F.lit(c).alias("cls"), t.alias("score")) for t, (c, _) in zip(totals, prior)]))
+    return rows.select(*key, "label", best.alias("_b")).select(
+        *key, F.col("_b.cls").alias("prediction"), F.col("_b.score").alias("score"), "label")
 
 
 def cpt(df: DataFrame, child: str, parents: list[str]) -> DataFrame:
