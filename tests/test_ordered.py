@@ -21,3 +21,33 @@ def test_dense_index_joins_nothing(spark):
     assert [(r["id"], r["idx"]) for r in df.orderBy("id").collect()] == [(5 * i, i) for i in range(100)]
     assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
     assert dense_index(spark.range(0), "id").count() == 0
+
+
+def test_returns_of_odd_sequences_pass_as_batches(spark):
+    """Hot, missing and short users, missing rewards, blocks of few rows and batches that end inside a block."""
+    import random
+
+    from tidemark.operators import sequence
+    from tidemark.plans.ordered import with_positions
+
+    rnd = random.Random(5)
+    users = [None] * 9 + [7] * 150 + [u for u in range(20, 60) for _ in range(rnd.randrange(1, 4))]
+    rows = [(u, i, None if i % 41 == 0 else float(rnd.randrange(-5, 6))) for i, u in enumerate(users)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        seq = with_positions(spark.createDataFrame(rows, "user_id long, event_id long, reward double"), "user_id", ["event_id"],
+                             block_rows=20, keep_block=True)
+        out = sequence.discounted_return(seq, 0.9)
+        got = {(r["user_id"], r["pos"]): None if r["ret"] is None else round(r["ret"], 6) for r in out.collect()}
+        plan = out._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {}
+    for u in {u for u, _, _ in rows}:
+        r, mine = 0.0, [x for v, _, x in rows if v == u]
+        for pos in range(len(mine), 0, -1):
+            r = None if r is None or mine[pos - 1] is None else mine[pos - 1] + 0.9 * r
+            want[u, pos] = None if r is None else round(r, 6)
+    assert got == want
+    # no user is a pandas group of its own unless a partition's end cuts it
+    assert plan.count("MapInArrow") >= 1 and "FlatMapGroupsInPandas user_id" not in plan.split("Broadcast")[0]

@@ -14,8 +14,10 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidemark.plans.ordered import DEFAULT_BLOCK_ROWS, join_on, lag_join, trailing_agg, with_positions
 from tidemark.plans.scale import cut_lineage
@@ -156,17 +158,25 @@ def supervised_windows(seq: DataFrame, h: int, f: int, key: str = "user_id", ite
 
 # ------------------------------------------------------------ blocked scans
 
-def _local_returns(gamma: float):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        r = pdf["reward"].to_numpy(dtype=float)
-        out = np.empty_like(r)
-        acc = 0.0
-        for i in range(len(r) - 1, -1, -1):
-            acc = r[i] + gamma * acc
-            out[i] = acc
-        return pd.DataFrame({"user_id": pdf["user_id"].to_numpy(), "pos": pdf["pos"].to_numpy(),
-                             "_blk": pdf["_blk"].to_numpy(), "_local": out})
+def _local_returns(gamma: float, names: list[str]):
+    """Rows sorted by block and falling position: the return inside the block; one value goes on to the next batch."""
+    def fn(batches):
+        last, acc = None, 0.0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            user, blk = b.column(names.index("user_id")), b.column(names.index("_blk"))
+            none = user.is_null().to_numpy(zero_copy_only=False)
+            u, k = user.fill_null(0).to_numpy(), blk.to_numpy()
+            first = np.r_[(bool(none[0]), u[0], k[0]) != last, (none[1:] != none[:-1]) | (u[1:] != u[:-1]) | (k[1:] != k[:-1])]
+            r = b.column(names.index("reward")).cast(pa.float64()).to_numpy(zero_copy_only=False)
+            out = np.empty_like(r)
+            # one sum after the other: doubled sums would round otherwise than the recurrence
+            for i, (x, new) in enumerate(zip(r.tolist(), first.tolist())):
+                acc = x + gamma * (0.0 if new else acc)
+                out[i] = acc
+            last = (bool(none[-1]), u[-1], k[-1])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.float64(), mask=np.isnan(out))], names=[*names, "_local"])
     return fn
 
 
@@ -187,24 +197,31 @@ def _block_carry(gamma: float):
 def discounted_return(seq_blocked: DataFrame, gamma: float) -> DataFrame:
     """R_t = r_t + gamma * R_(t+1) per sequence.
 
-    Input must carry `_blk` (with_positions(keep_block=True)).  Each block
-    computes its local suffix recurrence; a per-user pass over the block
-    summaries (one row per block) yields the return entering from the next
-    block, and R_t = local_t + gamma^(block_end - t + 1) * carry."""
-    local = seq_blocked.select("user_id", "pos", "_blk", "reward").groupBy("user_id", "_blk").applyInPandas(
-        _local_returns(gamma), "user_id long, pos long, _blk int, _local double"
-    )
-    summ = local.groupBy("user_id", "_blk").agg(
+    Input must carry `n` and `_blk` (with_positions(keep_block=True)).  Rows
+    are dealt by block and pass in falling order as Arrow batches, which
+    compute the local suffix recurrence of all their blocks at once; of
+    sequences of several blocks a per-user pass over the block summaries (one
+    row per block) yields the return entering from the next block, and
+    R_t = local_t + gamma^(block_end - t + 1) * carry."""
+    names = seq_blocked.columns
+    dealt = seq_blocked.repartition("user_id", "_blk").sortWithinPartitions("user_id", "_blk", F.col("pos").desc())
+    schema = StructType([*seq_blocked.schema.fields, StructField("_local", DoubleType())])
+    local = dealt.mapInArrow(_local_returns(gamma, names), schema)
+    # only sequences of several blocks, which are cut by partitions' ends, have a return to carry
+    cut = local.groupBy("user_id", "_blk").agg(
         F.min_by("_local", "pos").alias("_first"),
         F.count(F.lit(1)).alias("_len"),
         F.max("pos").alias("_end"),
-    )
-    carry = summ.select("user_id", "_blk", "_first", "_len").groupBy("user_id").applyInPandas(
+        F.max("n").alias("_n"),
+    ).filter(F.col("_len") < F.col("_n"))
+    carry = cut.select("user_id", "_blk", "_first", "_len").groupBy("user_id").applyInPandas(
         _block_carry(gamma), "user_id long, _blk int, _carry double"
     )
-    j = join_on(join_on(local, summ.select("user_id", "_blk", "_end"), ["user_id", "_blk"]), carry, ["user_id", "_blk"])
+    # at most two sequences a partition are cut, and their blocks are no more than the partitions
+    ends = F.broadcast(join_on(carry, cut.select("user_id", "_blk", "_end"), ["user_id", "_blk"]))
     ret = F.col("_local") + F.pow(F.lit(gamma), F.col("_end") - F.col("pos") + 1) * F.col("_carry")
-    return join_on(seq_blocked.drop("_blk"), j.select("user_id", "pos", ret.alias("ret")), ["user_id", "pos"])
+    whole = join_on(local, ends, ["user_id", "_blk"], "left").withColumn("ret", F.when(F.col("_end").isNull(), F.col("_local")).otherwise(ret))
+    return whole.drop("_blk", "_local", "_carry", "_end")
 
 
 # ------------------------------------------------------------ HMM decoding
