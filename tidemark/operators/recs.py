@@ -17,6 +17,8 @@ from tidemark.operators import sums
 from tidemark.plans.scale import DEFAULT_BLOCK, topn_per, written
 
 RANK_DIGITS = 9
+#: Plays whose tags one task adds up.
+TAGGED = 250_000
 
 
 def log_weight(plays: DataFrame, count_col: str = "play_count") -> DataFrame:
@@ -76,18 +78,25 @@ def user_stats(plays: DataFrame) -> DataFrame:
     )
 
 
-def join_tags(plays: DataFrame, tagged_items: DataFrame) -> DataFrame:
+def join_tags(plays: DataFrame, tagged_items: DataFrame, parts: int | None = None) -> DataFrame:
     """Left join plays to item tags and explode; a missing or empty tag
-    list yields one row with a null tag."""
-    return plays.join(tagged_items.select("item_id", "tags"), "item_id", "left").select(
-        "user_id", "item_id", "play_count", F.explode_outer("tags").alias("tag")
-    )
+    list yields one row with a null tag.  With `parts` the joined plays are
+    dealt to so many tasks before they are exploded."""
+    tagged = plays.join(tagged_items.select("item_id", "tags"), "item_id", "left")
+    if parts:
+        tagged = tagged.repartition(parts, "user_id", "item_id")
+    return tagged.select("user_id", "item_id", "play_count", F.explode_outer("tags").alias("tag"))
 
 
 def user_tag_affinity(plays: DataFrame, tagged_items: DataFrame, n: int = 5) -> DataFrame:
-    """A2 + W1: affinity(u, tag) = sum ln(1+count); top n tags per user."""
+    """A2 + W1: affinity(u, tag) = sum ln(1+count); top n tags per user.
+
+    A play becomes a row per tag, so tasks of a fixed size in bytes would hold
+    many times as many sums: the plays are counted and dealt by user and item,
+    `TAGGED` to a task, so that neither a hot user nor a hot item fills one."""
+    parts = max(int(plays.sparkSession.conf.get("spark.sql.shuffle.partitions")), plays.count() // TAGGED + 1)
     aff = (
-        join_tags(plays, tagged_items)
+        join_tags(plays, tagged_items, parts)
         .groupBy("user_id", "tag")
         .agg(F.sum(F.log1p("play_count")).alias("affinity"))
     )

@@ -97,7 +97,7 @@ SELECT user_id, tag, round(affinity, 6) AS affinity, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(affinity, 9) DESC, tag) AS rank
   FROM aff) WHERE rank <= 5""")
 def user_tag_top5(spark, d):
-    a = recs.user_tag_affinity(views.plays(spark, d), views.item_tags(views.items(spark, d)), 5)
+    a = recs.user_tag_affinity(_plays(spark, d), views.item_tags(views.items(spark, d)), 5)
     return a.withColumn("affinity", fround("affinity", 6))
 
 
