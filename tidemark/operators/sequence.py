@@ -15,12 +15,13 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidemark.plans.ordered import DEFAULT_BLOCK_ROWS, join_on, lag_join, trailing_agg, with_positions
-from tidemark.plans.scale import cut_lineage
+from tidemark.plans.scale import cut_lineage, written
 
 START, END = "START", "END"
 
@@ -353,11 +354,82 @@ def _decode_block(tab: HmmTables):
     return fn
 
 
+def _decoded(tab: HmmTables, start: np.ndarray, size: np.ndarray, E: np.ndarray):
+    """States of all rows and score of each run of rows, step by step for all runs at once.
+
+    Each step adds in the order of `_block_products` (v, scores) and of `_decode_block` (d, back-pointers)."""
+    order = np.argsort(-size, kind="stable")
+    start, size = start[order], size[order]
+    back = np.zeros(E.shape, np.int32)
+    v = tab.pi + E[start]
+    d = v.copy()
+    for t in range(1, int(size[0])):
+        on = int(np.searchsorted(-size, -t, "left"))  # runs of more than t rows come first
+        e = E[start[:on] + t]
+        v[:on] = np.max(v[:on, :, None] + (tab.A[None] + e[:, None, :]), axis=1)
+        x = d[:on, :, None] + tab.A[None]
+        best = np.argmax(x, axis=1)
+        back[start[:on] + t] = best
+        d[:on] = np.take_along_axis(x, best[:, None, :], 1)[:, 0] + e
+    final = v + tab.end
+    state = np.argmax(final, axis=1)
+    score = np.empty(len(size))
+    score[order] = final[np.arange(len(size)), state]
+    path = np.zeros(len(E), np.int64)
+    for t in range(int(size[0]) - 1, -1, -1):
+        on = int(np.searchsorted(-size, -t, "left"))
+        path[start[:on] + t] = state[:on]
+        state[:on] = back[start[:on] + t, state[:on]]
+    return path, score
+
+
+def _decode_whole(tab: HmmTables):
+    """Rows sorted by user and position, whole sequences only; the last one of a batch waits for the next batch."""
+    names = np.array(tab.states, dtype=object)
+    table = np.vstack([tab.B.T, np.full(len(tab.states), -np.inf)])
+
+    def told(parts):
+        t = pa.Table.from_batches(parts).combine_chunks()
+        pos = t.column("pos").to_numpy()
+        start = np.flatnonzero(pos == 1)
+        size = np.diff(np.r_[start, len(pos)])
+        at = pc.fill_null(pc.index_in(t.column("obs"), value_set=pa.array(tab.obs, pa.string())), len(tab.obs)).to_numpy()
+        path, score = _decoded(tab, start, size, table[at])
+        return pa.RecordBatch.from_arrays([t.column("user_id").combine_chunks(), t.column("pos").combine_chunks(), pa.array(names[path], pa.string()),
+                                           pa.array(np.repeat(score, size), pa.float64())], names=["user_id", "pos", "decoded", "score"])
+
+    def fn(batches):
+        waits = []
+        for b in batches:
+            begins = np.flatnonzero(b.column("pos").to_numpy() == 1)
+            if len(begins):
+                cut = int(begins[-1])
+                done = [x for x in [*waits, b.slice(0, cut)] if x.num_rows]
+                if done:
+                    yield told(done)
+                waits = []
+                b = b.slice(cut)
+            waits.append(b)
+        if any(x.num_rows for x in waits):
+            yield told(waits)
+    return fn
+
+
 def viterbi(seq_blocked: DataFrame, tab: HmmTables) -> DataFrame:
     """Most likely state path per sequence with back-pointers and the END
     step; log space, unseen = -inf (no smoothing), ties to the first state in
-    sorted order.  Input needs `_blk` (with_positions(keep_block=True))."""
-    base = seq_blocked.select("user_id", "_blk", "pos", "obs")
+    sorted order.  Input needs `n` and `_blk` (with_positions(keep_block=True)).
+
+    Sequences inside one block are decoded where they are, all of an Arrow
+    batch at once; those of several blocks (at most two a partition are cut)
+    are stitched from their blocks."""
+    base = seq_blocked.select("user_id", "_blk", "pos", "obs", "n")
+    blocks = base.groupBy("user_id", "_blk").agg(F.count(F.lit(1)).alias("_len"), F.max("n").alias("_n"))
+    cut = F.broadcast(written(blocks.filter(F.col("_len") < F.col("_n")).select("user_id", "_blk")))
+    whole = join_on(base, cut, ["user_id", "_blk"], "left_anti").select("user_id", "pos", "obs")
+    whole = whole.repartition("user_id").sortWithinPartitions("user_id", "pos").mapInArrow(
+        _decode_whole(tab), "user_id long, pos long, decoded string, score double")
+    base = join_on(base, cut, ["user_id", "_blk"]).drop("n")
     prods = base.groupBy("user_id", "_blk").applyInPandas(
         _block_products(tab, "max"), "user_id long, _blk int, _first boolean, _P array<double>"
     )
@@ -366,7 +438,7 @@ def viterbi(seq_blocked: DataFrame, tab: HmmTables) -> DataFrame:
     )
     j = join_on(base, exits.select("user_id", "_blk", "_exit", "_enter"), ["user_id", "_blk"])
     dec = j.groupBy("user_id", "_blk").applyInPandas(_decode_block(tab), "user_id long, pos long, decoded string")
-    return join_on(dec, exits.select("user_id", "score").distinct(), ["user_id"])
+    return whole.unionByName(join_on(dec, exits.select("user_id", "score").distinct(), ["user_id"]))
 
 
 def hmm_forward(seq_blocked: DataFrame, tab: HmmTables) -> DataFrame:
