@@ -3,9 +3,9 @@
 Sequences are (key, pos) rows with dense positions from
 `tidemark.plans.ordered.with_positions`; look-backs are equi-joins on
 (key, pos - k).  Sequential recurrences (Viterbi, forward probability,
-discounted return) run per ordered block of bounded size in
-`applyInPandas`, and blocks are stitched through their one-row-per-block
-summaries, so a hot key never lands in one task.
+discounted return) run per ordered block of bounded size, as sorted Arrow
+batches or in `applyInPandas`, and blocks are stitched through their
+one-row-per-block summaries, so a hot key never lands in one task.
 """
 
 from __future__ import annotations
