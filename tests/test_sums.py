@@ -82,3 +82,39 @@ def test_pairs_are_packed_once(spark):
     """No row for each pair of items is exchanged: plays go to their items with their users' packed lists."""
     plan = recs.itemcf_fit(_plays(spark)[1], n=4)._jdf.queryExecution().toString()
     assert "MapInArrow" in plan and "a_item_id" not in plan
+
+
+@pytest.mark.parametrize("piece", [1 << 20, 40])
+def test_rough_lists_leave_the_exact_best(spark, monkeypatch, piece):
+    """Users get lists with rough values; what is near the n-th best is added up exactly, whatever sign, size or gaps."""
+    monkeypatch.setattr(sums, "SLICE", piece)
+    rnd = random.Random(5)
+    value = lambda: rnd.choice([None, 0.0, 1e-50, rnd.gauss(0, 1) * 10 ** rnd.randrange(-6, 7), 1 + rnd.random() / 1000])
+    near = {v: [(o, value()) for o in rnd.sample([None, -(1 << 62), 1 << 60, *range(-20, 20)], 9)] for v in range(30)}
+    edges = [(k, v, rnd.choice([None, -1.5, 0.0, rnd.random()])) for k in [None, *range(25)] for v in rnd.sample(range(34), 6)] + [(3, None, 1.0), (4, 2, 1.0), (4, 2, 0.5)]
+    held = sums.lists(spark.createDataFrame([(v, o, x) for v, of in near.items() for o, x in of], "via long, other long, x double"), "via", "other", ["x"], 4)
+    best = sums.best_sums(spark.createDataFrame(edges, "key long, via long, w double"), held, 5, own=True)
+    want = {}
+    for k, v, w in edges:
+        for o, x in near.get(v, []):
+            if k is None or o is None or not any(e[0] == k and e[1] == o for e in edges):
+                want.setdefault((k, o), []).append(_mul(w, x))
+    want = {k: _sum(v) for k, v in want.items()}
+    got = {(r["key"], r["other"]): r["score"] for r in best.collect()}
+    assert all(got[k] == pytest.approx(want[k], rel=1e-9, abs=1e-12) if want[k] is not None else got[k] is None for k in got)
+    for key in {k for k, _ in want}:
+        mine = sorted((s for (k, _), s in want.items() if k == key), key=lambda s: -float("inf") if s is None else s, reverse=True)[:5]
+        found = sorted((s for (k, _), s in got.items() if k == key), key=lambda s: -float("inf") if s is None else s, reverse=True)[:5]
+        assert found == [None if s is None else pytest.approx(s, rel=1e-9, abs=1e-12) for s in mine]
+
+
+def test_lists_go_out_in_few_bytes(spark):
+    held = spark.range(50).selectExpr("id AS via", "transform(sequence(0, 19), x -> named_struct('other', id * 977 + x * 50021, 'x', 1.0D / (1 + x + id))) AS list")
+    rough = held.mapInArrow(sums._rough_lists("other", 0, 1_200_000), "via long, data binary")
+    assert rough.selectExpr("max(length(data))").first()[0] <= 1 + 20 * (3 + 2)
+    sim = spark.createDataFrame([(1, 2, 0.5), (2, 3, 0.25)], "item_id long, similar_id long, sim double")
+    plays = spark.createDataFrame([(1, 1, 3), (1, 2, 3), (2, 2, 1)], PLAYS)
+    plan = recs.itemcf_recommend(sim, plays, k=5)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    dealt = [lines[i + 1] for i, line in enumerate(lines) if "RepartitionByExpression [key" in line]
+    assert dealt and all("data#" in line and "list#" not in line for line in dealt)
