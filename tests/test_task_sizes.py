@@ -34,3 +34,16 @@ def test_factor_model_lets_go_of_shuffle_files(spark, monkeypatch):
     _, model = models.als_recommend(plays, k=1, rank=2, max_iter=2)
     assert model.userFactors.count() == 6
     assert asked[0]["checkpointInterval"] == 1 and kept == [1]
+
+
+def test_words_of_texts_are_written_once_and_dealt(spark, monkeypatch):
+    monkeypatch.setattr(models, "WORDS", 40)
+    docs = spark.createDataFrame([(i, ["w%d" % (j % 9) for j in range(i % 3 * 5)] + ["a%d" % (i % 4)]) for i in range(60)], "doc_id long, tokens array<string>").coalesce(1)
+    dealt = models._dealt_words(docs, "tokens")
+    sizes = [sum(len(r["tokens"]) for r in part) for part in dealt.rdd.glom().collect()]
+    assert sorted(r["tokens"] for r in dealt.collect()) == sorted(r["tokens"] for r in docs.collect())
+    assert len(sizes) == sum(sizes) // 40 + 1 and max(sizes) <= 80
+    kept, written = [], models.written
+    monkeypatch.setattr(models, "written", lambda df: kept.append(1) or written(df))
+    sizes, terms = models.kmeans_text(docs, "tokens", k=2, top=3)
+    assert sum(r["n"] for r in sizes.collect()) == 60 and len(kept) == 2 and terms.count() > 0
