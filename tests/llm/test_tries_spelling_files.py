@@ -222,3 +222,10 @@ def test_large_group_of_near_copies(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = jaccard.classes(df).collect()
     assert {(r["class_id"], r["n_links"]) for r in got} == {(0, len(texts) - 1)}
+
+
+def test_spelling_broadcasts_nothing(spark):
+    words = spelling.stored(spark.createDataFrame([(f"tidemark{i}", 2 + i) for i in range(50)], "word string, n bigint"))
+    docs = spark.createDataFrame([("a", "benchmark benchmark benchmarks benchmarks")], "doc_id string, text string")
+    for df in (spelling.near_pairs(words), spelling.variants(docs)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()

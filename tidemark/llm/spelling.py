@@ -13,6 +13,9 @@ quarters of their letters, and each pair is verified by its exact distance.
 A word's form is its near word of most occurrences, if it occurs ten times as often; the root follows forms to the
 last.  Occurrences grow tenfold with each step, so the pointer jumping ends after a few rounds.
 
+All joins are sort-merge joins by a hint: both sides grow with the texts, but Spark sizes a compressed table by its file
+and keeps that size through an explode, so it would broadcast keys that are many times larger.
+
 Cases: null texts have no words; a null id counts as an empty one; repeated rows count as often as they come; ties of
 forms go to the smallest word in code-point order; an empty table gives no rows; other columns are ignored; a word may
 be as long as a text, since keys are hashes and a word's rows are twelve.
@@ -74,7 +77,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     chunks = words.select(F.col("word").alias("a"), F.col("n").alias("an"), F.explode(_keys(F.col("word"), length, False)).alias("key"))
     as_long = chunks.select(F.col("a").alias("b"), F.col("an").alias("bn"), "key", F.lit(False).alias("longer"))
     longer = words.select(F.col("word").alias("b"), F.col("n").alias("bn"), F.explode(_keys(F.col("word"), length - 1, True)).alias("key"), F.lit(True).alias("longer"))
-    met = chunks.join(as_long.unionByName(longer), "key").filter(F.col("longer") | (F.col("a") < F.col("b")))
+    met = chunks.join(as_long.unionByName(longer).hint("merge"), "key").filter(F.col("longer") | (F.col("a") < F.col("b")))
     return met.filter(F.levenshtein("a", "b", 1) == 1).select("a", "an", "b", "bn").distinct()
 
 
@@ -83,7 +86,7 @@ def roots(forms: DataFrame) -> DataFrame:
     now = saved(forms.select("word", F.col("form").alias("root")))
     while True:
         told = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        step = saved(now.join(told, "root", "left"))
+        step = saved(now.join(told.hint("merge"), "root", "left"))
         now = step.select("word", F.coalesce("next", "root").alias("root"))
         if step.filter(F.col("next").isNotNull()).isEmpty():
             return now
@@ -97,11 +100,11 @@ def variants(docs: DataFrame) -> DataFrame:
     both = both.unionByName(pairs.select(F.col("b").alias("word"), F.col("a").alias("other"), F.col("an").alias("m")))
     best = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("m")).alias("m"), "other")).alias("best"))
     is_form = -F.col("best.m") >= RATIO * F.col("n")
-    known = stored(words.join(best, "word", "left").select(
+    known = stored(words.join(best.hint("merge"), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(is_form, F.col("best.other")).alias("form"),
         F.when(is_form, -F.col("best.m")).alias("form_n")))
     ends = roots(known.filter(F.col("form").isNotNull()).select("word", "form"))
-    return known.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return known.join(ends.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def op12_spelling_variants(spark, sf_dir: str) -> DataFrame:
