@@ -293,11 +293,13 @@ def wordpiece(spark, d):
     must re-assemble from its pieces unless it is [UNK] (asserted)."""
     from tidemark.functions.wordpiece import UNK, basic_pretokenize
 
-    docs = views.corpus(spark, d).select("doc_id", basic_pretokenize(F.col("text")).alias("tokens"))
+    docs = written(views.corpus(spark, d).select("doc_id", basic_pretokenize(F.col("text")).alias("tokens")))
     vocab = [r["piece"] for r in X.wordpiece_vocab(docs, 2000, 3000).collect()]  # bounded: <= 5000 + chars
     wp = X.wordpiece(docs, vocab)
+    # pieces depend on the word alone: each distinct word is checked
+    words = X.wordpiece(docs.select(F.explode("tokens").alias("word")).distinct().select("word", F.array("word").alias("tokens")), vocab, key="word")
     joined = F.array_join(F.transform("pieces", lambda p: F.regexp_replace(p, "^##", "")), "")
-    bad = wp.filter((F.element_at("pieces", 1) != UNK) & (joined != F.col("token"))).limit(1).count()
+    bad = words.filter((F.element_at("pieces", 1) != UNK) & (joined != F.col("token"))).limit(1).count()
     if bad:
         raise AssertionError("word pieces do not re-assemble the token")
     return wp.select("doc_id", "pos", "token", F.array_join("pieces", " ").alias("pieces"))
